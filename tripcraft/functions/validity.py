@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() trims every whitespace character; Java's \s class is the
-# close equivalent (space, tab, new line, vertical tab, form feed, return).
-_EDGE_SPACE = r"^\s+|\s+$"
+# Python's str.strip() trims ASCII whitespace: space, tab, new line, return,
+# vertical tab and form feed.
+_SPACE_CHARS = " \t\n\r\x0b\x0c"
 
 
 def strip_text(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_SPACE_CHARS))
 
 
 def is_blank(c: Column) -> Column:

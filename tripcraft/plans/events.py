@@ -10,6 +10,7 @@ which is a single keyed aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -68,27 +69,63 @@ def _seq_col(df: DataFrame) -> str | None:
     return "seq" if "seq" in df.columns else None
 
 
-def start_path(lines: DataFrame) -> Path:
-    """Start lines to normalised start events. The stream key is the pickup text."""
+Handoff = Callable[[DataFrame], DataFrame]
+
+
+def _direct(df: DataFrame) -> DataFrame:
+    return df
+
+
+def produce_start_events(lines: DataFrame) -> tuple[Checked, DataFrame]:
+    """Producer side: start lines -> keyed events (key = pickup text)."""
     parsed = parse_start_lines(lines)
     events = to_events(parsed.accepted, "pickup_datetime", START_COLUMNS, _seq_col(lines))
-    decoded = decode_events(encode_records(events), START_BODY, "coerce", stage="decode_start")
+    return parsed, events
+
+
+def consume_start_events(received: DataFrame) -> tuple[list[Checked], DataFrame]:
+    """Consumer side: received (base64) start events -> normalised starts."""
+    decoded = decode_events(received, START_BODY, "coerce", stage="decode_start")
     keyed = require_key(decoded.accepted, stage="require_key_start")
     normalized = normalize_start_events(keyed.accepted)
     accepted = conform(select_valid_fields(normalized.accepted.drop("key")), START_EVENT)
-    return Path([parsed, decoded, keyed, normalized], events, accepted)
+    return [decoded, keyed, normalized], accepted
 
 
-def end_path(lines: DataFrame, mode: str = "coerce") -> Path:
-    """End lines to validated end events (``mode``: coerce | strict numbers)."""
+def produce_end_events(lines: DataFrame) -> tuple[Checked, DataFrame]:
+    """Producer side: end lines -> keyed events (key = trip_id), all text."""
     parsed = parse_end_lines(lines)
     events = to_events(parsed.accepted, "trip_id", END_COLUMNS, _seq_col(lines))
-    decoded = decode_events(encode_records(events), END_BODY, mode, stage="decode_end")
+    return parsed, events
+
+
+def consume_end_events(received: DataFrame, mode: str = "coerce") -> tuple[list[Checked], DataFrame]:
+    """Consumer side: received end events -> validated end events."""
+    decoded = decode_events(received, END_BODY, mode, stage="decode_end")
     keyed = require_key(decoded.accepted, stage="require_key_end")
     masked = mask_invalid(keyed.accepted, mode)
     anyvalid = require_any(masked, stage="require_any_end")
     accepted = conform(anyvalid.accepted.drop("key"), END_EVENT)
-    return Path([parsed, decoded, keyed, anyvalid], events, accepted)
+    return [decoded, keyed, anyvalid], accepted
+
+
+def start_path(lines: DataFrame, handoff: Handoff = _direct) -> Path:
+    """Start lines to normalised start events.
+
+    ``handoff`` carries the received-form events from producer to consumer;
+    in a deployment that is the stream (or a written table), which also keeps
+    the two halves in separate plans.
+    """
+    parsed, events = produce_start_events(lines)
+    stages, accepted = consume_start_events(handoff(encode_records(events)))
+    return Path([parsed, *stages], events, accepted)
+
+
+def end_path(lines: DataFrame, mode: str = "coerce", handoff: Handoff = _direct) -> Path:
+    """End lines to validated end events (``mode``: coerce | strict numbers)."""
+    parsed, events = produce_end_events(lines)
+    stages, accepted = consume_end_events(handoff(encode_records(events)), mode)
+    return Path([parsed, *stages], events, accepted)
 
 
 def trip_events(starts: DataFrame, ends: DataFrame) -> DataFrame:
@@ -111,10 +148,14 @@ def trip_events(starts: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def assemble_from_lines(
-    start_lines: DataFrame, end_lines: DataFrame, mode: str = "replay", numbers: str = "coerce"
+    start_lines: DataFrame,
+    end_lines: DataFrame,
+    mode: str = "replay",
+    numbers: str = "coerce",
+    handoff: Handoff = _direct,
 ) -> tuple[DataFrame, Path, Path]:
     """Both paths and J4. Lines must carry ``seq`` (see ``with_line_seq``)."""
-    sp = start_path(start_lines)
-    ep = end_path(end_lines, numbers)
+    sp = start_path(start_lines, handoff)
+    ep = end_path(end_lines, numbers, handoff)
     trips = assemble_trips(trip_events(sp.accepted, ep.accepted), mode)
     return trips, sp, ep

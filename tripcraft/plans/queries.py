@@ -69,6 +69,17 @@ def _lines(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return read_lines(spark, path)
 
 
+def _handoff(spark: SparkSession):
+    """Producer -> consumer hand-off through a written table (the "stream")."""
+
+    def through_storage(received: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "events")
+        received.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return through_storage
+
+
 def _start_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _lines(spark, S.start_lines(spark, sf), "start-lines")
 
@@ -115,21 +126,21 @@ def q_parse_end_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_line_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    sp = start_path(_start_lines(spark, sf))
-    ep = end_path(_end_lines(spark, sf))
+    sp = start_path(_start_lines(spark, sf), _handoff(spark))
+    ep = end_path(_end_lines(spark, sf), handoff=_handoff(spark))
     rejects = sp.rejects.unionByName(ep.rejects)
     return rejects.groupBy("stage", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_start_events(spark: SparkSession, sf: str) -> DataFrame:
-    events = start_path(_start_lines(spark, sf)).events
+    events = start_path(_start_lines(spark, sf), _handoff(spark)).events
     body = F.from_json(F.col("value"), START_BODY)
     out = events.select("key", body.alias("b")).select("key", "b.*")
     return out.withColumn("estimated_fare_amount", F.col("estimated_fare_amount").try_cast("double"))
 
 
 def q_decoded_events(spark: SparkSession, sf: str) -> DataFrame:
-    sp = start_path(_start_lines(spark, sf))
+    sp = start_path(_start_lines(spark, sf), _handoff(spark))
     decoded = sp.stages[1].accepted
     return _drop_internal(decoded).withColumn(
         "estimated_fare_amount", F.col("estimated_fare_amount").try_cast("double")
@@ -154,7 +165,7 @@ def q_normalize_ends(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_normalize_start_events(spark: SparkSession, sf: str) -> DataFrame:
-    return start_path(_start_lines(spark, sf)).accepted
+    return start_path(_start_lines(spark, sf), _handoff(spark)).accepted
 
 
 def q_distinct_dropoff_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,11 +183,11 @@ def q_distinct_dropoff_times(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_valid_end_fields(spark: SparkSession, sf: str) -> DataFrame:
-    return end_path(_end_lines(spark, sf), "coerce").accepted
+    return end_path(_end_lines(spark, sf), "coerce", _handoff(spark)).accepted
 
 
 def q_strict_end_fields(spark: SparkSession, sf: str) -> DataFrame:
-    return end_path(_end_lines(spark, sf), "strict").accepted
+    return end_path(_end_lines(spark, sf), "strict", _handoff(spark)).accepted
 
 
 def q_completed_trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,8 +262,8 @@ def q_daily_kpis_completed_by_dropoff(spark: SparkSession, sf: str) -> DataFrame
 
 
 def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
-    sp = start_path(_start_lines(spark, sf))
-    ep = end_path(_end_lines(spark, sf))
+    sp = start_path(_start_lines(spark, sf), _handoff(spark))
+    ep = end_path(_end_lines(spark, sf), handoff=_handoff(spark))
     return run_report(*sp.stages, *ep.stages)
 
 
