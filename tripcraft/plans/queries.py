@@ -63,9 +63,13 @@ def _joined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write producer lines as text files and read them back (the file source)."""
+    """Write producer lines as text files and read them back (the file source).
+
+    The fixture is written as one file per core, as a producer drop of many
+    files would be; the events table itself is a single small file.
+    """
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").text(path)
+    df.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").text(path)
     return read_lines(spark, path)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcraft.operators.layout import layout
-from tripcraft.operators.validate import NOTE, REASON, Checked
+from tripcraft.operators.validate import NOTE, REASON, RECORD, Checked
 
 OUTPUT_NAMES = ("trips", "completed_trips", "all_trips_daily_kpis", "completed_trips_daily_kpis")
 
@@ -61,7 +61,11 @@ def write_checked(checked: Checked, path: str, mode: str = "overwrite") -> tuple
     if NOTE in t.columns:
         reason = F.coalesce(reason, F.col(NOTE))
     status = F.when(F.col(REASON).isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
-    out = t.withColumns({"status": status, "reason": reason, "stage": F.lit(checked.stage)})
+    cols = {"status": status, "reason": reason, "stage": F.lit(checked.stage)}
+    if RECORD in t.columns:
+        # The raw record is kept for refused and noted rows only.
+        cols[RECORD] = F.when(reason.isNotNull(), F.col(RECORD))
+    out = t.withColumns(cols)
     out = out.drop(REASON, *( [NOTE] if NOTE in t.columns else []))
     write_parquet(out, path, mode, "status")
     base = path.rstrip("/")
