@@ -103,3 +103,20 @@ def test_batch_equals_stream(spark):
     assert _trips(streamed) == _trips(assemble_trips(df, "replay"))
     # The trips table has one partition folder per micro-batch.
     assert spark.read.parquet(out).select("batch_id").distinct().count() >= 2
+
+
+def test_compact_keeps_newest_row(spark):
+    events = _random_events(seed=3)
+    df = spark.createDataFrame(events, SCHEMA)
+    src = scratch_path(spark, "compact-src")
+    df.repartition(3, F.xxhash64("seq")).write.parquet(src)
+    out = scratch_path(spark, "compact-out")
+    q = start_trip_table(read_event_stream(spark, src, df.schema, max_files_per_trigger=1), out,
+                         scratch_path(spark, "compact-ckpt"), "replay")
+    q.awaitTermination()
+    from tripcraft.streaming import compact
+
+    base = compact(spark, out, scratch_path(spark, "compact-base"))
+    cols = ["trip_id", "pickup_location_id", "fare_amount", "payment_type"]
+    assert _trips(read_trip_table(spark, base).select(*cols)) == _trips(
+        assemble_trips(df, "replay"))

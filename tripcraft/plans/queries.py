@@ -35,7 +35,7 @@ from tripcraft.operators import (
 from tripcraft.operators.validate import RECORD, REASON
 from tripcraft.plans.events import START_BODY, end_path, start_path
 from tripcraft.plans.kpi_job import kpi_job_outputs
-from tripcraft.schemas import TRIP_START
+from tripcraft.schemas import END_FIELDS, TRIP_START
 from tripcraft.session import scratch_path
 from tripcraft.sinks import write_outputs
 from tripcraft.sources import supplied as S
@@ -95,10 +95,8 @@ def _end_lines(spark: SparkSession, sf: str) -> DataFrame:
 def _trip_events(spark: SparkSession, sf: str) -> DataFrame:
     """Interleaved events after V2 (invalid end fields are null)."""
     ev = mask_invalid(S.interleaved_events(spark, sf))
-    end_fields = ["dropoff_datetime", "rate_code", "passenger_count", "trip_distance",
-                  "fare_amount", "tip_amount", "payment_type", "trip_type"]
     any_valid = F.lit(False)
-    for f in end_fields:
+    for f in END_FIELDS:
         any_valid = any_valid | F.col(f).isNotNull()
     # V3: an end with nothing valid must not reach the keyed merge.
     return ev.filter((F.col("kind") == "start") | any_valid)

@@ -89,8 +89,12 @@ def read_trip_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, out: str) -> str:
-    """Rewrite the newest row per trip as one base table (periodic job)."""
-    read_trip_table(spark, path).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").parquet(
-        f"{out.rstrip('/')}/batch_id=-1"
-    )
+    """Rewrite the newest row per trip as a new, standalone trips table.
+
+    A periodic job: the result has one row per trip (a single ``batch_id``
+    folder), so ``read_trip_table(out)`` no longer has to reduce every
+    micro-batch ever written.
+    """
+    # The batch id lives in the folder name, as in the streaming sink.
+    read_trip_table(spark, path).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id=-1")
     return out
