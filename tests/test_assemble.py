@@ -120,3 +120,16 @@ def test_compact_keeps_newest_row(spark):
     cols = ["trip_id", "pickup_location_id", "fare_amount", "payment_type"]
     assert _trips(read_trip_table(spark, base).select(*cols)) == _trips(
         assemble_trips(df, "replay"))
+
+
+def test_stream_reports_event_counts(spark):
+    df = spark.createDataFrame(EVENTS, SCHEMA)
+    src = scratch_path(spark, "observe-src")
+    df.coalesce(1).write.parquet(src)
+    q = start_trip_table(read_event_stream(spark, src, df.schema), scratch_path(spark, "observe-out"),
+                         scratch_path(spark, "observe-ckpt"), "replay")
+    q.awaitTermination()
+    metrics = [p["observedMetrics"]["trip_events"] for p in q.recentProgress
+               if p.get("observedMetrics")]
+    assert sum(m["events"] for m in metrics) == 7
+    assert sum(m["starts"] for m in metrics) == 2

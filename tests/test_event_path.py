@@ -158,3 +158,23 @@ def test_full_paths_round_trip(spark):
     strict = end_path(lines(spark, "2024-05-25 10:30:00,1,2,3.5,16,0,card,1,t1"), "strict")
     assert strict.accepted.first().fare_amount is None  # the producer sends text only
     assert START_BODY.fieldNames()[0] == "trip_id"
+
+
+def test_run_events_pipeline(spark):
+    from tripcraft.plans.events import run_events
+    from tripcraft.session import scratch_path
+
+    base = scratch_path(spark, "events-job")
+    lines(spark, START_HEADER, "t1,1,2,1,2024-05-25 10:00:00,2024-05-25 10:30:00,12.5",
+          "t2,1,2,x,2024-05-25 10:00:00,2024-05-25 10:30:00,1").coalesce(1).write.text(f"{base}/s")
+    lines(spark, "2024-05-25 10:31:00,1,2,3.5,16,0,card,1,t1",
+          ",,,,,,,,t3").coalesce(1).write.text(f"{base}/e")
+    paths = run_events(spark, f"{base}/s", f"{base}/e", f"{base}/out")
+    trips = {r.trip_id: r for r in spark.read.parquet(paths["trips"]).collect()}
+    assert set(trips) == {"t1"}
+    t1 = trips["t1"]
+    assert (t1.pickup_time, t1.fare_amount, t1.tip_amount) == ("10:00:00", 16.0, None)
+    reasons = {(r.stage, r.reason) for r in spark.read.parquet(paths["rejects"]).collect()}
+    assert reasons == {("parse_start", "bad_number"), ("require_any_end", "no_valid_field")}
+    report = spark.read.parquet(paths["report"]).filter("outcome = 'failed'").count()
+    assert report == 2

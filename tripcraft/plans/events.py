@@ -13,16 +13,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcraft.operators.assemble import assemble_trips
+from tripcraft.operators.kpis import run_report
 from tripcraft.operators.normalize import conform, normalize_start_events, select_valid_fields
 from tripcraft.operators.validate import Checked, mask_invalid, quarantine, require_any, require_key
 from tripcraft.schemas import END_COLUMNS, END_EVENT, START_COLUMNS, START_EVENT, TRIP
 from tripcraft.sources.events import decode_events, encode_records, to_events
-from tripcraft.sources.lines import parse_end_lines, parse_start_lines
+from tripcraft.sources.lines import parse_end_lines, parse_start_lines, read_lines, with_line_seq
 
 # What the consumers read from a start body (times and estimate as sent).
 START_BODY = T.StructType(
@@ -159,3 +160,43 @@ def assemble_from_lines(
     ep = end_path(end_lines, numbers, handoff)
     trips = assemble_trips(trip_events(sp.accepted, ep.accepted), mode)
     return trips, sp, ep
+
+
+def run_events(
+    spark: SparkSession,
+    start_lines_path: str,
+    end_lines_path: str,
+    out_base: str,
+    mode: str = "replay",
+    numbers: str = "coerce",
+) -> dict[str, str]:
+    """L2 in batch form: producer line files -> trips table, quarantine, report.
+
+    The received events are handed from producer to consumer through a table
+    under ``out_base`` (the "stream"), the assembled trips, every refused
+    record and the run counters are written as Parquet. Returns the paths.
+    """
+    base = out_base.rstrip("/")
+
+    def through_storage(kind: str) -> Handoff:
+        def write_read(received: DataFrame) -> DataFrame:
+            path = f"{base}/received/{kind}"
+            received.write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+        return write_read
+
+    starts = with_line_seq(read_lines(spark, start_lines_path), 0)
+    ends = with_line_seq(read_lines(spark, end_lines_path), 1)
+    sp = start_path(starts, through_storage("start"))
+    ep = end_path(ends, numbers, through_storage("end"))
+    trips = assemble_trips(trip_events(sp.accepted, ep.accepted), mode)
+    paths = {
+        "trips": f"{base}/trips",
+        "rejects": f"{base}/rejects",
+        "report": f"{base}/report",
+    }
+    trips.write.mode("overwrite").parquet(paths["trips"])
+    sp.rejects.unionByName(ep.rejects).write.mode("overwrite").parquet(paths["rejects"])
+    run_report(*sp.stages, *ep.stages).write.mode("overwrite").parquet(paths["report"])
+    return paths

@@ -65,7 +65,15 @@ def start_trip_table(
     spark = events.sparkSession
     if state_store == "rocksdb":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    trips = assemble_trips(events, mode)
+    # A4 while streaming: per micro-batch event counters in the query progress.
+    kind = F.col("kind")
+    counted = events.observe(
+        "trip_events",
+        F.count(F.lit(1)).alias("events"),
+        F.count(F.when(kind == "start", 1)).alias("starts"),
+        F.count(F.when(kind == "end", 1)).alias("ends"),
+    )
+    trips = assemble_trips(counted, mode)
     writer = (
         trips.writeStream.outputMode("update")
         .foreachBatch(_batch_writer(out_path))
