@@ -191,8 +191,8 @@ SELECT CAST(event_id // 2 AS VARCHAR) AS trip_id,
        CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS dropoff_datetime,
        CAST(1 + k % 6 AS VARCHAR) AS rate_code,
        {num("CASE WHEN k % 7 <> 0 THEN CAST(k % 7 AS DOUBLE) END")} AS passenger_count,
-       {num("value / 10.0")} AS trip_distance,
-       {num("CASE WHEN d = 9 AND event_type <> 'error' THEN value END")} AS fare_amount,
+       {num("CASE WHEN value <> 0 THEN value / 10.0 END")} AS trip_distance,
+       {num("CASE WHEN d = 9 AND event_type <> 'error' AND value <> 0 THEN value END")} AS fare_amount,
        {num("CASE WHEN k % 4 <> 0 THEN CAST(k % 4 AS DOUBLE) END")} AS tip_amount,
        event_type AS payment_type,
        CAST(1 + user_id % 2 AS VARCHAR) AS trip_type
