@@ -70,15 +70,24 @@ def decode_events(
     if mode not in ("coerce", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
     text = F.try_to_binary(F.col(data_col), F.lit("base64")).cast("string")
-    parsed = raw.withColumns(
-        {
-            RECORD: text,
-            "_v": F.when(F.is_valid_utf8(text), F.try_parse_json(text)),
-        }
+    keep = [c for c in raw.columns if c != data_col]
+    # Parse once. Expanding a one-element array puts a Generate between the
+    # parse and the refusal filters of the later stages; without it Catalyst
+    # pushes those filters below this projection and inlines the JSON parse
+    # into them, parsing every record two or more times.
+    parsed = raw.select(
+        *keep,
+        F.inline(
+            F.array(
+                F.struct(
+                    text.alias(RECORD),
+                    F.when(F.is_valid_utf8(text), F.try_parse_json(text)).alias("_v"),
+                )
+            )
+        ),
     )
     v = F.col("_v")
     is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    keep = [c for c in raw.columns if c != data_col]
     out = parsed.select(
         *[_field(v, f, mode).alias(f.name) for f in schema.fields],
         *[c for c in keep if c not in schema.fieldNames()],
