@@ -36,7 +36,7 @@ from tripcraft.operators.validate import RECORD, REASON
 from tripcraft.plans.events import START_BODY, end_path, start_path
 from tripcraft.plans.kpi_job import kpi_job_outputs
 from tripcraft.schemas import END_FIELDS, TRIP_START
-from tripcraft.session import scratch_path
+from tripcraft.session import default_parallelism, scratch_path
 from tripcraft.sinks import write_outputs
 from tripcraft.sources import supplied as S
 from tripcraft.sources.csv import read_trips_csv, write_trips_csv
@@ -69,7 +69,7 @@ def _lines(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     files would be; the events table itself is a single small file.
     """
     path = scratch_path(spark, name)
-    df.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").text(path)
+    df.repartition(default_parallelism(spark)).write.mode("overwrite").text(path)
     return read_lines(spark, path)
 
 

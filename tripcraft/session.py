@@ -75,3 +75,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root for one written table."""
     return f"{shared_root(spark)}/tripcraft/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to the job (falls back to the shuffle partition count)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # pragma: no cover - Spark Connect has no context
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
