@@ -133,3 +133,19 @@ def test_stream_reports_event_counts(spark):
                if p.get("observedMetrics")]
     assert sum(m["events"] for m in metrics) == 7
     assert sum(m["starts"] for m in metrics) == 2
+
+
+def test_hot_trip_holding_a_third_of_events(spark):
+    """One trip id carries a third of all events; partial aggregation keeps it one row per task."""
+    rnd = random.Random(5)
+    events = []
+    for seq in range(900):
+        trip = "hot" if seq % 3 == 0 else f"t{rnd.randrange(50)}"
+        if rnd.random() < 0.25:
+            events.append((seq, trip, "start", rnd.randrange(100), None, None))
+        else:
+            events.append((seq, trip, "end", None, float(rnd.randrange(1, 40)), rnd.choice(["a", "b"])))
+    df = spark.createDataFrame(events, SCHEMA).repartition(8)
+    got = _trips(assemble_trips(df, "replay"))
+    assert got == _sequential_replay(events)
+    assert "hot" in got
