@@ -39,7 +39,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    own = {name for name in E.queries() if name not in E.LLM_QUERIES}
+    assert own <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry(spark):
@@ -48,7 +49,7 @@ def test_entry(spark):
     assert "total_fare" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
