@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from tripcraft.llm import fm_index, suffix_array
+import os
+
+from tripcraft.llm import bpe, fm_index, language, secrets, suffix_array
 from tripcraft.llm.common import importable
 
+#: Folder of the public tokenizer files, on every machine of the cluster.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+#: Splits text before the merges of the rank files (fixed value, from their description).
+RANK_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+BYTE_RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 
-def _documents(spark, sf):
+
+def _table(spark, sf, name):
     importable(spark)
-    return spark.read.parquet(f"{sf}/documents.parquet")
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _documents(spark, sf):
+    return _table(spark, sf, "documents")
 
 
 QUERIES = {
     "op3_fm_index_dedup": lambda spark, sf: fm_index.op3(_documents(spark, sf)),
+    "op4_bpe": lambda spark, sf: bpe.op4(_documents(spark, sf), WORD_BPE),
     "op7_suffix_array_dedup": lambda spark, sf: suffix_array.op7(_documents(spark, sf)),
+    "op8_secret_scan": lambda spark, sf: secrets.op8(_documents(spark, sf), BYTE_RANKS, RANK_PATTERN),
+    "op9_language_id": lambda spark, sf: language.op9(_documents(spark, sf)),
 }
 ORACLES: dict[str, str] = {}
