@@ -120,13 +120,14 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * q[starts])
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each document.
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               solid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each document, or runs of the bytes that ``solid`` marks.
 
     Returns starts, ends (bytes) and per document the index of its first word
     (one more entry than documents).
     """
-    solid = solid_bytes(data)
+    solid = solid_bytes(data) if solid is None else solid
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     before = np.empty(len(data), bool)
@@ -140,6 +141,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+#: 1 for digits, letters and bytes beyond ASCII, 0 for white space, 2 for other bytes.
+BYTE_CLASS = np.full(256, 2, np.uint8)
+BYTE_CLASS[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = 1
+BYTE_CLASS[128:] = 1
+BYTE_CLASS[list(SPACES)] = 0
+
+
 def ngram_hash(units: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n consecutive units (across document borders too)."""
     if len(units) < n:

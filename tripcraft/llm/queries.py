@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 
-from tripcraft.llm import bpe, fm_index, language, secrets, suffix_array
+from tripcraft.llm import (
+    bpe, decontaminate, fm_index, jaccard_join, language, resampling, secrets, suffix_array, threshold_search, toxicity,
+)
 from tripcraft.llm.common import importable
 
 #: Folder of the public tokenizer files, on every machine of the cluster.
@@ -25,10 +27,16 @@ def _documents(spark, sf):
 
 
 QUERIES = {
+    "op1_threshold_search": lambda spark, sf: threshold_search.op1(_table(spark, sf, "embeddings")),
+    "op2_importance_resampling": lambda spark, sf: resampling.op2(_documents(spark, sf), _table(spark, sf, "labels")),
     "op3_fm_index_dedup": lambda spark, sf: fm_index.op3(_documents(spark, sf)),
     "op4_bpe": lambda spark, sf: bpe.op4(_documents(spark, sf), WORD_BPE),
+    "op5_toxicity": lambda spark, sf: toxicity.op5(_documents(spark, sf), _table(spark, sf, "labels")),
+    "op6_jaccard_join": lambda spark, sf: jaccard_join.op6(_documents(spark, sf)),
     "op7_suffix_array_dedup": lambda spark, sf: suffix_array.op7(_documents(spark, sf)),
     "op8_secret_scan": lambda spark, sf: secrets.op8(_documents(spark, sf), BYTE_RANKS, RANK_PATTERN),
     "op9_language_id": lambda spark, sf: language.op9(_documents(spark, sf)),
+    "op10_decontamination": lambda spark, sf: decontaminate.op10(
+        _documents(spark, sf), _table(spark, sf, "benchmark")),
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_threshold_search": threshold_search.ORACLE}
