@@ -23,6 +23,8 @@ BUCKETS = 1 << 12
 #: Labelled documents that are learned from (at most, by hash order): one half gives
 #: the target model, the other the border between good and bad documents.
 LABELLED = 20_000
+#: Share of good documents that the sample's size is chosen to keep.
+KEEP = 0.999
 SEED = 17
 
 
@@ -30,6 +32,7 @@ def hashed_ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     """(bucket, document) of every token and every pair of neighbours.
 
     Tokens are runs of letters and digits, or of other visible bytes; case counts.
+    All pairs of equal tokens are one n-gram.
     """
     kind = BYTE_CLASS[data]
     hashes = prefix_hash(data)
@@ -38,7 +41,7 @@ def hashed_ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     order = np.argsort(starts)
     token = span_hash(hashes, starts[order], ends[order])
     doc = np.searchsorted(offsets, starts[order], "right") - 1
-    pair = ngram_hash(token, 2)
+    pair = np.where(token[1:] == token[:-1], np.uint64(0), ngram_hash(token, 2))
     inside = doc[1:] == doc[:-1]
     return (np.r_[token, pair[inside]] % np.uint64(BUCKETS)).astype(np.int64), np.r_[doc, doc[1:][inside]]
 
@@ -134,7 +137,7 @@ class Sampler:
     """Models and threshold: documents whose key reaches ``threshold`` are the sample."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, k: int | None = None, labelled: int = LABELLED):
-        """k: sample size; None: the number of documents above the key that best parts good labels from bad."""
+        """k: sample size; None: the number of documents whose key reaches what KEEP of the good ones reach."""
         some = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
                 .groupBy("doc_id").agg(F.min("quality").cast("int").alias("_quality"))
                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled))
@@ -142,10 +145,11 @@ class Sampler:
         raw = counted(docs)
         half = fold("doc_id", 2)
         self.ratio = log_ratio(counted(own.where((F.col("_quality") == 1) & (half == 0))), raw)
-        known = (weighted(own.where(half == 1), self.ratio, "_quality").select("_quality", "_key")
-                 .orderBy(F.desc("_key")).collect())  # at most ``labelled`` rows
+        good = (weighted(own.where((F.col("_quality") == 1) & (half == 1)), self.ratio)
+                .select("_key").collect())  # at most ``labelled`` rows
+        border = np.quantile([r[0] for r in good], 1 - KEEP) if good else float("-inf")
         keys = write_table(weighted(docs, self.ratio), "keys")
-        self.k = keys.where(F.col("_key") >= best_border(known)).count() if k is None else k
+        self.k = keys.where(F.col("_key") >= float(border)).count() if k is None else k
         self.keys, self.threshold = keys, kth_largest(keys, self.k)
 
     def rows(self, docs: DataFrame) -> DataFrame:
@@ -164,28 +168,10 @@ class Sampler:
             "doc_id", "log_weight", F.col("_key").alias("gumbel_key"))
 
 
-def best_border(known: list) -> float:
-    """Key from which the shares of good documents kept and of bad ones rejected add up to most.
-
-    ``known``: (quality, key) in falling order of keys. Without bad documents
-    nothing, without good ones everything is rejected.
-    """
-    good = np.array([r[0] for r in known], float)
-    key = np.array([r[1] for r in known], float)
-    if not good.sum():
-        return float("inf") if len(good) else float("-inf")
-    if good.all():
-        return float("-inf")
-    gain = np.cumsum(good) / good.sum() - np.cumsum(1 - good) / (1 - good).sum()
-    i = len(gain) - 1 - int(np.argmax(gain[::-1]))
-    # Between the last kept and the next: the middle, so that no learned row stands on the border.
-    return float((key[i] + key[i + 1]) / 2) if i + 1 < len(key) else float("-inf")
-
-
 def op2(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The sample of all documents: doc_id, log_weight, gumbel_key.
 
-    Null and empty texts have log weight 0. Repeated rows share their noise, so
+    Without good labelled documents all stay. Null and empty texts have log weight 0. Repeated rows share their noise, so
     they stay or go together; a null id counts as the text ``None`` there.
     Other columns, also with clashing names, are ignored.
     """
