@@ -34,7 +34,9 @@ PERCENT = 75
 #: Sets in one side of a block product.
 BLOCK = 256
 #: Rounds in which members are compared to one centre for each prefix shingle.
-CENTRE_ROUNDS = 3
+CENTRE_ROUNDS = 1
+#: Columns of 64 bits that sketch a set: bit i is the parity of the elements that hash to i.
+SKETCH = [f"s{i}" for i in range(16)]
 COUNTS = "bucket long, chunk long, prints binary, counts binary"
 FREQUENT = "chunk long, bucket long, prints binary, totals binary"
 SETS = "id long, text_hash long, n long, n_lone long, digest binary, shingles binary"
@@ -185,13 +187,39 @@ def prefix_entries(classes: DataFrame, percent: int) -> DataFrame:
         explode, "shingle long, cid long, n long, place long")
 
 
+def sketches(classes: DataFrame) -> DataFrame:
+    """(cid, SKETCH columns) of all classes."""
+    bits = 64 * len(SKETCH)
+
+    def sketch(batches):
+        for batch in batches:
+            odd = [np.bincount(np.frombuffer(s, np.int64) & (bits - 1), minlength=bits) & 1
+                   for s in batch.column("shingles").to_pylist()]
+            words = np.packbits(np.array(odd, bool).reshape(-1, bits), axis=1, bitorder="little").view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("cid"), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(len(SKETCH)))],
+                ["cid", *SKETCH])
+
+    return classes.select("cid", "shingles").mapInArrow(
+        sketch, ", ".join(f"{name} long" for name in ["cid", *SKETCH]))
+
+
 def passes_filters(percent: int):
     """Length and positional filters on two prefix entries a, b of one shingle."""
     a_n, b_n = F.col("a.n"), F.col("b.n")
-    least = F.ceil(percent * (a_n + b_n) / F.lit(100 + percent))
     return ((100 * F.least(a_n, b_n) >= percent * F.greatest(a_n, b_n))
-            & (1 + F.least(a_n - F.col("a.place"), b_n - F.col("b.place")) - 1 >= least - F.least(
-                F.col("a.place"), F.col("b.place"))))
+            & (F.least(a_n - F.col("a.place"), b_n - F.col("b.place"))
+               >= _least(percent) - F.least(F.col("a.place"), F.col("b.place"))))
+
+
+def passes_sketch(percent: int):
+    """Two sets differ in at least as many elements as their sketches in bits."""
+    differ = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in SKETCH), F.lit(0))
+    return differ <= F.col("a.n") + F.col("b.n") - 2 * _least(percent)
+
+
+def _least(percent: int):
+    return F.ceil(percent * (F.col("a.n") + F.col("b.n")) / F.lit(100 + percent))
 
 
 def suffix_filter(x: np.ndarray, y: np.ndarray, most: int, depth: int = 2) -> bool:
@@ -252,15 +280,24 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         "cid", F.coalesce("reached", "comp").alias("comp"))
 
 
+def contracted(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after joining the components that the links (a, b) connect; many links between two count once."""
+    ends = (links.join(labels.select(F.col("cid").alias("a"), F.col("comp").alias("ca")), "a")
+            .join(labels.select(F.col("cid").alias("b"), F.col("comp").alias("cb")), "b"))
+    edges = write_table(ends.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+                        .where("a < b").distinct(), "edges")
+    nodes = labels.select(F.col("comp").alias("cid")).distinct()
+    merged = components(nodes, edges).select(F.col("cid").alias("comp"), F.col("comp").alias("into"))
+    return labels.join(merged, "comp").select("cid", F.col("into").alias("comp"))
+
+
 def link_components(classes: DataFrame, percent: int) -> DataFrame:
     """(cid, comp) for all classes."""
     spark = classes.sparkSession
     entries = prefix_entries(classes, percent)
     several = entries.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1").select("shingle")
     entries = write_table(entries.join(several, "shingle"), "entries")
-    links = None
-    nodes = classes.select("cid")
-    labels = nodes.select("cid", F.col("cid").alias("comp"))
+    labels = classes.select("cid", F.col("cid").alias("comp"))
     seen = spark.createDataFrame([], "a long, b long")
     for turn in range(CENTRE_ROUNDS + 1):
         held = entries.join(labels, "cid")
@@ -270,22 +307,23 @@ def link_components(classes: DataFrame, percent: int) -> DataFrame:
             if not has_rows(mixed):
                 break
             held = write_table(held.join(mixed, "shingle"), "held")
-        other = held
         if turn < CENTRE_ROUNDS:
             rank = F.xxhash64("cid", F.lit(turn))
             other = write_table(held.groupBy("shingle").agg(
-                F.min(F.struct(rank.alias("r"), "cid", "n", "place", "comp")).alias("m")).select("shingle", "m.*"),
-                "centres")
+                F.min(F.struct(rank.alias("r"), "cid", "n", "place", "comp")).alias("m"))
+                .select("shingle", "m.*"), "centres")
+            fits = (F.col("a.comp") != F.col("b.comp")) & passes_filters(percent)
+        else:
+            held = other = write_table(held.join(sketches(classes), "cid"), "held")
+            fits = (F.col("a.comp") < F.col("b.comp")) & passes_filters(percent) & passes_sketch(percent)
         pairs = write_table(
-            held.alias("a").join(other.alias("b"), "shingle")
-            .where((F.col("a.comp") != F.col("b.comp")) & passes_filters(percent))
+            held.alias("a").join(other.alias("b"), "shingle").where(fits)
             .select(F.least("a.cid", "b.cid").alias("a"), F.greatest("a.cid", "b.cid").alias("b")).distinct()
             .join(seen, ["a", "b"], "left_anti"), "pairs")
         if has_rows(pairs):
             found = write_table(verified(pairs, classes, percent), "found")
-            links = found if links is None else links.union(found)
             seen = seen.union(pairs)
-            labels = write_table(components(nodes, links), "components")
+            labels = write_table(contracted(labels, found), "components")
     return labels
 
 
