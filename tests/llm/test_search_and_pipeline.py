@@ -1,0 +1,52 @@
+"""Exact top-k search against brute force; the corpus pipeline end to end."""
+
+import math
+
+import numpy as np
+
+import corpus_pipeline
+from tripcraft.llm import threshold_search as S
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_top_k_with_ties_nulls_and_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(x) for x in np.round(rng.normal(0, 0.2, 6), 2)], 1) for i in range(400)]
+    rows += [(500, rows[7][1], 1), (501, rows[7][1], 1), (550, None, 1), (600, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1),
+             (650, [math.nan] * 6, 1), (700, [math.inf] * 6, 1), (750, [0.0] * 6, 1), (800, [], 1), (None, rows[3][1], 1),
+             (850, [1.0, -1.0], 1), (851, [0.5, 0.5], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v, _ in rows
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for q, v in good:
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in good if i != q and len(w) == len(v))
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])]
+    monkeypatch.setattr(S, "BLOCK", 64)
+    monkeypatch.setattr(S, "QUERIES", 4)
+    assert sorted(tuple(r) for r in S.op1(vectors).collect()) == sorted(want)
+    assert S.op1(vectors.limit(0)).collect() == []
+
+
+def test_search_stops_early_on_skewed_vectors():
+    vectors = np.zeros((5000, 4), np.int64)
+    vectors[:, 0] = np.arange(5000)
+    lists = S.SortedLists(np.arange(5000), vectors)
+    ids, score = lists.top(np.array([2, 0, 0, 0]), 4999, 3)
+    assert ids.tolist() == [4998, 4997, 4996] and score.tolist() == [9996, 9994, 9992]
+    ids, _ = lists.top(np.array([-1, 0, 0, 0]), None, 2)
+    assert ids.tolist() == [0, 1]
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = corpus_pipeline.run(spark, SF)
+    rows = {r.doc_id: r for r in out.collect()}
+    assert 0 < len(rows) <= docs.count() and all(r.n_tokens * 4 == len(r.ids) for r in rows.values())
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality", "near_duplicates", "decontamination", "secret_scan", "tokens"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        empty = stage(spark, docs.limit(0), SF)
+        assert empty.columns == docs.columns and empty.count() == 0, name
