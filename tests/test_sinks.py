@@ -1,5 +1,6 @@
 """K1 outputs, R1/R2 layout, one-pass accepted/refused split, line order."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripcraft.operators import layout
@@ -35,13 +36,33 @@ def test_kpi_job_writes_four_outputs(spark):
                         completed_files=2)
     assert set(paths) == set(OUTPUT_NAMES)
     counts = {n: spark.read.parquet(p).count() for n, p in paths.items()}
-    assert counts == {"trips": 3, "completed_trips": 2, "all_trips_daily_kpis": 2,
+    assert counts == {"trips_copy": 3, "completed_trips": 2, "all_trips_daily_kpis": 2,
                       "completed_trips_daily_kpis": 2}
     day = spark.read.parquet(paths["completed_trips_daily_kpis"]).orderBy("DAY").first()
     assert (day.total_fare, day.count_trips) == (16.0, 1)
     # Rerun overwrites: same result, not doubled.
     run_kpi_job(spark, src, out)
-    assert spark.read.parquet(paths["trips"]).count() == 3
+    assert spark.read.parquet(paths["trips_copy"]).count() == 3
+
+
+def test_kpi_job_refuses_to_overwrite_its_input(spark):
+    base = scratch_path(spark, "one-base")
+    _trips(spark).write.parquet(f"{base}/trips")
+    paths = run_kpi_job(spark, f"{base}/trips", base)  # the usual layout: one base for both jobs
+    assert spark.read.parquet(f"{base}/trips").count() == 3
+    for source in (paths["completed_trips"], f"file:{paths['trips_copy']}/"):
+        with pytest.raises(ValueError, match="overwrite its input"):
+            run_kpi_job(spark, source, base)
+    assert spark.read.parquet(paths["trips_copy"]).count() == 3
+
+
+def test_java_number_texts_and_wide_ids(spark):
+    lines = spark.createDataFrame(
+        [(f"t{i},{x},1,1,2021-01-01 00:00:00,2021-01-01 00:10:00,{y}",) for i, (x, y) in enumerate(
+            [(3_000_000_000, "12"), (1, "12d"), (1, "0x1p3"), (1, "1.5e1"), (1, "12f"), ("1.7", "1")])],
+        "value string")
+    checked = parse_start_lines(lines)
+    assert sorted(r.trip_id for r in checked.accepted.collect()) == ["t0", "t3"]
 
 
 def test_layout_repartition_and_sort(spark):

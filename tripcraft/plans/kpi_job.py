@@ -10,6 +10,8 @@ recomputed upstream and no cache has to hold the table.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tripcraft.operators.kpis import daily_kpis_all, daily_kpis_completed_by_dropoff
@@ -20,13 +22,19 @@ from tripcraft.sources.trips import read_trips
 
 def kpi_job_outputs(trips: DataFrame, grain: str = "day") -> dict[str, DataFrame]:
     return {
-        "trips": trips,
+        "trips_copy": trips,
         "completed_trips": completed(trips),
         "all_trips_daily_kpis": daily_kpis_all(trips),
         "completed_trips_daily_kpis": daily_kpis_completed_by_dropoff(trips, grain),
     }
 
 
+def _nested(a: str, b: str) -> bool:
+    """Whether one of the folders is the other or lies in it (with or without a file scheme)."""
+    a, b = (re.sub(r"/+", "/", p.removeprefix("file:")).rstrip("/") + "/" for p in (a, b))
+    return a.startswith(b) or b.startswith(a)
+
+
 def run_kpi_job(
     spark: SparkSession,
     trips_path: str,
@@ -37,10 +45,16 @@ def run_kpi_job(
 ) -> dict[str, str]:
     """Run L3 and return the written paths.
 
+    No output may be the input folder, hold it or lie in it: the outputs
+    overwrite, and the trips are read while they are written.
+
     ``completed_files`` (R1) repartitions the completed trips by pickup date
     just before their write; it never sits in front of an aggregate.
     """
     outputs = kpi_job_outputs(read_trips(spark, trips_path), grain)
+    for name in outputs:
+        if _nested(trips_path, f"{out_base.rstrip('/')}/{name}"):
+            raise ValueError(f"output {name!r} under {out_base!r} would overwrite its input {trips_path!r}")
     layouts = {}
     if completed_files:
         layouts["completed_trips"] = {"n": completed_files, "by": "pickup_datetime"}

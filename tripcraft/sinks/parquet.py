@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripcraft.operators.layout import layout
 from tripcraft.operators.validate import NOTE, REASON, RECORD, Checked
 
-OUTPUT_NAMES = ("trips", "completed_trips", "all_trips_daily_kpis", "completed_trips_daily_kpis")
+OUTPUT_NAMES = ("trips_copy", "completed_trips", "all_trips_daily_kpis", "completed_trips_daily_kpis")
 
 
 def write_parquet(
