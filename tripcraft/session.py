@@ -54,8 +54,9 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for intermediate tables and stream checkpoints.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a private folder is created and registered as the checkpoint dir.
+    Read from ``spark.checkpoint.dir``; only when a session with a local master
+    has none (tests) a private folder is created and registered as the
+    checkpoint dir. On a cluster that would be another disk on every machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -64,6 +65,9 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - Spark Connect has no context
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share (master {master!r})")
         root = tempfile.mkdtemp(prefix="tripcraft-")
         try:
             spark.sparkContext.setCheckpointDir(root)
