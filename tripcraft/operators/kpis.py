@@ -78,11 +78,11 @@ def kpis_over_join(
 
     The inner join repeats every start of a key for every end of that key. A
     fare KPI over those pairs only needs, per key, how many starts there are
-    (or the sums of the ends), so the side that does not carry the grouping
-    key is first reduced to one row per ``trip_id`` (partial aggregation before
-    its shuffle), then joined to the raw rows of the other side: the join emits
-    one row per raw row instead of one per pair, and a key holding a third of
-    all rows no longer squares. Totals are sums of per-key products and equal
+    (or the sums of the ends), so both sides are reduced before the join: the
+    one that carries the grouping key to one row per ``trip_id`` and day, the
+    other to one row per ``trip_id``. Both aggregate partially before their
+    shuffle, so a key holding a third of all rows neither squares nor fills one
+    task: it sends one row per day from each task. Totals are sums of per-key products and equal
     the pair-wise result up to floating-point summation order.
 
     ``by='pickup'`` groups by the start's ``pickup_datetime`` (A1, or A2 with
@@ -98,19 +98,17 @@ def kpis_over_join(
             F.max(fare).alias("_max"),
             F.min(fare).alias("_min"),
         )
-        rows = starts.select(key, F.col("pickup_datetime").alias("_k"))
+        rows = starts.groupBy(key, F.col("pickup_datetime").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
         joined = rows.join(per_key, key, "inner")
-        weight = F.lit(1)
+        weight = F.col("_n")
         out_key = "pickup_datetime"
     elif by == "dropoff":
         per_key = starts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        rows = ends.select(
-            key,
-            _dropoff_key(grain).alias("_k"),
-            fare.alias("_sum"),
-            F.when(fare.isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("_cnt"),
-            fare.alias("_max"),
-            fare.alias("_min"),
+        rows = ends.groupBy(key, _dropoff_key(grain).alias("_k")).agg(
+            F.sum(fare).alias("_sum"),
+            F.count(fare).alias("_cnt"),
+            F.max(fare).alias("_max"),
+            F.min(fare).alias("_min"),
         )
         joined = rows.join(per_key, key, "inner")
         weight = F.col("_n")

@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 from tripcraft.operators import (
     assemble_trips,
     completed,
-    daily_kpis_all,
-    daily_kpis_completed_by_dropoff,
-    daily_kpis_completed_by_pickup,
     distinct_values,
     fully_described,
     join_trips,
@@ -240,7 +237,7 @@ def q_trips_replay_stream(spark: SparkSession, sf: str) -> DataFrame:
     """
     src = scratch_path(spark, "trip-events")
     events = _trip_events(spark, sf)
-    events.repartition(4, F.xxhash64("seq")).write.mode("overwrite").parquet(src)
+    events.repartition(default_parallelism(spark), F.xxhash64("seq")).write.mode("overwrite").parquet(src)
     stream = read_event_stream(spark, src, events.schema, "parquet", max_files_per_trigger=1)
     out = scratch_path(spark, "trip-table")
     q = start_trip_table(stream, out, scratch_path(spark, "trip-table-checkpoint"), "replay")
@@ -252,15 +249,15 @@ def q_trips_replay_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_daily_kpis_completed_by_pickup(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_kpis(daily_kpis_completed_by_pickup(_joined(spark, sf)))
+    return rounded_kpis(kpis_over_join(_starts(spark, sf), _ends(spark, sf), by="pickup"))
 
 
 def q_daily_kpis_all(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_kpis(daily_kpis_all(_joined(spark, sf)))
+    return rounded_kpis(kpis_over_join(_starts(spark, sf), _ends(spark, sf), by="pickup", completed_only=False))
 
 
 def q_daily_kpis_completed_by_dropoff(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_kpis(daily_kpis_completed_by_dropoff(_joined(spark, sf)))
+    return rounded_kpis(kpis_over_join(_starts(spark, sf), _ends(spark, sf), by="dropoff"))
 
 
 def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,7 +290,7 @@ def q_write_outputs(spark: SparkSession, sf: str) -> DataFrame:
     paths = write_outputs(
         outputs,
         base,
-        layouts={"completed_trips": {"n": 2, "by": "pickup_datetime", "sort_by": "rate_code"}},
+        layouts={"completed_trips": {"n": default_parallelism(spark), "by": "trip_id", "sort_by": "rate_code"}},
     )
     counts = [
         spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n")).select(
