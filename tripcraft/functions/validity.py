@@ -31,9 +31,13 @@ def blank_to_null(c: Column) -> Column:
     return F.when(valid_text(c), c)
 
 
+#: Decimal numbers and the names of what isn't finite; the text forms that only a JVM reads (12d, 0x1p3) are not among them.
+DECIMAL_NUMBER = r"(?i)^\s*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|nan|inf|infinity)\s*$"
+
+
 def number_or_null(c: Column) -> Column:
-    """Text or number to double; null when not numeric."""
-    return c.try_cast("double")
+    """Text or number to double; null when not a decimal number."""
+    return F.when(c.cast("string").rlike(DECIMAL_NUMBER), c.try_cast("double"))
 
 
 def finite(n: Column) -> Column:

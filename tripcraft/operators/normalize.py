@@ -16,7 +16,7 @@ from tripcraft.functions.datetime import (
     time_of_day,
     to_ntz,
 )
-from tripcraft.functions.validity import finite
+from tripcraft.functions.validity import finite, number_or_null
 from tripcraft.operators.validate import NOTE, REASON, Checked
 from tripcraft.schemas import START_EVENT
 
@@ -79,7 +79,7 @@ def normalize_start_events(df: DataFrame, stage: str = "normalize_start") -> Che
     est_drop_bad = _present(est_drop) & est_full.isNull() & est_date.isNull()
 
     fare_in = F.col("estimated_fare_amount")
-    fare = fare_in.try_cast("double")
+    fare = number_or_null(fare_in)
     fare_bad = fare_in.isNotNull() & ~finite(fare)
 
     note = F.when(pickup_bad, F.lit("malformed_pickup_datetime")).when(

@@ -29,9 +29,9 @@ from tripcraft.sources.lines import parse_end_lines, parse_start_lines, read_lin
 START_BODY = T.StructType(
     [
         T.StructField("trip_id", T.StringType()),
-        T.StructField("pickup_location_id", T.IntegerType()),
-        T.StructField("dropoff_location_id", T.IntegerType()),
-        T.StructField("vendor_id", T.IntegerType()),
+        T.StructField("pickup_location_id", T.LongType()),
+        T.StructField("dropoff_location_id", T.LongType()),
+        T.StructField("vendor_id", T.LongType()),
         T.StructField("pickup_datetime", T.StringType()),
         T.StructField("estimated_dropoff_datetime", T.StringType()),
         T.StructField("estimated_fare_amount", T.StringType()),

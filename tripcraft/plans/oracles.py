@@ -15,9 +15,9 @@ _EV = """ev AS (
 
 _PS = """ps AS (
   SELECT CAST(event_id // 2 AS VARCHAR) AS trip_id,
-         CAST(user_id AS INTEGER) AS pickup_location_id,
+         CAST(user_id AS BIGINT) AS pickup_location_id,
          k AS dropoff_location_id,
-         CAST(1 + user_id % 2 AS INTEGER) AS vendor_id,
+         CAST(1 + user_id % 2 AS BIGINT) AS vendor_id,
          ts AS pickup_datetime,
          ts + INTERVAL 15 MINUTE AS estimated_dropoff_datetime,
          value / 3.0 AS estimated_fare_amount
@@ -68,9 +68,9 @@ _IEV = """iev0 AS (
   SELECT event_id AS seq,
          CASE WHEN st THEN 'start' ELSE 'end' END AS kind,
          CAST(event_id // 4 AS VARCHAR) AS trip_id,
-         CASE WHEN st THEN CAST(user_id AS INTEGER) END AS pickup_location_id,
+         CASE WHEN st THEN CAST(user_id AS BIGINT) END AS pickup_location_id,
          CASE WHEN st THEN k END AS dropoff_location_id,
-         CASE WHEN st THEN CAST(1 + user_id % 2 AS INTEGER) END AS vendor_id,
+         CASE WHEN st THEN CAST(1 + user_id % 2 AS BIGINT) END AS vendor_id,
          CASE WHEN st THEN CAST(ts AS DATE) END AS pickup_datetime,
          CASE WHEN st THEN strftime(ts, '%H:%M:%S') END AS pickup_time,
          CASE WHEN st THEN ts + INTERVAL 15 MINUTE END AS estimated_dropoff_datetime,
@@ -134,9 +134,9 @@ _TRIPS_REPLAY = _trips_sql("replay")
 # --- raw-line view: what survives each stage, straight from events ----------------------
 
 _START_TEXT = """CAST(event_id // 2 AS VARCHAR) AS trip_id,
-       CAST(user_id AS INTEGER) AS pickup_location_id,
+       CAST(user_id AS BIGINT) AS pickup_location_id,
        k AS dropoff_location_id,
-       CAST(1 + user_id % 2 AS INTEGER) AS vendor_id,
+       CAST(1 + user_id % 2 AS BIGINT) AS vendor_id,
        CASE d WHEN 4 THEN strftime(ts, '%Y-%m-%d')
               WHEN 6 THEN strftime(ts, '%Y/%m/%d %H:%M:%S')
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS pickup_datetime,
@@ -170,9 +170,9 @@ FROM ev WHERE event_id % 2 = 1 AND d IN (3, 5, 7, 9)"""
 
 _NORMALIZE_START_EVENTS = f"""WITH {_EV}
 SELECT CAST(event_id // 2 AS VARCHAR) AS trip_id,
-       CAST(user_id AS INTEGER) AS pickup_location_id,
+       CAST(user_id AS BIGINT) AS pickup_location_id,
        k AS dropoff_location_id,
-       CAST(1 + user_id % 2 AS INTEGER) AS vendor_id,
+       CAST(1 + user_id % 2 AS BIGINT) AS vendor_id,
        CASE WHEN d IN (4, 8) THEN CAST(ts AS DATE) END AS pickup_datetime,
        CASE WHEN d = 8 THEN strftime(ts, '%H:%M:%S') END AS pickup_time,
        date_trunc('second', ts + INTERVAL 15 MINUTE) AS estimated_dropoff_datetime,
@@ -231,7 +231,7 @@ UNION ALL SELECT 'require_any_end', 'failed', 'no_valid_field', count(*) FROM e
 def _write_outputs_sql() -> str:
     trips = _trips_sql("replay")
     return f"""WITH t AS ({trips})
-SELECT 'trips' AS dataset, count(*) AS n FROM t
+SELECT 'trips_copy' AS dataset, count(*) AS n FROM t
 UNION ALL SELECT 'completed_trips', count(*) FROM t WHERE dropoff_datetime IS NOT NULL
 UNION ALL SELECT 'all_trips_daily_kpis', count(*) FROM (SELECT pickup_datetime FROM t GROUP BY 1)
 UNION ALL SELECT 'completed_trips_daily_kpis', count(*) FROM (

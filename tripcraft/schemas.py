@@ -55,9 +55,9 @@ DESCRIPTIVE_FIELDS = ["rate_code", "passenger_count", "payment_type", "trip_type
 TRIP_START = T.StructType(
     [
         T.StructField("trip_id", T.StringType()),
-        T.StructField("pickup_location_id", T.IntegerType()),
-        T.StructField("dropoff_location_id", T.IntegerType()),
-        T.StructField("vendor_id", T.IntegerType()),
+        T.StructField("pickup_location_id", T.LongType()),
+        T.StructField("dropoff_location_id", T.LongType()),
+        T.StructField("vendor_id", T.LongType()),
         T.StructField("pickup_datetime", T.TimestampNTZType()),
         T.StructField("estimated_dropoff_datetime", T.TimestampNTZType()),
         T.StructField("estimated_fare_amount", T.DoubleType()),
@@ -82,9 +82,9 @@ TRIP_END = T.StructType(
 START_EVENT = T.StructType(
     [
         T.StructField("trip_id", T.StringType()),
-        T.StructField("pickup_location_id", T.IntegerType()),
-        T.StructField("dropoff_location_id", T.IntegerType()),
-        T.StructField("vendor_id", T.IntegerType()),
+        T.StructField("pickup_location_id", T.LongType()),
+        T.StructField("dropoff_location_id", T.LongType()),
+        T.StructField("vendor_id", T.LongType()),
         T.StructField("pickup_datetime", T.DateType()),
         T.StructField("pickup_time", T.StringType()),
         T.StructField("estimated_dropoff_datetime", T.TimestampNTZType()),

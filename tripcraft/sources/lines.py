@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcraft.functions.validity import strip_text
+from tripcraft.functions.validity import number_or_null, strip_text
 from tripcraft.operators.validate import RECORD, Checked, tag
 from tripcraft.schemas import END_COLUMNS, END_HEADER, START_COLUMNS, START_HEADER
 
@@ -38,8 +38,8 @@ def parse_start_lines(lines: DataFrame, stage: str = "parse_start") -> Checked:
     """7 fields; location and vendor ids must be integers and the estimate
     a number, or the line is refused. Date texts are not checked here."""
     n, p = _fields(len(START_COLUMNS))
-    ints = [p[1].try_cast("int"), p[2].try_cast("int"), p[3].try_cast("int")]
-    fare = p[6].try_cast("double")
+    ints = [p[i].try_cast("bigint") for i in (1, 2, 3)]
+    fare = number_or_null(p[6])
     cast_failed = ints[0].isNull() | ints[1].isNull() | ints[2].isNull() | fare.isNull()
     rows = _without_header(lines, START_HEADER).select(
         p[0].alias("trip_id"),

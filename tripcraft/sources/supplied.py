@@ -38,9 +38,9 @@ def _trip(div: int) -> Column:
 def _start_cols() -> dict[str, Column]:
     ts = F.col("ts")
     return {
-        "pickup_location_id": F.col("user_id").cast("int"),
+        "pickup_location_id": F.col("user_id").cast("bigint"),
         "dropoff_location_id": _k(),
-        "vendor_id": (F.lit(1) + F.col("user_id") % 2).cast("int"),
+        "vendor_id": (F.lit(1) + F.col("user_id") % 2).cast("bigint"),
         "pickup_datetime": ts,
         "estimated_dropoff_datetime": ts + F.expr("INTERVAL 15 MINUTES"),
         "estimated_fare_amount": F.col("value") / F.lit(3.0),
