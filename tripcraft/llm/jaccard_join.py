@@ -7,7 +7,7 @@ or more share one of them. Candidates from prefix matches pass the length,
 positional and suffix filters and are verified once per pair.
 
 Links are first sought between the members of each prefix shingle's list and
-one of them (the centre), which joins tight groups of near copies without
+one of them (the centre, another one for each shingle), which joins tight groups of near copies without
 listing their pairs; then all candidates that still stand in different
 components are verified. Within the finished components, block products count
 the links of every class.
@@ -205,9 +205,13 @@ def sketches(classes: DataFrame) -> DataFrame:
 
 
 def passes_filters(percent: int):
-    """Length and positional filters on two prefix entries a, b of one shingle."""
+    """Length, prefix and positional filters on two prefix entries a, b of one shingle.
+
+    For two given sizes already the first n - least_overlap + 1 shingles share one.
+    """
     a_n, b_n = F.col("a.n"), F.col("b.n")
     return ((100 * F.least(a_n, b_n) >= percent * F.greatest(a_n, b_n))
+            & (F.col("a.place") <= a_n - _least(percent)) & (F.col("b.place") <= b_n - _least(percent))
             & (F.least(a_n - F.col("a.place"), b_n - F.col("b.place"))
                >= _least(percent) - F.least(F.col("a.place"), F.col("b.place"))))
 
@@ -308,7 +312,7 @@ def link_components(classes: DataFrame, percent: int) -> DataFrame:
                 break
             held = write_table(held.join(mixed, "shingle"), "held")
         if turn < CENTRE_ROUNDS:
-            rank = F.xxhash64("cid", F.lit(turn))
+            rank = F.xxhash64("cid", "shingle", F.lit(turn))
             other = write_table(held.groupBy("shingle").agg(
                 F.min(F.struct(rank.alias("r"), "cid", "n", "place", "comp")).alias("m"))
                 .select("shingle", "m.*"), "centres")
