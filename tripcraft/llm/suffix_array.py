@@ -28,21 +28,25 @@ def prefix_borders(symbols: np.ndarray, n_symbols: int, order: np.ndarray, least
     Symbol 0 separates texts; strings may end with it but don't continue past it.
     """
     n = len(symbols)
-    matrix = WaveletMatrix(symbols[order - 1], n_symbols)
+    before = symbols[order - 1]
+    matrix = WaveletMatrix(before, n_symbols)
+    step = np.empty(n, np.int64)  # row of the suffix that is longer by one symbol
+    step[np.argsort(before, kind="stable")] = np.arange(n)
     smaller = np.r_[0, np.cumsum(np.bincount(symbols, minlength=n_symbols))[:-1]]
     border = np.zeros(n + 1, bool)
     border[[0, n]] = True
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
     for length in range(1, least + 1):
-        new_low, new_high = [], []
+        lone = high - low == 1  # one row has one extension
+        found = [(before[low[lone]], step[low[lone]], step[low[lone]] + 1)]
+        low, high = low[~lone], high[~lone]
         for at in range(0, len(low), 1 << 17):
             symbol, a, b, _ = matrix.children(low[at:at + (1 << 17)], high[at:at + (1 << 17)])
-            a, b = smaller[symbol] + a, smaller[symbol] + b
-            # The whole text's last border is set from the start, yet its strings go on.
-            keep = (~border[b] | (b == n)) & ((symbol > 0) | (length == 1))
-            new_low.append(a[keep])
-            new_high.append(b[keep])
-        low, high = np.concatenate(new_low), np.concatenate(new_high)
+            found.append((symbol, smaller[symbol] + a, smaller[symbol] + b))
+        symbol, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
+        # The whole text's last border is set from the start, yet its strings go on.
+        keep = (~border[high] | (high == n)) & ((symbol > 0) | (length == 1))
+        low, high = low[keep], high[keep]
         border[high] = True
         if not len(low):
             break
@@ -52,7 +56,7 @@ def prefix_borders(symbols: np.ndarray, n_symbols: int, order: np.ndarray, least
 def lowest_starts(shard: R.Shard, length: int) -> list[np.ndarray]:
     """For each window of each text the lowest id rank of the documents in which it starts."""
     sizes = np.array([len(t) for t in shard.texts], np.int64)
-    symbols = np.frombuffer(b"\0".join([*shard.texts, b""]), np.uint8).astype(np.int64) + 1
+    symbols = np.frombuffer(b"\0".join([*shard.texts, b""]), np.uint8).astype(np.int16) + np.int16(1)
     begin = np.cumsum(sizes + 1) - sizes - 1
     symbols[begin + sizes] = 0
     order = bounded_suffix_order(symbols, 257, length)

@@ -75,16 +75,22 @@ def bounded_suffix_order(symbols: np.ndarray, n_symbols: int, depth: int) -> np.
     backward search takes from the Burrows-Wheeler transform are the same.
     """
     n = len(symbols)
-    bits = max(1, int(n_symbols - 1).bit_length())
-    packed = max(1, min(62 // bits, depth))
+    bits, wide = max(1, int(n_symbols - 1).bit_length()), max(1, n.bit_length())
+    packed = max(1, min((62 - wide) // bits, depth))
     key = np.zeros(n, np.int64)
     for j in range(min(packed, n)):
         key[:n - j] |= symbols[j:].astype(np.int64) << bits * (packed - 1 - j)
+    small = bits * packed + wide <= 63
     while True:
-        order = np.argsort(key, kind="stable")
+        if small:  # one plain sort of (key, position) pairs packed into 64 bits
+            pairs = np.sort(key << wide | np.arange(n))
+            order, key = pairs & ((1 << wide) - 1), pairs >> wide
+        else:
+            order = np.argsort(key)
+            key = key[order]
         if packed >= depth or n < 2:
             return order
-        new = np.r_[True, key[order[1:]] != key[order[:-1]]]
+        new = np.r_[True, key[1:] != key[:-1]]
         if new.all():
             return order
         rank = np.empty(n, np.int64)
@@ -92,4 +98,5 @@ def bounded_suffix_order(symbols: np.ndarray, n_symbols: int, depth: int) -> np.
         key = rank * (n + 1)
         if packed < n:
             key[:n - packed] += rank[packed:]
+        small = 3 * wide <= 62
         packed *= 2
