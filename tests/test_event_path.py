@@ -4,9 +4,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tripcraft.operators import mask_invalid, normalize_start_events, require_any, require_key
-from tripcraft.plans.events import END_BODY, START_BODY, end_path, start_path
-from tripcraft.schemas import END_HEADER, START_HEADER
+from tripcraft.operators import mask_invalid, normalize_start_events, quarantine, require_any, require_key
+from tripcraft.plans.events import (
+    END_BODY,
+    START_BODY,
+    consume_end_events,
+    consume_start_events,
+    end_path,
+    start_path,
+)
+from tripcraft.schemas import END_HEADER, START_EVENT, START_HEADER
 from tripcraft.sources import decode_events, encode_records, parse_end_lines, parse_start_lines
 
 
@@ -160,6 +167,37 @@ def test_full_paths_round_trip(spark):
     assert START_BODY.fieldNames()[0] == "trip_id"
 
 
+def test_refused_and_noted_records_keep_their_text(spark):
+    bodies = [
+        '{"trip_id": "a", "vendor_id": 1, "estimated_fare_amount": "abc"}',
+        '{"trip_id": "", "vendor_id": 1}',
+        '{"trip_id": "c", "vendor_id": "x", "pickup_location_id": 3000000000}',
+        '{"trip_id": "d", "pickup_location_id": 1.7, "vendor_id": "12"}',
+    ]
+    received = encode_records(spark.createDataFrame([(b,) for b in bodies], "value string"))
+    stages, accepted = consume_start_events(received)
+    got = {(r.stage, r.reason): r.record for r in quarantine(*stages).collect()}
+    assert got == {
+        ("normalize_start", "bad_estimated_fare_amount"): bodies[0],
+        ("require_key_start", "missing_trip_id"): bodies[1],
+        ("decode_start", "bad_vendor_id"): bodies[2],
+        ("decode_start", "bad_pickup_location_id"): bodies[3],
+    }
+    rows = {r.trip_id: r for r in accepted.collect()}
+    assert (rows["c"].vendor_id, rows["c"].pickup_location_id) == (None, 3_000_000_000)
+    assert (rows["d"].vendor_id, rows["d"].pickup_location_id) == (12, None)
+    assert accepted.columns == START_EVENT.fieldNames()
+
+
+def test_unreadable_dropoff_is_noted_and_counts_as_sent(spark):
+    bodies = ['{"trip_id": "a", "dropoff_datetime": "2024-05-25T10:00:00"}', '{"trip_id": "b", "rate_code": ""}']
+    received = encode_records(spark.createDataFrame([(b,) for b in bodies], "value string"))
+    stages, accepted = consume_end_events(received)
+    assert [(r.trip_id, r.dropoff_datetime) for r in accepted.collect()] == [("a", None)]
+    got = {r.reason: r.record for r in quarantine(*stages).collect()}
+    assert got == {"malformed_dropoff_datetime": bodies[0], "no_valid_field": bodies[1]}
+
+
 def test_run_events_pipeline(spark):
     from tripcraft.plans.events import run_events
     from tripcraft.session import scratch_path

@@ -7,7 +7,7 @@ from tripcraft.operators import layout
 from tripcraft.plans.kpi_job import run_kpi_job
 from tripcraft.session import scratch_path
 from tripcraft.sinks import OUTPUT_NAMES, write_checked
-from tripcraft.sources import parse_start_lines, with_line_seq
+from tripcraft.sources import parse_start_lines, read_lines, with_line_seq
 from tripcraft.schemas import START_HEADER
 
 
@@ -82,7 +82,20 @@ def test_write_checked_one_pass(spark):
     assert rej == {"field_count", "bad_number"}
 
 
-def test_line_seq_orders_starts_before_ends(spark):
-    starts = with_line_seq(spark.createDataFrame([("a",), ("b",)], "value string"), 0)
-    ends = with_line_seq(spark.createDataFrame([("c",)], "value string"), 1)
-    assert max(r.seq for r in starts.collect()) < min(r.seq for r in ends.collect())
+def test_line_seq_follows_files_and_blocks(spark):
+    """A small early file, a large late one cut into many blocks, and the ends last."""
+    base = scratch_path(spark, "line-order")
+    for name, first, n in (("a", 0, 3), ("b", 3, 2000)):
+        rows = [(str(i).zfill(8),) for i in range(first, first + n)]
+        spark.createDataFrame(rows, "value string").coalesce(1).write.text(f"{base}/{name}")
+    spark.createDataFrame([("ends",)], "value string").coalesce(1).write.text(f"{base}/ends")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        starts = with_line_seq(read_lines(spark, [f"{base}/b", f"{base}/a"]), 0)
+        assert starts.rdd.getNumPartitions() > 2
+        lines = starts.unionByName(with_line_seq(read_lines(spark, f"{base}/ends"), 1))
+        got = [r.value for r in lines.orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [str(i).zfill(8) for i in range(2003)] + ["ends"]

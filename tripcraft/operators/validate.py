@@ -34,7 +34,8 @@ class Checked:
 
     @property
     def accepted(self) -> DataFrame:
-        keep = [c for c in self.tagged.columns if c not in (REASON, NOTE, RECORD)]
+        # The raw record stays, so that a later stage can set it aside unchanged.
+        keep = [c for c in self.tagged.columns if c not in (REASON, NOTE)]
         return self.tagged.filter(F.col(REASON).isNull()).select(*keep)
 
     @property
@@ -136,7 +137,8 @@ def mask_invalid(df: DataFrame, mode: str = "coerce") -> DataFrame:
 
     ``coerce`` accepts numbers sent as text; ``strict`` accepts only real
     numbers (so the all-text producer gets no number through, as coded in the
-    reference consumer). Columns may arrive as text or already typed.
+    reference consumer). Columns may arrive as text or already typed. A
+    drop-off sent as text that is no date-time becomes null with a note.
     """
     if mode not in ("coerce", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -150,6 +152,9 @@ def mask_invalid(df: DataFrame, mode: str = "coerce") -> DataFrame:
             cols[name] = _text_value(df, name, mode)
         else:
             cols[name] = _number_value(df, name, mode)
+    if "dropoff_datetime" in cols and isinstance(df.schema["dropoff_datetime"].dataType, T.StringType):
+        unread = valid_text(F.col("dropoff_datetime")) & cols["dropoff_datetime"].isNull()
+        cols[NOTE] = F.when(unread, F.lit("malformed_dropoff_datetime"))
     return df.withColumns(cols)
 
 
@@ -157,9 +162,14 @@ def mask_invalid(df: DataFrame, mode: str = "coerce") -> DataFrame:
 
 
 def require_any(df: DataFrame, cols: list[str] | None = None, stage: str = "require_any") -> Checked:
-    """V3: refuse end events in which no field is valid (after V2)."""
+    """V3: refuse end events in which no field is valid (after V2).
+
+    A field that was sent but not understood (noted by V2) counts as sent.
+    """
     cols = [c for c in (cols or END_FIELDS) if c in df.columns]
     none_valid = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in cols])
+    if NOTE in df.columns:
+        none_valid = none_valid & F.col(NOTE).isNull()
     return tag(df, F.when(none_valid, F.lit("no_valid_field")), stage)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tripcraft.operators.assemble import assemble_trips
 from tripcraft.operators.kpis import run_report
 from tripcraft.operators.normalize import conform, normalize_start_events, select_valid_fields
-from tripcraft.operators.validate import Checked, mask_invalid, quarantine, require_any, require_key
+from tripcraft.operators.validate import RECORD, Checked, mask_invalid, quarantine, require_any, require_key
 from tripcraft.schemas import END_COLUMNS, END_EVENT, START_COLUMNS, START_EVENT, TRIP
 from tripcraft.sources.events import decode_events, encode_records, to_events
 from tripcraft.sources.lines import parse_end_lines, parse_start_lines, read_lines, with_line_seq
@@ -89,7 +89,7 @@ def consume_start_events(received: DataFrame) -> tuple[list[Checked], DataFrame]
     decoded = decode_events(received, START_BODY, "coerce", stage="decode_start")
     keyed = require_key(decoded.accepted, stage="require_key_start")
     normalized = normalize_start_events(keyed.accepted)
-    accepted = conform(select_valid_fields(normalized.accepted.drop("key")), START_EVENT)
+    accepted = conform(select_valid_fields(normalized.accepted.drop("key", RECORD)), START_EVENT)
     return [decoded, keyed, normalized], accepted
 
 
@@ -106,7 +106,7 @@ def consume_end_events(received: DataFrame, mode: str = "coerce") -> tuple[list[
     keyed = require_key(decoded.accepted, stage="require_key_end")
     masked = mask_invalid(keyed.accepted, mode)
     anyvalid = require_any(masked, stage="require_any_end")
-    accepted = conform(anyvalid.accepted.drop("key"), END_EVENT)
+    accepted = conform(anyvalid.accepted.drop("key", RECORD), END_EVENT)
     return [decoded, keyed, anyvalid], accepted
 
 
@@ -132,6 +132,8 @@ def end_path(lines: DataFrame, mode: str = "coerce", handoff: Handoff = _direct)
 def trip_events(starts: DataFrame, ends: DataFrame) -> DataFrame:
     """Both kinds in the keyed-merge input layout (seq, kind, trip fields)."""
     names = ["seq", "kind"] + TRIP.fieldNames()
+    types = {f.name: f.dataType for f in TRIP} | {"seq": next(
+        (df.schema["seq"].dataType for df in (starts, ends) if "seq" in df.columns), T.LongType())}
 
     def widen(df: DataFrame, kind: str) -> DataFrame:
         cols = []
@@ -141,8 +143,7 @@ def trip_events(starts: DataFrame, ends: DataFrame) -> DataFrame:
             elif n in df.columns:
                 cols.append(F.col(n))
             else:
-                dtype = TRIP[n].dataType if n != "seq" else T.LongType()
-                cols.append(F.lit(None).cast(dtype).alias(n))
+                cols.append(F.lit(None).cast(types[n]).alias(n))
         return df.select(*cols)
 
     return widen(starts, "start").unionByName(widen(ends, "end"))

@@ -25,10 +25,10 @@ _PS = """ps AS (
 
 _PE = """pe AS (
   SELECT CASE WHEN event_type <> 'error' THEN ts END AS dropoff_datetime,
-         CAST(1 + k % 6 AS VARCHAR) AS rate_code,
+         CASE WHEN k % 6 <> 5 THEN CAST(1 + k % 6 AS VARCHAR) END AS rate_code,
          CAST(k % 7 AS DOUBLE) AS passenger_count,
          value / 10.0 AS trip_distance,
-         CASE WHEN event_type <> 'error' THEN value END AS fare_amount,
+         CASE WHEN event_type <> 'error' OR k % 2 = 1 THEN value END AS fare_amount,
          CAST(k % 4 AS DOUBLE) AS tip_amount,
          event_type AS payment_type,
          CAST(1 + user_id % 2 AS VARCHAR) AS trip_type,
@@ -77,10 +77,10 @@ _IEV = """iev0 AS (
          CASE WHEN st THEN strftime(ts + INTERVAL 15 MINUTE, '%H:%M:%S') END AS estimated_dropoff_time,
          CASE WHEN st THEN round(value / 3.0, 2) END AS estimated_fare_amount,
          CASE WHEN NOT st AND event_type <> 'error' THEN ts END AS dropoff_datetime,
-         CASE WHEN NOT st THEN CAST(1 + k % 6 AS VARCHAR) END AS rate_code,
+         CASE WHEN NOT st AND k % 6 <> 5 THEN CAST(1 + k % 6 AS VARCHAR) END AS rate_code,
          CASE WHEN NOT st AND k % 7 <> 0 THEN CAST(k % 7 AS DOUBLE) END AS passenger_count,
          CASE WHEN NOT st AND value / 10.0 <> 0 THEN value / 10.0 END AS trip_distance,
-         CASE WHEN NOT st AND event_type <> 'error' AND value <> 0 THEN value END AS fare_amount,
+         CASE WHEN NOT st AND (event_type <> 'error' OR k % 2 = 1) AND value <> 0 THEN value END AS fare_amount,
          CASE WHEN NOT st AND k % 4 <> 0 THEN CAST(k % 4 AS DOUBLE) END AS tip_amount,
          CASE WHEN NOT st AND trim(event_type) <> '' THEN event_type END AS payment_type,
          CASE WHEN NOT st THEN CAST(1 + user_id % 2 AS VARCHAR) END AS trip_type
@@ -140,7 +140,8 @@ _START_TEXT = """CAST(event_id // 2 AS VARCHAR) AS trip_id,
        CASE d WHEN 4 THEN strftime(ts, '%Y-%m-%d')
               WHEN 6 THEN strftime(ts, '%Y/%m/%d %H:%M:%S')
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS pickup_datetime,
-       strftime(ts + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS estimated_dropoff_datetime,
+       CASE WHEN d = 8 AND k % 5 = 0 THEN strftime(ts + INTERVAL 15 MINUTE, '%d/%m/%Y')
+            ELSE strftime(ts + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') END AS estimated_dropoff_datetime,
        value / 3.0 AS estimated_fare_amount"""
 
 _PARSE_START = f"""WITH {_EV}
@@ -156,11 +157,12 @@ FROM ev WHERE event_id % 2 = 0 AND d IN (4, 6, 8)"""
 
 _PARSE_END = f"""WITH {_EV}
 SELECT CASE WHEN d = 5 OR event_type = 'error' THEN ''
+            WHEN d = 9 AND k % 5 = 0 THEN strftime(ts, '%Y/%m/%d %H:%M:%S')
             ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS dropoff_datetime,
-       CASE WHEN d = 5 THEN '' ELSE CAST(1 + k % 6 AS VARCHAR) END AS rate_code,
+       CASE WHEN d = 5 OR k % 6 = 5 THEN '' ELSE CAST(1 + k % 6 AS VARCHAR) END AS rate_code,
        CASE WHEN d = 5 THEN '' ELSE CAST(CAST(k % 7 AS DOUBLE) AS VARCHAR) END AS passenger_count,
        CASE WHEN d = 5 THEN '' ELSE CAST(value / 10.0 AS VARCHAR) END AS trip_distance,
-       CASE WHEN d = 5 THEN '' WHEN d = 7 THEN '0' WHEN event_type = 'error' THEN ''
+       CASE WHEN d = 5 THEN '' WHEN d = 7 THEN '0' WHEN event_type = 'error' AND k % 2 = 0 THEN ''
             ELSE CAST(value AS VARCHAR) END AS fare_amount,
        CASE WHEN d = 5 THEN '' ELSE CAST(CAST(k % 4 AS DOUBLE) AS VARCHAR) END AS tip_amount,
        CASE WHEN d = 5 THEN '' ELSE event_type END AS payment_type,
@@ -175,8 +177,9 @@ SELECT CAST(event_id // 2 AS VARCHAR) AS trip_id,
        CAST(1 + user_id % 2 AS BIGINT) AS vendor_id,
        CASE WHEN d IN (4, 8) THEN CAST(ts AS DATE) END AS pickup_datetime,
        CASE WHEN d = 8 THEN strftime(ts, '%H:%M:%S') END AS pickup_time,
-       date_trunc('second', ts + INTERVAL 15 MINUTE) AS estimated_dropoff_datetime,
-       CASE WHEN d <> 6 THEN strftime(ts + INTERVAL 15 MINUTE, '%H:%M:%S') END
+       CASE WHEN NOT (d = 8 AND k % 5 = 0) THEN date_trunc('second', ts + INTERVAL 15 MINUTE) END
+         AS estimated_dropoff_datetime,
+       CASE WHEN d <> 6 AND NOT (d = 8 AND k % 5 = 0) THEN strftime(ts + INTERVAL 15 MINUTE, '%H:%M:%S') END
          AS estimated_dropoff_time,
        round(value / 3.0, 2) AS estimated_fare_amount
 FROM ev WHERE event_id % 2 = 0 AND d IN (4, 6, 8)"""
@@ -188,11 +191,12 @@ def _end_fields_sql(strict: bool) -> str:
 
     return f"""WITH {_EV}
 SELECT CAST(event_id // 2 AS VARCHAR) AS trip_id,
-       CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS dropoff_datetime,
-       CAST(1 + k % 6 AS VARCHAR) AS rate_code,
+       CASE WHEN event_type <> 'error' AND NOT (d = 9 AND k % 5 = 0) THEN date_trunc('second', ts) END
+         AS dropoff_datetime,
+       CASE WHEN k % 6 <> 5 THEN CAST(1 + k % 6 AS VARCHAR) END AS rate_code,
        {num("CASE WHEN k % 7 <> 0 THEN CAST(k % 7 AS DOUBLE) END")} AS passenger_count,
        {num("CASE WHEN value <> 0 THEN value / 10.0 END")} AS trip_distance,
-       {num("CASE WHEN d = 9 AND event_type <> 'error' AND value <> 0 THEN value END")} AS fare_amount,
+       {num("CASE WHEN d = 9 AND (event_type <> 'error' OR k % 2 = 1) AND value <> 0 THEN value END")} AS fare_amount,
        {num("CASE WHEN k % 4 <> 0 THEN CAST(k % 4 AS DOUBLE) END")} AS tip_amount,
        event_type AS payment_type,
        CAST(1 + user_id % 2 AS VARCHAR) AS trip_type
@@ -203,10 +207,14 @@ _LINE_REJECTS = f"""WITH {_EV},
 r AS (
   SELECT CASE d WHEN 0 THEN 'parse_start' WHEN 2 THEN 'parse_start'
                 WHEN 6 THEN 'normalize_start' WHEN 1 THEN 'parse_end'
-                WHEN 3 THEN 'require_key_end' WHEN 5 THEN 'require_any_end' END AS stage,
+                WHEN 3 THEN 'require_key_end' WHEN 5 THEN 'require_any_end'
+                WHEN 8 THEN CASE WHEN k % 5 = 0 THEN 'normalize_start' END
+                WHEN 9 THEN CASE WHEN k % 5 = 0 AND event_type <> 'error' THEN 'require_any_end' END END AS stage,
          CASE d WHEN 0 THEN 'field_count' WHEN 2 THEN 'bad_number'
                 WHEN 6 THEN 'malformed_pickup_datetime' WHEN 1 THEN 'field_count'
-                WHEN 3 THEN 'missing_trip_id' WHEN 5 THEN 'no_valid_field' END AS reason
+                WHEN 3 THEN 'missing_trip_id' WHEN 5 THEN 'no_valid_field'
+                WHEN 8 THEN 'malformed_estimated_dropoff_datetime'
+                WHEN 9 THEN 'malformed_dropoff_datetime' END AS reason
   FROM ev)
 SELECT stage, reason, count(*) AS n FROM r WHERE stage IS NOT NULL GROUP BY stage, reason"""
 
@@ -238,6 +246,16 @@ UNION ALL SELECT 'completed_trips_daily_kpis', count(*) FROM (
   SELECT CAST(dropoff_datetime AS DATE) FROM t WHERE dropoff_datetime IS NOT NULL GROUP BY 1)"""
 
 
+def _kpi_values_sql() -> str:
+    return f"""WITH t AS ({_trips_sql("replay")})
+SELECT 'all_trips_daily_kpis' AS dataset, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS day, {_kpis()}
+FROM t GROUP BY pickup_datetime
+UNION ALL SELECT 'completed_trips_daily_kpis', strftime(CAST(dropoff_datetime AS DATE), '%Y-%m-%d %H:%M:%S'), {_kpis()}
+FROM t WHERE dropoff_datetime IS NOT NULL GROUP BY CAST(dropoff_datetime AS DATE)
+UNION ALL SELECT 'raw_grain', strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S'), {_kpis()}
+FROM t WHERE dropoff_datetime IS NOT NULL GROUP BY dropoff_datetime"""
+
+
 _LARGE = """s AS (SELECT CAST(o_orderkey AS VARCHAR) AS trip_id,
                   CAST(o_orderdate AS DATE) AS pickup_datetime FROM orders),
 e AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id,
@@ -247,10 +265,12 @@ e AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id,
 
 ORACLES: dict[str, str] = {
     "csv_scan": f"WITH {_EV},\n{_PS}\nSELECT * FROM ps",
+    "csv_scan_ends": f"WITH {_EV},\n{_PE}\nSELECT * FROM pe",
     "parse_start_lines": _PARSE_START,
     "parse_end_lines": _PARSE_END,
     "line_rejects": _LINE_REJECTS,
     "start_events": _START_EVENTS,
+    "end_events": f"SELECT trip_id AS key, * FROM ({_PARSE_END})",
     "decoded_events": _PARSE_START,
     "read_trips": _TRIPS_REPLAY,
     "normalize_starts": f"WITH {_EV},\n{_PS},\n{_NS}\nSELECT * FROM ns",
@@ -276,6 +296,8 @@ SELECT trip_id, {', '.join(_START_FIELDS)} FROM st""",
 SELECT trip_id, {', '.join(f + '_v AS ' + f for f in _END_FIELDS)} FROM st""",
     "trips_replay": _TRIPS_REPLAY,
     "trips_merge": _trips_sql("merge"),
+    "trips_from_lines": f"""SELECT * FROM ({_NORMALIZE_START_EVENTS}) s
+FULL JOIN ({_end_fields_sql(strict=False)}) e USING (trip_id)""",
     "trips_replay_stream": _TRIPS_REPLAY,
     "daily_kpis_completed_by_pickup": f"""WITH {_PAIRED}
 SELECT pickup_datetime, {_kpis()}
@@ -288,6 +310,7 @@ SELECT CAST(dropoff_datetime AS DATE) AS "DAY", {_kpis()}
 FROM j WHERE dropoff_datetime IS NOT NULL GROUP BY 1""",
     "run_report": _RUN_REPORT,
     "write_outputs": _write_outputs_sql(),
+    "kpi_job_values": _kpi_values_sql(),
     "kpis_large": f"""WITH {_LARGE}
 SELECT s.pickup_datetime, {_kpis()}
 FROM s JOIN e USING (trip_id) WHERE e.dropoff_datetime IS NOT NULL

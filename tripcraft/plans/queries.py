@@ -30,14 +30,14 @@ from tripcraft.operators import (
     run_report,
 )
 from tripcraft.operators.validate import RECORD, REASON
-from tripcraft.plans.events import START_BODY, end_path, start_path
-from tripcraft.plans.kpi_job import kpi_job_outputs
-from tripcraft.schemas import END_FIELDS, TRIP_START
+from tripcraft.plans.events import START_BODY, assemble_from_lines, end_path, start_path
+from tripcraft.plans.kpi_job import kpi_job_outputs, run_kpi_job
+from tripcraft.schemas import END_COLUMNS, END_FIELDS, TRIP_END, TRIP_START
 from tripcraft.session import default_parallelism, scratch_path
 from tripcraft.sinks import write_outputs
 from tripcraft.sources import supplied as S
 from tripcraft.sources.csv import read_trips_csv, write_trips_csv
-from tripcraft.sources.lines import read_lines
+from tripcraft.sources.lines import read_lines, with_line_seq
 from tripcraft.sources.trips import read_trips
 from tripcraft.streaming import read_event_stream, read_trip_table, start_trip_table
 
@@ -112,6 +112,12 @@ def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_trips_csv(spark, path, TRIP_START)
 
 
+def q_csv_scan_ends(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "trip-end-csv")
+    write_trips_csv(S.paired_ends(spark, sf), path)
+    return read_trips_csv(spark, path, TRIP_END)
+
+
 def q_parse_start_lines(spark: SparkSession, sf: str) -> DataFrame:
     from tripcraft.sources.lines import parse_start_lines
 
@@ -138,6 +144,12 @@ def q_start_events(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("estimated_fare_amount", F.col("estimated_fare_amount").try_cast("double"))
 
 
+def q_end_events(spark: SparkSession, sf: str) -> DataFrame:
+    events = end_path(_end_lines(spark, sf), handoff=_handoff(spark)).events
+    body = F.from_json(F.col("value"), ", ".join(f"{c} string" for c in END_COLUMNS))
+    return events.select("key", body.alias("b")).select("key", "b.*")
+
+
 def q_decoded_events(spark: SparkSession, sf: str) -> DataFrame:
     sp = start_path(_start_lines(spark, sf), _handoff(spark))
     decoded = sp.stages[1].accepted
@@ -229,6 +241,13 @@ def q_trips_merge(spark: SparkSession, sf: str) -> DataFrame:
     return assemble_trips(_trip_events(spark, sf), "merge")
 
 
+def q_trips_from_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Both line files through the whole event path to J4, in the order of the files."""
+    starts = with_line_seq(_start_lines(spark, sf), 0)
+    ends = with_line_seq(_end_lines(spark, sf), 1)
+    return assemble_from_lines(starts, ends, handoff=_handoff(spark))[0]
+
+
 def q_trips_replay_stream(spark: SparkSession, sf: str) -> DataFrame:
     """J4 as a streaming aggregation over event files, out of order.
 
@@ -304,12 +323,32 @@ def q_write_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def q_kpi_job_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Values of the KPI job's outputs read back, with both grains of the drop-off key."""
+    trips_path = scratch_path(spark, "trips")
+    assemble_trips(_trip_events(spark, sf), "replay").write.mode("overwrite").parquet(trips_path)
+    by_day = run_kpi_job(spark, trips_path, scratch_path(spark, "kpis"))
+    raw = run_kpi_job(spark, trips_path, scratch_path(spark, "kpis-raw"), grain="raw")
+
+    def values(name: str, path: str, key: str) -> DataFrame:
+        day = F.date_format(F.col(key).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
+        return rounded_kpis(spark.read.parquet(path)).select(
+            F.lit(name).alias("dataset"), day.alias("day"),
+            "total_fare", "count_trips", "average_fare", "max_fare", "min_fare")
+
+    return (values("all_trips_daily_kpis", by_day["all_trips_daily_kpis"], "pickup_datetime")
+            .unionByName(values("completed_trips_daily_kpis", by_day["completed_trips_daily_kpis"], "DAY"))
+            .unionByName(values("raw_grain", raw["completed_trips_daily_kpis"], "DAY")))
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
+    "csv_scan_ends": q_csv_scan_ends,
     "parse_start_lines": q_parse_start_lines,
     "parse_end_lines": q_parse_end_lines,
     "line_rejects": q_line_rejects,
     "start_events": q_start_events,
+    "end_events": q_end_events,
     "decoded_events": q_decoded_events,
     "read_trips": q_read_trips,
     "normalize_starts": q_normalize_starts,
@@ -326,12 +365,14 @@ QUERIES: dict[str, Query] = {
     "trips_update_only": q_trips_update_only,
     "trips_replay": q_trips_replay,
     "trips_merge": q_trips_merge,
+    "trips_from_lines": q_trips_from_lines,
     "trips_replay_stream": q_trips_replay_stream,
     "daily_kpis_completed_by_pickup": q_daily_kpis_completed_by_pickup,
     "daily_kpis_all": q_daily_kpis_all,
     "daily_kpis_completed_by_dropoff": q_daily_kpis_completed_by_dropoff,
     "run_report": q_run_report,
     "write_outputs": q_write_outputs,
+    "kpi_job_values": q_kpi_job_values,
     "kpis_large": q_kpis_large,
     "kpis_large_by_dropoff": q_kpis_large_by_dropoff,
 }

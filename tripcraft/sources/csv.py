@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Date-times are written as ``yyyy-MM-dd HH:mm:ss``; fractions are optional.
-CSV_TIMESTAMP_READ = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# A date, alone or with a time after a blank or T; seconds and fractions are optional.
+CSV_TIMESTAMP_READ = "yyyy-MM-dd[ HH:mm[:ss[.SSSSSS]]]['T'HH:mm[:ss[.SSSSSS]]]"
 CSV_TIMESTAMP_WRITE = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -16,6 +16,9 @@ def read_trips_csv(
     """Read trip CSV files with a header line.
 
     With ``schema`` (recommended) types are fixed and no inference pass runs;
+    columns go by the names of the header in any order, a missing one raises,
+    and further ones are left out. All files of one read share one header
+    (checked by the scan). The result has the schema's columns.
     without it types are inferred from the data, which costs an extra scan and
     is data-dependent (a ``trip_id`` column of digits infers as int). Fields
     that do not parse are null (PERMISSIVE); the job does not fail.
@@ -26,11 +29,16 @@ def read_trips_csv(
         .option("timestampNTZFormat", CSV_TIMESTAMP_READ)
         .option("timestampFormat", CSV_TIMESTAMP_READ)
     )
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", "true").csv(path)
+    names = reader.csv(path).columns  # reads one header line
+    missing = [n for n in schema.fieldNames() if n not in names]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path!r}")
+    found = T.StructType(
+        [schema[n] if n in schema.fieldNames() else T.StructField(n, T.StringType()) for n in names]
+    )
+    return reader.schema(found).option("enforceSchema", "false").csv(path).select(*schema.fieldNames())
 
 
 def write_trips_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

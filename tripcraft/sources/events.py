@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripcraft.operators.validate import REASON, RECORD, Checked
+from tripcraft.operators.validate import NOTE, REASON, RECORD, Checked
 
 _NUMERIC_JSON = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
@@ -25,7 +25,7 @@ def to_events(
     body = F.to_json(F.struct(*[F.col(f) for f in fields]), {"ignoreNullFields": "false"})
     cols = [F.col(key_col).cast("string").alias("key"), body.alias("value")]
     if seq_col:
-        cols.append(F.col(seq_col).cast("long").alias("seq"))
+        cols.append(F.col(seq_col).alias("seq"))
     return rows.select(*cols)
 
 
@@ -40,6 +40,10 @@ def _json_type(v: Column, name: str) -> Column:
 
 def _field(v: Column, f: T.StructField, mode: str) -> Column:
     target = f.dataType.simpleString()
+    if mode == "coerce" and isinstance(f.dataType, T.LongType):
+        # A fraction is no integer: null with a note, never truncated.
+        n = F.try_variant_get(v, f"$.{f.name}", target)
+        return F.when(n.cast("double") == F.try_variant_get(v, f"$.{f.name}", "double"), n)
     if mode == "coerce":
         return F.try_variant_get(v, f"$.{f.name}", target)
     # strict: the JSON value must already be of the field's kind.
@@ -64,8 +68,9 @@ def decode_events(
 
     A record whose body is not base64, not UTF-8 or not a JSON object is
     refused as ``undecodable`` (counted, never fatal). ``coerce`` converts
-    field values to the schema's types where possible (``"16.0"`` -> 16.0);
-    ``strict`` takes a value only when its JSON type already matches.
+    field values to the schema's types where possible (``"16.0"`` -> 16.0); an
+    integer field that was sent but is no integer is null and noted as
+    ``bad_<field>``. ``strict`` takes a value only when its JSON type already matches.
     """
     if mode not in ("coerce", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -88,10 +93,19 @@ def decode_events(
     )
     v = F.col("_v")
     is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    note = F.lit(None).cast("string")
+    if mode == "coerce":
+        bad = [
+            F.when(_field(v, f, mode).isNull() & F.try_variant_get(v, f"$.{f.name}", "string").isNotNull(),
+                   F.lit(f"bad_{f.name}"))
+            for f in schema.fields if isinstance(f.dataType, T.LongType)
+        ]
+        note = F.coalesce(*bad, note)
     out = parsed.select(
         *[_field(v, f, mode).alias(f.name) for f in schema.fields],
         *[c for c in keep if c not in schema.fieldNames()],
         F.when(~is_object, F.lit("undecodable")).alias(REASON),
+        note.alias(NOTE),
         F.col(RECORD),
     )
     return Checked(out, stage)

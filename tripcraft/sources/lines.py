@@ -73,14 +73,21 @@ def parse_end_lines(lines: DataFrame, stage: str = "parse_end") -> Checked:
 
 
 def with_line_seq(lines: DataFrame, stream_rank: int) -> DataFrame:
-    """Order lines read from files: ``seq`` = stream rank, then position.
+    """Order lines read from files (``read_lines``): ``seq`` is a struct.
 
-    ``monotonically_increasing_id`` is fixed by the input split and the row's
-    place in it, so a recomputed task gives the same numbers. The producers
-    send all start lines before the end lines, hence the rank in the top bits.
+    Order: rank of the stream (the producers send all start lines before the
+    end lines), path of the file, start of the block in the file, position in
+    the block. Blocks of a file may run in any order or task; within one the
+    row number of the task grows, and a recomputed task gives the same one.
     """
     return lines.withColumn(
-        "seq", F.monotonically_increasing_id() + F.lit(stream_rank).cast("long") * F.lit(1 << 62)
+        "seq",
+        F.struct(
+            F.lit(stream_rank).alias("stream"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
     )
 
 

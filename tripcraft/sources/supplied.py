@@ -9,7 +9,8 @@ Paired view (batch path): even ``event_id`` -> a start, odd -> an end, both of
 trip ``event_id div 2``. Interleaved view (keyed merge): trip ``event_id div 4``,
 ``seq = event_id``; ``signup``/``view`` events are starts, the rest ends.
 Raw-line view: the paired rows as producer CSV lines, damaged by
-``event_id % 10`` so that every refusal rule fires.
+``event_id % 10`` so that refusal rules and notes fire. Some unfinished trips
+have a fare and some ends no rate code, so that the trip filters differ.
 """
 
 from __future__ import annotations
@@ -52,10 +53,10 @@ def _end_cols() -> dict[str, Column]:
     k = _k()
     return {
         "dropoff_datetime": F.when(ok, F.col("ts")),
-        "rate_code": (F.lit(1) + k % 6).cast("string"),
+        "rate_code": F.when(k % 6 != 5, (F.lit(1) + k % 6).cast("string")),
         "passenger_count": (k % 7).cast("double"),
         "trip_distance": F.col("value") / F.lit(10.0),
-        "fare_amount": F.when(ok, F.col("value")),
+        "fare_amount": F.when(ok | (k % 2 == 1), F.col("value")),
         "tip_amount": (k % 4).cast("double"),
         "payment_type": F.col("event_type"),
         "trip_type": (F.lit(1) + F.col("user_id") % 2).cast("string"),
@@ -115,7 +116,8 @@ def start_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Producer lines of the starts, with a header line.
 
     ``event_id % 10``: 0 drops the last field, 2 sends vendor ``abc``, 4 a
-    date-only pickup, 6 a malformed pickup, 8 clean.
+    date-only pickup, 6 a malformed pickup, 8 clean but for a malformed
+    estimated drop-off where ``k % 5`` is 0.
     """
     ev = table(spark, sf_dir, "events").filter(F.col("event_id") % 2 == 0)
     s = _start_cols()
@@ -132,7 +134,8 @@ def start_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(s["dropoff_location_id"]),
         vendor,
         pickup,
-        _dt_text(s["estimated_dropoff_datetime"]),
+        F.when((d == 8) & (_k() % 5 == 0), F.date_format(s["estimated_dropoff_datetime"], "dd/MM/yyyy"))
+        .otherwise(_dt_text(s["estimated_dropoff_datetime"])),
     ]
     full = F.concat_ws(",", *head, _text(s["estimated_fare_amount"]))
     short = F.concat_ws(",", *head)
@@ -144,14 +147,18 @@ def end_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Producer lines of the ends, with a header line.
 
     ``event_id % 10``: 1 drops the last field, 3 blanks ``trip_id``, 5 blanks
-    every other field, 7 sends a zero fare, 9 clean.
+    every other field, 7 sends a zero fare, 9 clean but for an unreadable
+    drop-off where ``k % 5`` is 0.
     """
     ev = table(spark, sf_dir, "events").filter(F.col("event_id") % 2 == 1)
     e = _end_cols()
     d = F.col("event_id") % 10
     blank = d == 5
     fields = [
-        F.when(blank, F.lit("")).otherwise(_dt_text(e["dropoff_datetime"])),
+        F.when(blank, F.lit(""))
+        .when((d == 9) & (_k() % 5 == 0), F.coalesce(
+            F.date_format(e["dropoff_datetime"], "yyyy/MM/dd HH:mm:ss"), F.lit("")))
+        .otherwise(_dt_text(e["dropoff_datetime"])),
         *[
             F.when(blank, F.lit("")).otherwise(_text(e[n]))
             for n in ("rate_code", "passenger_count", "trip_distance")
