@@ -1,26 +1,20 @@
 """Column expressions shared by the operators (all built-in, JVM-side)."""
 
 from tripcraft.functions.datetime import (
-    date_only,
     parse_date_text,
     parse_datetime_text,
     time_of_day,
     to_ntz,
 )
 from tripcraft.functions.validity import (
-    blank_to_null,
     finite,
-    is_blank,
     number_or_null,
     valid_number,
     valid_text,
 )
 
 __all__ = [
-    "blank_to_null",
-    "date_only",
     "finite",
-    "is_blank",
     "number_or_null",
     "parse_date_text",
     "parse_datetime_text",

@@ -30,8 +30,3 @@ def parse_date_text(c: Column) -> Column:
 def time_of_day(c: Column) -> Column:
     """``HH:mm:ss`` text of a timestamp column."""
     return F.date_format(c, TIME_OF_DAY_PATTERN)
-
-
-def date_only(c: Column) -> Column:
-    """Truncate a timestamp to its calendar date."""
-    return F.to_date(c)

@@ -19,18 +19,10 @@ def strip_text(c: Column) -> Column:
     return F.btrim(c, F.lit(_SPACE_CHARS))
 
 
-def is_blank(c: Column) -> Column:
-    return c.isNull() | (strip_text(c) == "")
-
-
 def valid_text(c: Column) -> Column:
     return c.isNotNull() & (strip_text(c) != "")
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.when(valid_text(c), c)
-
-
 #: Decimal numbers and the names of what isn't finite; the text forms that only a JVM reads (12d, 0x1p3) are not among them.
 DECIMAL_NUMBER = r"(?i)^\s*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|nan|inf|infinity)\s*$"
 

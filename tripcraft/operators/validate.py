@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tripcraft.functions.datetime import parse_date_text, parse_datetime_text, to_ntz
 from tripcraft.functions.validity import number_or_null, valid_number, valid_text
-from tripcraft.schemas import DESCRIPTIVE_FIELDS, END_FIELD_KINDS, END_FIELDS, REJECT
+from tripcraft.schemas import DESCRIPTIVE_FIELDS, END_FIELD_KINDS, END_FIELDS
 
 REASON = "_reason"
 NOTE = "_note"
@@ -188,7 +188,6 @@ def fully_described(df: DataFrame) -> DataFrame:
 
 __all__ = [
     "Checked",
-    "REJECT",
     "completed",
     "fully_described",
     "mask_invalid",

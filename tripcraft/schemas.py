@@ -112,24 +112,3 @@ END_EVENT = T.StructType(
 TRIP = T.StructType(
     list(START_EVENT.fields) + [f for f in END_EVENT.fields if f.name != "trip_id"]
 )
-
-# Input of the keyed merge: both event kinds in one frame, ordered by seq.
-TRIP_EVENT = T.StructType(
-    [
-        T.StructField("seq", T.LongType()),
-        T.StructField("kind", T.StringType()),
-    ]
-    + list(TRIP.fields)
-)
-
-# Quarantine rows (V4): where a record was set aside and why.
-REJECT = T.StructType(
-    [
-        T.StructField("stage", T.StringType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("trip_id", T.StringType()),
-        T.StructField("record", T.StringType()),
-    ]
-)
-
-KPI_COLUMNS = ["total_fare", "count_trips", "average_fare", "max_fare", "min_fare"]
