@@ -37,11 +37,15 @@ def prefix_borders(symbols: np.ndarray, n_symbols: int, order: np.ndarray, least
     border[[0, n]] = True
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
     for length in range(1, least + 1):
-        lone = high - low == 1  # one row has one extension
-        found = [(before[low[lone]], step[low[lone]], step[low[lone]] + 1)]
-        low, high = low[~lone], high[~lone]
+        size = high - low
+        one = low[size == 1]  # one row has one extension
+        two = low[size == 2]  # two rows have a common one, or one each
+        same = before[two] == before[two + 1]
+        one, two = np.concatenate([one, two[~same], two[~same] + 1]), two[same]
+        found = [(before[one], step[one], step[one] + 1), (before[two], step[two], step[two] + 2)]
+        low, high = low[size > 2], high[size > 2]
         for at in range(0, len(low), 1 << 17):
-            symbol, a, b, _ = matrix.children(low[at:at + (1 << 17)], high[at:at + (1 << 17)])
+            symbol, a, b = matrix.children(low[at:at + (1 << 17)], high[at:at + (1 << 17)])
             found.append((symbol, smaller[symbol] + a, smaller[symbol] + b))
         symbol, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
         # The whole text's last border is set from the start, yet its strings go on.
@@ -56,11 +60,13 @@ def prefix_borders(symbols: np.ndarray, n_symbols: int, order: np.ndarray, least
 def lowest_starts(shard: R.Shard, length: int) -> list[np.ndarray]:
     """For each window of each text the lowest id rank of the documents in which it starts."""
     sizes = np.array([len(t) for t in shard.texts], np.int64)
-    symbols = np.frombuffer(b"\0".join([*shard.texts, b""]), np.uint8).astype(np.int16) + np.int16(1)
+    data = np.frombuffer(b"\0".join([*shard.texts, b""]), np.uint8)
+    code = np.cumsum(np.bincount(data, minlength=256) > 0).astype(np.int16)  # bytes in use, from 1
+    symbols, n_symbols = code[data], int(code[-1]) + 1
     begin = np.cumsum(sizes + 1) - sizes - 1
     symbols[begin + sizes] = 0
-    order = bounded_suffix_order(symbols, 257, length)
-    border = prefix_borders(symbols, 257, order, length)
+    order = bounded_suffix_order(symbols, n_symbols, length)
+    border = prefix_borders(symbols, n_symbols, order, length)
     group = np.cumsum(border) - 1
     windows = sizes - length + 1
     inner = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)

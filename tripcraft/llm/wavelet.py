@@ -37,6 +37,7 @@ class WaveletMatrix:
             ones = (rest >> bit & 1).astype(bool)
             self.levels.append(Bits(ones))
             rest = np.concatenate([rest[~ones], rest[ones]])
+        self.last = rest
         # Where each symbol's block begins once all bits have been followed.
         self.base = np.zeros(n_symbols, np.int64)
         if len(rest):
@@ -51,20 +52,16 @@ class WaveletMatrix:
         return i - self.base[symbols]
 
     def children(self, low: np.ndarray, high: np.ndarray):
-        """All (symbol, rank at low, rank at high) with an occurrence in [low, high).
-
-        Also returns, for each, the index of the interval that it came from.
-        """
-        owner = np.arange(len(low))
-        symbol = np.zeros(len(low), np.int64)
+        """All (symbol, rank at low, rank at high) with an occurrence in [low, high)."""
         for level in self.levels:
             a, b = level.ones(low), level.ones(high)
-            zero, one = high - b > low - a, b > a
-            owner = np.concatenate([owner[zero], owner[one]])
-            symbol = np.concatenate([symbol[zero] << 1, symbol[one] << 1 | 1])
-            low, high = (np.concatenate([(low - a)[zero], level.zeros + a[one]]),
-                         np.concatenate([(high - b)[zero], level.zeros + b[one]]))
-        return symbol, low - self.base[symbol], high - self.base[symbol], owner
+            c, d = low - a, high - b
+            zero, one = d > c, b > a
+            low = np.concatenate([c[zero], level.zeros + a[one]])
+            high = np.concatenate([d[zero], level.zeros + b[one]])
+        symbol = self.last[low].astype(np.int64)
+        base = self.base[symbol]
+        return symbol, low - base, high - base
 
 
 def bounded_suffix_order(symbols: np.ndarray, n_symbols: int, depth: int) -> np.ndarray:
