@@ -120,6 +120,12 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * q[starts])
 
 
+def run_hash(prefix: np.ndarray, n: int) -> np.ndarray:
+    """``span_hash`` of all runs of n consecutive bytes."""
+    _, q = powers(len(prefix) - 1)
+    return mix((prefix[n:] - prefix[:-n]) * q[:len(prefix) - n])
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray,
                solid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each document, or runs of the bytes that ``solid`` marks.

@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcraft.llm.common import (
-    NO_ID, ngram_hash, pieces, prefix_hash, shuffle_partitions, solid_bytes, span_hash, table_name,
-    text_pieces, word_spans, write_table,
+    NO_ID, ngram_hash, pieces, prefix_hash, run_hash, shuffle_partitions, solid_bytes, span_hash,
+    table_name, text_pieces, word_spans, write_table,
 )
 from tripcraft.session import scratch_path
 
@@ -147,14 +147,14 @@ class Piece:
             return np.zeros(0, np.uint64)
         if units is not None:
             return ngram_hash(units, k)
-        at = np.arange(self.n - k + 1)
-        return span_hash(prefix_hash(self.text), at, at + k)
+        return run_hash(prefix_hash(self.text), k)
 
-    def span(self, a: int, b: int) -> bytes:
-        """Text of the units [a, b)."""
+    def spans(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Texts of the units [first, last) of each pair."""
         if self.window.words:
-            return self.text[self.starts[a]:self.ends[b - 1]].tobytes()
-        return self.text[a:b].tobytes()
+            first, last = self.starts[first], self.ends[last - 1]
+        text = self.text.tobytes()
+        return [text[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
 
     def runs(self):
         """(first, last, owner): runs of valid window starts with one minimizer."""
@@ -227,25 +227,26 @@ def repeated_anchors(chunks: DataFrame, window: Window, shards: int) -> DataFram
 
 
 def regions(piece: Piece, anchors: tuple[np.ndarray, np.ndarray], shards: int):
-    """(first, last, shard) for the runs of windows that can repeat, in order.
+    """Arrays (first, last, shard) for the runs of windows that can repeat, in order.
 
     shard is -1 for windows of hot minimizers, which stand alone.
     """
     first, last, owner = piece.runs()
     if not len(first) or not len(anchors[0]):
-        return []
+        return (np.zeros(0, np.int64),) * 3
     bucket, code = _code(piece.grams[owner], shards)
     key = bucket << 32 | code
     at = np.minimum(np.searchsorted(anchors[0], key), len(anchors[0]) - 1)
     found = anchors[0][at] == key
-    hot = found & anchors[1][at]
-    out = []
-    for i in np.flatnonzero(found).tolist():
-        if hot[i]:
-            out.extend((s, s, -1) for s in range(first[i], last[i] + 1))
-        else:
-            out.append((int(first[i]), int(last[i]), int(bucket[i])))
-    return out
+    first, last, bucket, hot = first[found], last[found], bucket[found], anchors[1][at[found]]
+    count = np.where(hot, last - first + 1, 1)
+    first, hot = np.repeat(first, count) + _inner(count), np.repeat(hot, count)
+    return first, np.where(hot, first, np.repeat(last, count)), np.where(hot, -1, np.repeat(bucket, count))
+
+
+def _inner(count: np.ndarray) -> np.ndarray:
+    """0, 1, ..., count - 1 for each count."""
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
 
 
 class Candidates:
@@ -258,29 +259,26 @@ class Candidates:
         key = np.repeat(replies["bucket"].to_numpy(np.int64), sizes) << 32 | code
         order = np.argsort(key)
         anchors = key[order], np.frombuffer(b"".join(replies["hot"]), bool)[order]
-        self.texts: dict[bytes, int] = {}
-        self.lowest, self.counts, self.shard, self.windows = [], [], [], []
+        index: dict[bytes, int] = {}
         self.places = []
+        every = [(np.zeros(0, np.int64),) * 4]
         for piece in self.chunk.pieces():
-            found = regions(piece, anchors, shards)
-            own = np.zeros(len(found), np.int64)
-            docs = np.searchsorted(piece.doc_at, [f[0] for f in found], "right") - 1 + piece.first_doc
-            rank = self.chunk.rank[docs].tolist() if len(found) else []
-            for j, (a, b, shard) in enumerate(found):
-                text = piece.span(a, b + window.length)
-                i = self.texts.setdefault(text, len(self.texts))
-                if i == len(self.shard):
-                    self.shard.append(shard if shard >= 0 else xxhash.xxh64_intdigest(text) % shards)
-                    self.lowest.append(rank[j])
-                    self.counts.append(1)
-                    self.windows.append(b - a + 1)
-                else:
-                    self.lowest[i] = min(self.lowest[i], rank[j])
-                    self.counts[i] += 1
-                own[j] = i
-            self.places.append((piece, np.array([f[0] for f in found], np.int64), own, docs))
-        self.shard = np.array(self.shard, np.int64)
-        self.windows = np.array(self.windows, np.int64)
+            first, last, shard = regions(piece, anchors, shards)
+            own = np.array([index.setdefault(text, len(index)) for text in piece.spans(first, last + window.length)],
+                           np.int64)
+            docs = np.searchsorted(piece.doc_at, first, "right") - 1 + piece.first_doc
+            self.places.append((piece, first, own, docs))
+            every.append((own, self.chunk.rank[docs], shard, last - first + 1))
+        self.texts = list(index)
+        own, rank, shard, windows = (np.concatenate(x) for x in zip(*every, strict=True))
+        n = len(self.texts)
+        self.counts = np.bincount(own, minlength=n)
+        self.lowest = np.full(n, NO_ID, np.int64)
+        np.minimum.at(self.lowest, own, rank)
+        self.shard, self.windows = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.shard[own], self.windows[own] = shard, windows  # alike for equal texts
+        for i in np.flatnonzero(self.shard < 0).tolist():
+            self.shard[i] = xxhash.xxh64_intdigest(self.texts[i]) % shards
         self.order = np.argsort(self.shard, kind="stable")
 
     def groups(self):
@@ -298,12 +296,11 @@ def shard_rows(chunks: DataFrame, repeated: DataFrame, window: Window, shards: i
         out = []
         for row in row_frame.to_dict("records"):
             found = Candidates(row, replies, window, shards)
-            texts = list(found.texts)
+            sizes = np.array([len(text) for text in found.texts], np.int64)
             for shard, own in found.groups():
-                parts = [texts[i] for i in own]
-                out.append((shard, row["chunk"], np.array([len(x) for x in parts], np.int64).tobytes(),
-                            np.array([found.lowest[i] for i in own], np.int64).tobytes(),
-                            np.array([found.counts[i] for i in own], np.int64).tobytes(), _pack(b"".join(parts))))
+                out.append((shard, row["chunk"], sizes[own].tobytes(), found.lowest[own].tobytes(),
+                            found.counts[own].astype(np.int64).tobytes(),
+                            _pack(b"".join([found.texts[i] for i in own.tolist()]))))
         return pd.DataFrame(out, columns=["bucket", "chunk", "sizes", "lowest", "counts", "text"])
 
     texts = chunks.select("chunk", "ids", "no_id", "sizes", "text")
@@ -382,7 +379,7 @@ def answered(chunks: DataFrame, repeated: DataFrame, answers: DataFrame, window:
             values = np.concatenate([*values, np.zeros(0, np.int64)])
             for piece, starts, own, docs in found.places:
                 count = found.windows[own]
-                inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                inner = _inner(count)
                 gone = values[np.repeat(begin[own], count) + inner] < np.repeat(found.chunk.rank[docs], count)
                 mark = np.zeros(piece.n + 1, np.int32)
                 mark[(np.repeat(starts, count) + inner)[gone]] = 1
