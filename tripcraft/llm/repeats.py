@@ -39,7 +39,7 @@ from tripcraft.session import scratch_path
 
 CHUNK_BYTES = 4 << 20
 #: Text bytes for each shard, before anchors select the part that is sent.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Occurrences from which a minimizer's windows are dealt out one by one.
 HOT = 20_000
 #: Decision for a window that goes wherever it stands (below every id rank).
