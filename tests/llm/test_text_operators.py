@@ -226,6 +226,44 @@ def test_toxicity(spark, none):
     assert toxicity.op5(docs, table.limit(0)).count() == len(data)
 
 
+def test_toxicity_of_rare_words(spark):
+    rng = random.Random(16)
+    data = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(20))) for i in range(60)]
+    for i in (101, 102, 104):  # words of their own, which no other example has
+        data.append((i, " ".join(f"r{i}x{k}" for k in range(12))))
+    data += [(201, data[60][1]), (202, data[61][1].upper() + " more"), (203, "in no example")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 7, "x", "y") for i, t in data], SCHEMA)
+    table = spark.createDataFrame([(i, 1, int(i > 100)) for i, _ in data if i < 200], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, table)
+    own = [set(t.lower().split()) for _, t in data]
+    count = {w: sum(w in o for o in own) for o in own for w in o}
+    learned = [(i, o) for (i, _), o in zip(data, own, strict=True)
+               if i < 200 and zlib.crc32(str(i).encode()) % 5]
+    bad, n = sum(i > 100 for i, _ in learned), len(learned)
+    assert bad == 3
+
+    def vector(text):
+        out = {}
+        words = text.lower().split()
+        for w in set(words):
+            seen, a = sum(w in o for _, o in learned), sum(w in o and i > 100 for i, o in learned)
+            chi = n * (a * (n - seen - bad + a) - (seen - a) * (bad - a)) ** 2 / max(seen * (n - seen) * bad * (n - bad), 1)
+            idf = np.log((1 + len(data)) / (1 + (count[w] if seen else 1))) + 1
+            out[w] = (1 + np.log(words.count(w))) * idf * np.sqrt(1 + chi)
+        length = np.sqrt(sum(x * x for x in out.values()))
+        return {w: x / length for w, x in out.items()}
+
+    vectors = {i: vector(t) for i, t in data}
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for i, _ in data:
+        cosine = {e: round(sum(x * vectors[e].get(w, 0) for w, x in vectors[i].items()), 10) for e, _ in learned}
+        want = sorted((-c, e) for e, c in cosine.items() if c > 0)[:3]
+        assert [-c for c, _ in want] == [cosine[e] for e in got[i].evidence]
+    assert got[201].evidence == [101] and got[202].evidence == [102] and got[203].evidence == []
+    begin, term, weight, _ = model.vocabulary.vectors(np.frombuffer(data[60][1].encode(), np.uint8), np.array([0, len(data[60][1])]))
+    assert model.index.vote(term[begin[0]:begin[1]], weight[begin[0]:begin[1]]) == (1.0, [101])
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(1)
     vectors = []

@@ -1,20 +1,21 @@
 """Operator 5, toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms whose presence depends on the label (chi-square test over the learning
-documents) span the vectors. Examples lie in an inverted index in blocks; each
-term has its largest weight in every block, so blocks that cannot reach the
-k-th best cosine are skipped and the search stays exact. Neighbours vote by
-inverse distance; votes are calibrated on the examples themselves, each left
-out of its own search.
+Every word of a text is a term. Document frequencies are counted over all
+documents; a term weighs more the more its presence depends on the label (square
+root of one plus its chi-square over the learning documents), none weighs
+nothing. Postings of all terms are added up, so the search is exact. Neighbours
+vote by inverse distance; votes are calibrated on the examples themselves, each
+left out of its own search.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +23,9 @@ from tripcraft.llm.common import (
     BYTE_CLASS, fold, lower_ascii, prefix_hash, span_hash, text_pieces, word_spans, write_table,
 )
 
-#: Labelled documents that are learned from (at most, by hash order), terms kept, and their chi-square.
+#: Labelled documents that are learned from (at most, by hash order).
 EXAMPLES = 8000
-TERMS = 2048
-CHI_SQUARE = 30.0
-LEAST_DOCS = 5
 NEIGHBOURS = 25
-BLOCK = 64
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -41,68 +38,81 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class Vocabulary:
-    """Sorted term hashes and their inverse document frequencies."""
+    """Sorted hashes of the examples' terms and their weights; ``other`` is the weight of a term in no example.
+
+    Such a term has no part in a product, only in the length of the vector;
+    there it counts as a term of one document.
+    """
 
     terms: np.ndarray
-    idf: np.ndarray
+    weight: np.ndarray
+    other: float
 
-    def vectors(self, data: np.ndarray, offsets: np.ndarray):
-        """(begin of each document, term numbers, weights); unit length, empty without terms."""
-        words, doc = terms(data, offsets)
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each word, whether it is a known term)."""
         if not len(self.terms):
-            return np.zeros(len(offsets), np.int64), np.zeros(0, np.int64), np.zeros(0)
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
         at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
-        known = self.terms[at] == words
-        key, count = np.unique(doc[known] * len(self.terms) + at[known], return_counts=True)
-        doc, term = np.divmod(key, len(self.terms))
-        weight = (1 + np.log(count)) * self.idf[term]
-        norm = np.sqrt(np.bincount(doc, weights=weight ** 2, minlength=len(offsets) - 1))
-        return np.searchsorted(doc, np.arange(len(offsets))), term, weight / norm[doc]
+        return at, self.terms[at] == words
+
+    def vectors(self, data: np.ndarray, offsets: np.ndarray):
+        """(begin of each document, term numbers, weights, words of each document); with other terms of unit length."""
+        words, doc = terms(data, offsets)
+        n = len(offsets) - 1
+        at, known = self.find(words)
+        size = np.bincount(doc, minlength=n)
+        key, count = np.unique(doc[known] * max(len(self.terms), 1) + at[known], return_counts=True)
+        own, term = np.divmod(key, max(len(self.terms), 1))
+        weight = (1 + np.log(count)) * self.weight[term]
+        words, doc = words[~known], doc[~known]
+        order = np.lexsort((words, doc))
+        words, doc = words[order], doc[order]
+        first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])][:len(words)])
+        rest = (1 + np.log(np.diff(np.r_[first, len(words)]))) * self.other
+        square = (np.bincount(own, weights=weight ** 2, minlength=n)
+                  + np.bincount(doc[first], weights=rest ** 2, minlength=n))
+        return np.searchsorted(own, np.arange(n + 1)), term, weight / np.sqrt(square)[own], size
 
 
 class Index:
-    """Block-max inverted index of the examples' vectors."""
+    """The examples' vectors, and the postings (example, weight) of each term."""
 
     def __init__(self, ids, toxic, vectors, n_terms: int):
-        order = sorted(range(len(ids)), key=lambda i: (vectors[i][0].tolist(), ids[i]))
+        order = sorted(range(len(ids)), key=lambda i: ids[i])
         self.ids, self.toxic = np.array(ids, np.int64)[order], np.array(toxic, float)[order]
         size = [len(vectors[i][0]) for i in order]
         self.begin = np.r_[0, np.cumsum(size)].astype(np.int64)
         self.term = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
         self.weight = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
-        self.n_blocks = -(-len(order) // BLOCK)
-        self.most = np.zeros((n_terms, self.n_blocks))
-        example = np.repeat(np.arange(len(order)), size)
-        np.maximum.at(self.most, (self.term, example // BLOCK), self.weight)
-        self.query = np.zeros(n_terms)
+        by_term = np.argsort(self.term, kind="stable")
+        self.first = np.r_[0, np.cumsum(np.bincount(self.term, minlength=n_terms))].astype(np.int64)
+        self.example = np.repeat(np.arange(len(order), dtype=np.int32), size)[by_term]
+        self.posted = self.weight[by_term]
         self.known: dict[bytes, tuple] = {}
 
+    def __getstate__(self):
+        """Workers get the postings only."""
+        return self.__dict__ | {"begin": None, "term": None, "weight": None, "known": {}}
+
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS, without: int = -1):
         """(positions, cosines) of the k nearest examples with a common term; ties to the smaller position."""
-        bound = weight @ self.most[term]
-        order = np.lexsort((np.arange(self.n_blocks), -bound))
-        self.query[term] = weight
-        at, cosine, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
-        step, i = 4, 0
-        while i < len(order) and bound[order[i]] > 0 and bound[order[i]] >= kth - 1e-9:
-            for b in order[i:i + step]:
-                lo, hi = b * BLOCK, min((b + 1) * BLOCK, len(self.ids))
-                part = slice(self.begin[lo], self.begin[hi])
-                found = np.add.reduceat(self.query[self.term[part]] * self.weight[part],
-                                        self.begin[lo:hi] - self.begin[lo])
-                at, cosine = np.r_[at, np.arange(lo, hi)], np.r_[cosine, found]
-            keep = (cosine > 0) & (at != without)
-            at, cosine = at[keep], np.round(cosine[keep], 12)
-            best = np.lexsort((at, -cosine))[:k]
-            at, cosine = at[best], cosine[best]
-            kth = cosine[-1] if len(cosine) == k else 0.0
-            i, step = i + step, step * 2
-        self.query[term] = 0
-        return at, cosine
+        size = self.first[term + 1] - self.first[term]
+        end = np.cumsum(size)
+        total = int(end[-1]) if len(end) else 0
+        at = np.repeat(self.first[term] - end + size, size) + np.arange(total)
+        cosine = np.round(np.bincount(self.example[at], weights=self.posted[at] * np.repeat(weight, size),
+                                      minlength=len(self.ids)), 12)
+        if without >= 0:
+            cosine[without] = 0
+        at = np.flatnonzero(cosine > 0)
+        if len(at) > k:
+            at = at[cosine[at] >= np.partition(cosine[at], len(at) - k)[len(at) - k]]
+        at = at[np.lexsort((at, -cosine[at]))[:k]]
+        return at, cosine[at]
 
     def vote(self, term: np.ndarray, weight: np.ndarray, without: int = -1):
         """(share of toxic votes or None, ids of the nearest examples); votes weigh inverse distances."""
-        key = term.tobytes() + weight.tobytes()
+        key = hashlib.blake2b(term.tobytes() + weight.tobytes(), digest_size=16).digest()
         if without < 0 and key in self.known:
             return self.known[key]
         at, cosine = self.nearest(term, weight, without=without)
@@ -119,6 +129,8 @@ class Index:
 
 @dataclass
 class Model:
+    #: A broadcast of (vocabulary, index), which are sent once and not with each function.
+    shared: Broadcast
     vocabulary: Vocabulary
     index: Index
     #: Rising calibration of votes, and the scores without a neighbour or without a term.
@@ -127,8 +139,15 @@ class Model:
     without_neighbour: float
     without_term: float
 
-    def score(self, term, weight) -> tuple[float, list[int]]:
-        if not len(term):
+    def __getstate__(self):
+        return self.__dict__ | {"vocabulary": None, "index": None}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.vocabulary, self.index = self.shared.value
+
+    def score(self, term, weight, words) -> tuple[float, list[int]]:
+        if not words:
             return self.without_term, []
         vote, evidence = self.index.vote(term, weight)
         if vote is None:
@@ -159,12 +178,12 @@ def rising(votes: np.ndarray, toxic: np.ndarray, prior: float, bins: int = 20):
 
 def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """Vocabulary, index and calibration from ``examples`` labelled documents of the learning folds."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     some = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()
                          & (fold("doc_id", FOLDS) != HELD_OUT))
             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples))
-    rows = write_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias(
-        "text")).join(F.broadcast(some), "doc_id"), "labelled")
+    rows = write_table(texts.join(F.broadcast(some), "doc_id"), "labelled")
 
     def count(batches):
         for piece, data, offsets in text_pieces(batches):
@@ -181,51 +200,71 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
 
     counts = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     n, n_toxic = counts["n"], counts["toxic"]
-    a, df = F.col("toxic").cast("double"), F.col("n").cast("double")
-    chi = (n * F.pow(a * (n - df - n_toxic + a) - (df - a) * (n_toxic - a), 2)
-           / (df * (n - df) * max(n_toxic, 1) * max(n - n_toxic, 1)))
-    best = (rows.select("text", "toxic").mapInArrow(count, "term long, n long, toxic long")
+    seen = (rows.select("text", "toxic").mapInArrow(count, "term long, n long, toxic long")
             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-            .where((F.col("n") >= LEAST_DOCS) & (F.col("n") < n)).withColumn("chi", chi)
-            .where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(TERMS)
-            .select("term", "n").collect())  # at most TERMS rows
-    best.sort(key=lambda r: r["term"])
-    vocabulary = Vocabulary(np.array([r["term"] for r in best], np.int64),
-                            np.array([np.log((1 + n) / (1 + r["n"])) + 1 for r in best]))
+            .orderBy("term").toArrow())  # the terms of at most ``examples`` documents
+    known, df, a = (seen.column(c).to_numpy() for c in ("term", "n", "toxic"))
+    a, df = a.astype(float), df.astype(float)
+    chi = (n * (a * (n - df - n_toxic + a) - (df - a) * (n_toxic - a)) ** 2
+           / np.maximum(df * (n - df) * max(n_toxic, 1) * max(n - n_toxic, 1), 1))
+    places = Vocabulary(known, np.ones(len(known)), 1.0)
+
+    def frequency(batches):
+        total, found = 0, np.zeros(len(places.terms), np.int64)
+        for piece, data, offsets in text_pieces(batches):
+            words, doc = terms(data, offsets)
+            at, hit = places.find(words)
+            own = np.unique(doc[hit] * max(len(found), 1) + at[hit]) % max(len(found), 1)
+            found += np.bincount(own, minlength=len(found))[:len(found)]
+            total += piece.num_rows
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array([None, *some.tolist()], pa.int64()),
+                                          pa.array(np.r_[total, found[some]])], ["place", "n"])
+
+    often = (texts.select("text").mapInArrow(frequency, "place long, n long")
+             .groupBy("place").agg(F.sum("n").alias("n")).toArrow().to_pandas())
+    total = int(often["n"][often["place"].isna()].sum())
+    often = often[often["place"].notna()]
+    df = np.zeros(len(known))
+    df[often["place"].to_numpy(np.int64)] = often["n"]
+    vocabulary = Vocabulary(known, (np.log((1 + total) / (1 + df)) + 1) * np.sqrt(1 + chi),
+                            float(np.log((1 + total) / 2)) + 1 if total else 1.0)
 
     def vectorize(batches):
         for piece, data, offsets in text_pieces(batches):
-            begin, term, weight = vocabulary.vectors(data, offsets)
+            begin, term, weight, size = vocabulary.vectors(data, offsets)
             spans = list(zip(begin[:-1], begin[1:], strict=True))
             yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id"), piece.column("toxic").cast(pa.int64()),
+                piece.column("doc_id"), piece.column("toxic").cast(pa.int64()), pa.array(size),
                 pa.array([term[x:y].tobytes() for x, y in spans], pa.binary()),
                 pa.array([weight[x:y].tobytes() for x, y in spans], pa.binary())],
-                ["doc_id", "toxic", "term", "weight"])
+                ["doc_id", "toxic", "size", "term", "weight"])
 
-    found = (rows.mapInArrow(vectorize, "doc_id long, toxic long, term binary, weight binary")
-             .orderBy("doc_id").collect())  # at most ``examples`` short vectors
-    full = [r for r in found if len(r["term"])]
+    found = (rows.mapInArrow(vectorize, "doc_id long, toxic long, size long, term binary, weight binary")
+             .collect())  # at most ``examples`` vectors
+    full = [r for r in found if r["size"]]
     vectors = [(np.frombuffer(r["term"], np.int64), np.frombuffer(r["weight"])) for r in full]
-    index = Index([r["doc_id"] for r in full], [r["toxic"] for r in full], vectors, len(best))
+    index = Index([r["doc_id"] for r in full], [r["toxic"] for r in full], vectors, len(known))
     prior = n_toxic / n if n else 0.0
     place = {int(d): i for i, d in enumerate(index.ids)}
 
-    def leave_out(frames):
-        for frame in frames:
-            yield pd.DataFrame([(r.toxic, index.vote(np.frombuffer(r.term, np.int64), np.frombuffer(r.weight),
-                                                     place[r.doc_id])[0]) for r in frame.itertuples()],
-                               columns=["toxic", "vote"])
-
-    spark = docs.sparkSession
-    votes = spark.createDataFrame(
-        [(r["doc_id"], r["toxic"], bytes(r["term"]), bytes(r["weight"])) for r in full],
-        "doc_id long, toxic long, term binary, weight binary").mapInPandas(
-        leave_out, "toxic long, vote double").toPandas()
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, index))
+
+    def leave_out(batches):
+        vocabulary, index = shared.value
+        for piece, data, offsets in text_pieces(batches):
+            begin, term, weight, size = vocabulary.vectors(data, offsets)
+            votes = [(y, index.vote(term[a:b], weight[a:b], place[d])[0]) for d, y, a, b, words in zip(
+                piece.column("doc_id").to_pylist(), piece.column("toxic").to_pylist(), begin[:-1], begin[1:], size,
+                strict=True) if words]
+            yield pa.RecordBatch.from_arrays([pa.array([v[0] for v in votes], pa.int64()),
+                                              pa.array([v[1] for v in votes], pa.float64())], ["toxic", "vote"])
+
+    votes = rows.mapInArrow(leave_out, "toxic long, vote double").toPandas().sort_values(["vote", "toxic"])
     voted = votes["vote"].notna()
     points, rates = rising(votes["vote"][voted].to_numpy(float), votes["toxic"][voted].to_numpy(float), prior)
-    without_term = np.array([r["toxic"] for r in found if not len(r["term"])], float)
-    return Model(vocabulary, index, points, rates, _rate(votes["toxic"][~voted].to_numpy(float), prior),
+    without_term = np.array([r["toxic"] for r in found if not r["size"]], float)
+    return Model(shared, vocabulary, index, points, rates, _rate(votes["toxic"][~voted].to_numpy(float), prior),
                  _rate(without_term, prior))
 
 
@@ -233,14 +272,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score (0 to 1, calibrated), predicted (score >= 0.5) and evidence for every row.
 
     evidence holds the ids of up to three nearest examples. Texts that are
-    null, empty or without a known term get the rate of such examples. Repeated
+    null, empty or without a word get the rate of such examples. Repeated
     rows and null ids give rows of their own; other columns are ignored.
     """
 
     def rate(batches):
         for piece, data, offsets in text_pieces(batches):
-            begin, term, weight = model.vocabulary.vectors(data, offsets)
-            found = [model.score(term[x:y], weight[x:y]) for x, y in zip(begin[:-1], begin[1:], strict=True)]
+            begin, term, weight, size = model.vocabulary.vectors(data, offsets)
+            found = [model.score(term[x:y], weight[x:y], words)
+                     for x, y, words in zip(begin[:-1], begin[1:], size, strict=True)]
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"), pa.array([f[0] for f in found], pa.float64()),
                 pa.array([int(f[0] >= 0.5) for f in found], pa.int32()),
