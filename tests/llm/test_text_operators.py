@@ -337,3 +337,22 @@ def test_decontamination(spark, none):
         (i, k) in want for i, _ in data for k in [next((k for j, k in want if j == i), -1)])
     assert decontaminate.contaminated(none, benchmark).collect() == []
     assert decontaminate.contaminated(docs, benchmark.limit(0)).collect() == []
+
+
+def test_benchmark_passages_at_all_offsets(spark):
+    rng = random.Random(19)
+    item = _text(rng, 80)[:394]
+    other = _text(rng, 12)
+    data = [(1000 * n + a, f"{other} {item[a:a + n]} {other}") for n in (64, 80, 96, 128) for a in range(394 - n + 1)]
+    data += [(100_000 + 1000 * n + a, f"{other} {item[a:a + n // 2]}##{item[a + n // 2 + 1:a + n]} {other}")
+             for n in (64, 96) for a in range(0, 394 - n + 1, 7)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 7, "x", "y") for i, t in data], SCHEMA)
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(4, item)], "item_id long, text string")).collect()
+    text, where = dict(data), len(other.encode()) + 1
+    found = {r.doc_id: r for r in got}
+    assert {i for i, _ in data if i >= 64_000} <= set(found)
+    for i, r in found.items():
+        passage = len(text[i].encode()) - 2 * where
+        assert r.item_id == 4 and r.start < where + passage and r.end > where
+        if i < 100_000:
+            assert r.start <= where and r.end >= where + passage

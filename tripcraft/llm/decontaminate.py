@@ -1,10 +1,12 @@
 """Operator 10, benchmark decontamination by the q-gram lemma and banded alignment.
 
-Benchmark items are cut into segments. A text that holds a segment with at most
-e edits shares at least len - q + 1 - q * e of its q-grams with it, all within
-a diagonal band of width e. Shared q-grams are counted in overlapping bands;
-bands that reach the bound are aligned (edit distance of the segment to any
-part of the band), and alignments within the budget are reported.
+Every run of SEGMENT or SHORT bytes of a benchmark item is a segment, wherever
+it starts. A text that holds a segment with at most e edits shares at least
+len - q + 1 - q * e of its q-grams with it, all within a diagonal band of width
+e. Q-grams of whole items are indexed and shared ones counted in overlapping
+bands, then in windows that slide over the item. Windows that reach the bound
+are aligned (edit distance of the segment to any part of the band; unbroken
+runs need none), and alignments within the budget are reported.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ from pyspark.sql import functions as F
 from tripcraft.llm.common import lower_ascii, prefix_hash, solid_bytes, span_hash, text_pieces
 
 Q = 8
-#: Bytes of a segment, and edits in hundredths of its length.
+#: Bytes of the segments (or a whole shorter item), and edits in hundredths of their length.
 SEGMENT = 96
+SHORT = 64
 EDIT_PERCENT = 8
 #: Benchmark bytes that one pass holds; a larger benchmark takes several passes.
 PASS_BYTES = 16 << 20
@@ -34,41 +37,58 @@ def folded(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _inner(count: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for every n of ``count``."""
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+
+
 class Segments:
-    """Segments of benchmark items with an index of their q-grams."""
+    """All segments of benchmark items, with an index of the items' q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item, self.text = [], []
-        for item, text in items:
-            data = np.frombuffer((text or "").encode(), np.uint8)
-            last = max(len(data) - SEGMENT, 0)
-            for a in [*range(0, last, SEGMENT // 2), last] if len(data) >= 2 * Q else []:
-                self.item.append(item)
-                self.text.append(folded(data[a:a + SEGMENT]))
-        size = np.array([len(t) for t in self.text], np.int64)
-        self.edits = size * EDIT_PERCENT // 100
-        self.least = np.maximum(size - Q + 1 - Q * self.edits, 1)
-        self.size = size
-        count = np.maximum(size - Q + 1, 0)
-        flat = np.concatenate([np.zeros(0, np.uint8), *self.text])
-        begin = np.cumsum(size) - size
-        inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        at = np.repeat(begin, count) + inner
-        grams = span_hash(prefix_hash(flat), at, at + Q)
+        texts = [(item, folded(np.frombuffer((text or "").encode(), np.uint8))) for item, text in items]
+        texts = [(item, text) for item, text in texts if len(text) >= 2 * Q]
+        self.ids = np.array([item for item, _ in texts], np.int64)
+        self.length = np.array([len(text) for _, text in texts], np.int64)
+        self.flat = np.concatenate([np.zeros(0, np.uint8), *(text for _, text in texts)])
+        self.begin = np.cumsum(self.length) - self.length
+        self.longest = int(self.length.max()) if len(texts) else 0
+        count = np.maximum(self.length - Q + 1, 0)
+        inner = _inner(count)
+        at = np.repeat(self.begin, count) + inner
+        grams = span_hash(prefix_hash(self.flat), at, at + Q)
         order = np.argsort(grams, kind="stable")
         self.grams, first = np.unique(grams[order], return_index=True)
         self.first = np.r_[first, len(order)]
-        self.segment = np.repeat(np.arange(len(size)), count)[order]
+        self.owner = np.repeat(np.arange(len(texts)), count)[order]
         self.place = inner[order]
         self.present = np.zeros(1 << _FILTER_BITS, bool)
         self.present[(self.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-        self.band = int(self.edits.max()) + 1 if len(size) else 1
+        self.band = SEGMENT * EDIT_PERCENT // 100 + 1
+
+    def _each(self):
+        """Every eighth segment and the last of each length: a sample for comparisons; the search looks for all."""
+        for i, length in enumerate(self.length.tolist()):
+            for size in sorted({min(length, SEGMENT), min(length, SHORT)}):
+                for a in [*range(0, length - size, 8), length - size]:
+                    yield i, self.begin[i] + a, size
+
+    @property
+    def item(self) -> list[int]:
+        return [int(self.ids[i]) for i, _, _ in self._each()]
+
+    @property
+    def text(self) -> list[np.ndarray]:
+        return [self.flat[a:a + size] for _, a, size in self._each()]
 
-    def bands(self, data: np.ndarray, offsets: np.ndarray):
-        """(document, segment, first diagonal) of the bands that reach the bound."""
-        none = (np.zeros(0, np.int64),) * 3
+    @property
+    def edits(self) -> list[int]:
+        return [size * EDIT_PERCENT // 100 for _, _, size in self._each()]
+
+    def hits(self, data: np.ndarray, offsets: np.ndarray):
+        """(document, item, place in the item, diagonal from 0) of the shared q-grams."""
         if len(data) < Q or not len(self.grams):
-            return none
+            return (np.zeros(0, np.int64),) * 4
         at = np.arange(len(data) - Q + 1)
         grams = span_hash(prefix_hash(data), at, at + Q)
         at = np.flatnonzero(self.present[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
@@ -79,28 +99,69 @@ class Segments:
         keep = at + Q <= offsets[doc + 1]
         at, found, doc = at[keep], found[keep], doc[keep]
         count = self.first[found + 1] - self.first[found]
-        inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        hit = np.repeat(self.first[found], count) + inner
-        segment, diagonal = self.segment[hit], np.repeat(at, count) - self.place[hit] + SEGMENT
-        doc = np.repeat(doc, count)
-        width = self.band
+        hit = np.repeat(self.first[found], count) + _inner(count)
+        place = self.place[hit]
+        return np.repeat(doc, count), self.owner[hit], place, np.repeat(at, count) - place + self.longest
+
+    def windows(self, data: np.ndarray, offsets: np.ndarray):
+        """Two frames: doc, item, place, size, diagonal to align, and doc, item, start, end of unbroken runs."""
+        doc, item, place, diagonal = self.hits(data, offsets)
+        width, many = self.band, int(offsets[-1] + 2 * self.longest) // self.band + 3
         # A run of diagonals of up to ``band`` lies in one of two overlapping bands of twice that width.
         band = np.r_[diagonal // width, diagonal // width - 1]
-        many = int(offsets[-1] + 2 * SEGMENT) // width + 3
-        key, n = np.unique((np.r_[segment, segment] * len(offsets) + np.r_[doc, doc]) * many + band + 1,
-                           return_counts=True)
-        rest, band = np.divmod(key, many)
-        segment, doc = np.divmod(rest, len(offsets))
-        keep = n >= self.least[segment]
-        return doc[keep], segment[keep], (band[keep] - 1) * width - SEGMENT
-
-    def align(self, data: np.ndarray, offsets: np.ndarray, doc, segment, diagonal):
+        key = (np.r_[item, item] * len(offsets) + np.r_[doc, doc]) * many + band + 1
+        own, group, n = np.unique(key, return_inverse=True, return_counts=True)
+        bound = self.least(np.minimum(self.length, SHORT))  # the smallest of an item
+        bound = np.minimum(bound, self.least(np.minimum(self.length, SEGMENT)))
+        good = n >= bound[own // many // len(offsets)] if len(own) else np.zeros(0, bool)
+        new = np.cumsum(good) - 1
+        hit = np.flatnonzero(good[group])
+        group, own = new[group[hit]], own[good]
+        hit %= max(len(doc), 1)
+        rest, band = np.divmod(own, many)
+        g_item, g_doc = np.divmod(rest, len(offsets))
+        wide = self.longest + 1
+        order = np.lexsort((place[hit], diagonal[hit], group))
+        hit, group = hit[order], group[order]
+        p, d = place[hit], diagonal[hit]
+        # Runs of consecutive places on one diagonal, each in every group that holds it.
+        first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)][:len(hit)])
+        run = np.diff(np.r_[first, len(hit)])
+        ordered = np.sort(group * wide + p)
+        align, exact = [], []
+        for longest in (SHORT, SEGMENT):
+            size = np.minimum(self.length, longest)[g_item]
+            if longest == SEGMENT:  # of items up to SHORT, the whole item is done already
+                size = np.where(self.length[g_item] > SHORT, size, 0)
+            count = np.where(size > 0, self.length[g_item] - size + 1, 0)
+            base = np.cumsum(count) - count
+            g, at = np.repeat(np.arange(len(own)), count), _inner(count)
+            shared = (np.searchsorted(ordered, g * wide + at + size[g] - Q, "right")
+                      - np.searchsorted(ordered, g * wide + at))
+            m = size[group[first]]
+            full = np.flatnonzero((m > 0) & (run >= m - Q + 1))
+            g_run, p_run = group[first[full]], p[first[full]]
+            mark = np.zeros(len(g) + 1, np.int64)
+            np.add.at(mark, base[g_run] + p_run, 1)
+            np.add.at(mark, base[g_run] + p_run + run[full] - (m[full] - Q), -1)
+            start = p_run + d[first[full]] - self.longest
+            exact.append(pd.DataFrame({"doc": g_doc[g_run], "item": g_item[g_run], "start": start,
+                                       "end": start + run[full] + Q - 1}))
+            left = np.flatnonzero((shared >= self.least(size[g])) & (np.cumsum(mark)[:-1] == 0))
+            g = g[left]
+            align.append(pd.DataFrame({"doc": g_doc[g], "item": g_item[g], "place": at[left], "size": size[g],
+                                       "diagonal": (band[g] - 1) * width - self.longest + at[left]}))
+        return pd.concat(align, ignore_index=True), pd.concat(exact, ignore_index=True).drop_duplicates()
+
+    @staticmethod
+    def least(size: np.ndarray) -> np.ndarray:
+        return np.maximum(size - Q + 1 - Q * (size * EDIT_PERCENT // 100), 1)
+
+    def align(self, data: np.ndarray, offsets: np.ndarray, doc, item, place, size, diagonal):
         """(fewest edits, start, end in the piece) of each segment within its band, by banded alignment."""
-        n, longest, wide = len(doc), int(self.size.max()), 2 * self.band + 2 * int(self.edits.max()) + 1
-        edge = int(self.edits.max())
-        pattern = np.zeros((n, longest), np.int64)
-        for i, s in enumerate(segment):
-            pattern[i, :self.size[s]] = self.text[s]
+        edge = self.band - 1
+        n, longest, wide = len(doc), int(size.max()), 2 * self.band + 2 * edge + 1
+        pattern = self.flat[np.minimum((self.begin[item] + place)[:, None] + np.arange(longest), len(self.flat) - 1)]
         low, high = offsets[doc], offsets[doc + 1]
         first = diagonal - edge  # text position of column 0 in row 0
         columns = np.arange(wide)
@@ -126,7 +187,7 @@ class Segments:
             start = np.take_along_axis(new_start, origin, 1)
             reach = first[:, None] + row + 1 + columns
             cost = np.where((reach >= low[:, None]) & (reach <= high[:, None]), new, far)
-            ends = np.flatnonzero(self.size[segment] == row + 1)
+            ends = np.flatnonzero(size == row + 1)
             if len(ends):
                 best = np.argmin(cost[ends], 1)
                 done_cost[ends] = cost[ends, best]
@@ -136,16 +197,16 @@ class Segments:
 
     def regions(self, data: np.ndarray, offsets: np.ndarray) -> pd.DataFrame:
         """doc, item, start, end, edits: verified regions, overlapping ones of an item merged."""
-        doc, segment, diagonal = self.bands(data, offsets)
-        parts = []
-        for at in range(0, len(doc), 2048):
-            some = slice(at, at + 2048)
-            edits, start, end = self.align(data, offsets, doc[some], segment[some], diagonal[some])
-            good = edits <= self.edits[segment[some]]
-            parts.append((doc[some][good], np.array(self.item, object)[segment[some][good]], start[good], end[good],
-                          edits[good]))
-        frame = pd.DataFrame(dict(zip(("doc", "item", "start", "end", "edits"), (
-            np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(5)), strict=True)))
+        windows, exact = self.windows(data, offsets)
+        parts = [exact.assign(edits=0)]
+        for at in range(0, len(windows), 2048):
+            some = windows.iloc[at:at + 2048]
+            doc, item, place, size, diagonal = (some[c].to_numpy() for c in ("doc", "item", "place", "size", "diagonal"))
+            edits, start, end = self.align(data, offsets, doc, item, place, size, diagonal)
+            good = edits <= size * EDIT_PERCENT // 100
+            parts.append(pd.DataFrame({"doc": doc, "item": item, "start": start, "end": end, "edits": edits})[good])
+        frame = pd.concat(parts, ignore_index=True)
+        frame["item"] = self.ids[frame["item"].to_numpy(np.int64)]
         frame = frame.sort_values(["doc", "item", "start", "end"])
         out: list[list] = []
         for row in frame.itertuples(index=False):
@@ -174,8 +235,8 @@ SCHEMA = "doc_id long, item_id long, start long, end long, edits long"
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start, end (UTF-8 bytes), edits: one row per region that holds benchmark text.
 
-    A region holds a segment (SEGMENT bytes, or a whole shorter item) within
-    EDIT_PERCENT of edits; ASCII and Latin-1 capitals count as small letters and
+    A region holds SEGMENT or SHORT consecutive bytes of an item, from any
+    offset, or a whole shorter item, within EDIT_PERCENT of edits; ASCII and Latin-1 capitals count as small letters and
     white spaces are alike. edits is
     the largest of the segments that make up the region. Items below 2 * Q
     bytes and null or empty texts match nothing; clean documents have no row;
