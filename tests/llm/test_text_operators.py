@@ -158,6 +158,21 @@ def test_secret_scan(spark, none, rows):
     assert "hunter22x" not in clean[100]
 
 
+def test_random_strings_of_several_alphabets():
+    rng = random.Random(21)
+    find = secrets.scanner(BYTE_RANKS, RANK_PATTERN)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet in (lower, lower + lower.upper(), lower + lower.upper() + "0123456789"):
+        for before in ("", "https://example.com/static/images/", "the_long_name_of_this_setting="):
+            hits = 0
+            for _ in range(100):
+                key = "".join(rng.choice(alphabet) for _ in range(24))
+                at = 2 + len(before)
+                hits += any(a <= at and b >= at + 24 for a, k, b in find(f"a {before}{key} b") if k == 3)
+            assert hits >= 95, (alphabet, before)
+    assert find("plain_words_joined_by_marks_only some/path/of/written/words/2024 international-organisation") == []
+
+
 def test_jaccard_components(docs, none, rows):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = []

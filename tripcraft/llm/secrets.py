@@ -1,9 +1,9 @@
 """Operator 8, secret scans: fixed patterns, and random strings by token efficiency.
 
 A tokenizer's vocabulary compresses written words well and random strings
-badly. Long strings of mixed characters that get few characters per token are
-reported beside the base patterns, after known digests and identifiers have
-been set aside.
+badly. Long strings that get few characters per token are reported beside the
+base patterns, as a whole or in a part between separators, after known digests,
+UUIDs and numbers have been set aside.
 """
 
 from __future__ import annotations
@@ -25,19 +25,21 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: Parts between these are looked at in turn, when the string around them isn't reported.
+PARTS = [re.compile(p) for p in (r"[^=]+", r"[^=/]+", r"[A-Za-z0-9]+")]
 LEAST_RATIO = 2.2
 #: Digest lengths in hex digits: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGESTS = (32, 40, 56, 64, 96, 128)
 IDENTIFIER = re.compile(
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"  # UUID
     r"|[0-9+/=_-]+"  # numbers, dates, rules
-    r"|[A-Za-z]*([_/+=-]+[A-Za-z]*)*[0-9]{0,4}"  # names and paths in words, perhaps numbered
 )
 
 
 def is_known(text: str) -> bool:
-    """Digests of usual lengths, UUIDs, numbers, and names made of words."""
+    """Digests of usual lengths, UUIDs and numbers."""
     if IDENTIFIER.fullmatch(text):
         return True
     return len(text) in DIGESTS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text) is not None
@@ -55,14 +57,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, n_tokens, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates of few characters per token that no base span holds already."""
+    """Candidates, or parts of them, of few characters per token that no base span holds already."""
     out = []
+
+    def look(start: int, word: str, level: int) -> None:
+        if len(word) < LEAST or is_known(word):
+            return
+        if len(word) < LEAST_RATIO * n_tokens(word):
+            if not any(a <= start and start + len(word) <= b for a, _, b in base):
+                out.append((start, 3, start + len(word)))
+            return
+        for i in range(level, len(PARTS)):
+            parts = list(PARTS[i].finditer(word))
+            if len(parts) > 1 or parts and len(parts[0][0]) < len(word):
+                for part in parts:
+                    look(start + part.start(), part[0], i + 1)
+                return
+
     for m in CANDIDATE.finditer(text):
-        word = m[0]
-        if (any(c.isdigit() for c in word) and any(c.isalpha() for c in word) and not is_known(word)
-                and len(word) < LEAST_RATIO * n_tokens(word)
-                and not any(a <= m.start() and m.end() <= b for a, _, b in base)):
-            out.append((m.start(), 3, m.end()))
+        look(m.start(), m[0], 0)
     return out
 
 
