@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 from tripcraft.llm import (
-    bpe, decontaminate, fm_index, jaccard_join, language, resampling, secrets, suffix_array, threshold_search, toxicity,
+    bpe, decontaminate, filter_audit, fm_index, jaccard_join, language, resampling, secrets, suffix_array, threshold_search, toxicity,
 )
 from tripcraft.llm.common import importable
 
@@ -38,5 +38,6 @@ QUERIES = {
     "op9_language_id": lambda spark, sf: language.op9(_documents(spark, sf)),
     "op10_decontamination": lambda spark, sf: decontaminate.op10(
         _documents(spark, sf), _table(spark, sf, "benchmark")),
+    "op13_filter_audit": lambda spark, sf: filter_audit.op13(_documents(spark, sf), _table(spark, sf, "labels")),
 }
-ORACLES = {"op1_threshold_search": threshold_search.ORACLE}
+ORACLES = {"op1_threshold_search": threshold_search.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
