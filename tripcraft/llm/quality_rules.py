@@ -79,22 +79,25 @@ def _bound(value: Column, use) -> Column:
 
 def _repeat_words(words: Column) -> Column:
     """Words covered by three-word windows that are there twice or more."""
-    windows = F.transform(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w, i: F.struct(F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)).alias("t"), i.alias("i")))
+    n = F.greatest(F.size(words) - 2, F.lit(0))
+    at = F.slice(F.sequence(F.lit(0), F.size(words)), F.lit(1), n)
+    # Equal windows stand side by side when sorted, in order of their places.
+    windows = F.sort_array(F.arrays_zip(*[
+        F.slice(words, F.lit(k + 1), n).alias(f"w{k}") for k in range(3)], at.alias("i")))
 
     def equal(s: Column) -> Column:
-        n = F.greatest(F.size(s) - 1, F.lit(0))
+        m = F.greatest(F.size(s) - 1, F.lit(0))
         return F.flatten(F.zip_with(
-            F.slice(s, F.lit(1), n), F.slice(s, F.lit(2), n),
-            lambda a, b: F.when(a["t"] == b["t"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>"))))
+            F.slice(s, F.lit(1), m), F.slice(s, F.lit(2), m),
+            lambda a, b: F.when((a["w2"] == b["w2"]) & (a["w1"] == b["w1"]) & (a["w0"] == b["w0"]),
+                                F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>"))))
 
     def covered(at: Column) -> Column:
         nexts = F.slice(at, F.lit(2), F.greatest(F.size(at) - 1, F.lit(0)))
         gaps = F.zip_with(at, nexts, lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
         return F.aggregate(gaps, F.lit(0).cast("long"), lambda n, g: n + g)
 
-    return _bound(F.sort_array(F.array_distinct(_bound(F.sort_array(windows), equal))), covered)
+    return _bound(F.sort_array(F.array_distinct(_bound(windows, equal))), covered)
 
 
 def text_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys=("lang", "source")) -> DataFrame:
