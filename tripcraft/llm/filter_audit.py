@@ -18,6 +18,8 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripcraft.llm.common import write_table
+
 SPLIT = r"[\x20\x09-\x0D]+"
 #: Filters by letter; ``E``, an earlier copy in the whole table, comes from ``earlier_copies``.
 LETTERS = "ABCDE"
@@ -47,8 +49,9 @@ def text_failures(text: Column) -> dict[str, Column]:
 def masked(docs: DataFrame) -> DataFrame:
     """doc_id, part, digest of the text and mask of the filters of ``text_failures``, and how many rows are so."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"),
-                       F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)).alias("digest"), F.explode(F.array(text)).alias("t"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"),
+        F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)).alias("digest"), F.explode(F.array(text)).alias("t"))
     mask = F.lit(0)
     for letter, fails in text_failures(F.col("t")).items():
         mask = mask + F.when(fails, 1 << LETTERS.index(letter)).otherwise(0)
@@ -152,7 +155,8 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A table without rows gives no rows, one without labels zeros as losses.
     Memory of a task grows with its longest text.
     """
-    return fold(earlier_copies(labelled(masked(docs), labels)))
+    # Written once, without texts: the later steps read it several times.
+    return fold(earlier_copies(labelled(write_table(masked(docs), "filter_masks"), labels)))
 
 
 op13 = audit
