@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 
 from tripcraft.llm import (
-    bpe, decontaminate, filter_audit, fm_index, jaccard_join, language, quality_rules, resampling, secrets, suffix_array, threshold_search, toxicity,
+    bpe, decontaminate, filter_audit, fm_index, jaccard_join, language, quality_rules, resampling, secrets, suffix_array,
+    threshold_search, toxicity, whitening,
 )
 from tripcraft.llm.common import importable
 
@@ -38,6 +39,7 @@ QUERIES = {
     "op9_language_id": lambda spark, sf: language.op9(_documents(spark, sf)),
     "op10_decontamination": lambda spark, sf: decontaminate.op10(
         _documents(spark, sf), _table(spark, sf, "benchmark")),
+    "op11_whitening": lambda spark, sf: whitening.op11(_table(spark, sf, "embeddings")),
     "op12_quality_rules": lambda spark, sf: quality_rules.op12(_documents(spark, sf)),
     "op13_filter_audit": lambda spark, sf: filter_audit.op13(_documents(spark, sf), _table(spark, sf, "labels")),
 }
