@@ -17,7 +17,7 @@ from tripcraft.functions.datetime import (
     to_ntz,
 )
 from tripcraft.functions.validity import finite, number_or_null
-from tripcraft.operators.validate import NOTE, REASON, Checked
+from tripcraft.operators.validate import NOTE, REASON, Checked, notes
 from tripcraft.schemas import START_EVENT
 
 # --- P1, P2: batch rows with typed timestamps ----------------------------------
@@ -63,7 +63,7 @@ def normalize_start_events(df: DataFrame, stage: str = "normalize_start") -> Che
     Pickup text: a full date-time gives its date and ``HH:mm:ss``; a date
     alone gives the date and no time; empty gives neither. Anything else is
     malformed: the record is still kept, the date is null and a note is
-    quarantined; as in the reference, no estimated drop-off time is derived
+    quarantined (one for each malformed time); as in the reference, no estimated drop-off time is derived
     for such a record. The estimated drop-off keeps a full date-time (time of
     day derived) or a date (midnight, no time). The estimate is rounded to two
     places; a sent estimate that is not a finite number refuses the record.
@@ -82,8 +82,9 @@ def normalize_start_events(df: DataFrame, stage: str = "normalize_start") -> Che
     fare = number_or_null(fare_in)
     fare_bad = fare_in.isNotNull() & ~finite(fare)
 
-    note = F.when(pickup_bad, F.lit("malformed_pickup_datetime")).when(
-        est_drop_bad, F.lit("malformed_estimated_dropoff_datetime")
+    note = notes(
+        F.when(pickup_bad, F.lit("malformed_pickup_datetime")),
+        F.when(est_drop_bad, F.lit("malformed_estimated_dropoff_datetime")),
     )
     # One projection: reasons, notes and new values all read the input columns.
     normalized = df.withColumns(

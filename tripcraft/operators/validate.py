@@ -1,10 +1,11 @@
 """Filters, validity masks and the quarantine (V1-V6).
 
 Stages that can refuse records return a :class:`Checked`: the input rows with a
-``_reason`` column (null = accepted) and an optional ``_note`` (record kept,
-but something in it was set to null). ``accepted`` and ``rejects`` are two
-filters over that one projection, so a job that writes both should write the
-tagged frame once (see ``sinks.write_checked``) instead of evaluating twice.
+``_reason`` column (null = accepted) and an optional ``_note``: an array with a
+text for every field that was set to null although the record is kept.
+``accepted`` and ``rejects`` are two filters over that one projection, so a job
+that writes both should write the tagged frame once (see
+``sinks.write_checked``) or carry the outcomes along (see ``operators.trace``).
 """
 
 from __future__ import annotations
@@ -40,18 +41,15 @@ class Checked:
 
     @property
     def rejects(self) -> DataFrame:
-        """Refused rows and noted rows, in the quarantine schema."""
+        """A row per refusal and per note, in the quarantine schema."""
         t = self.tagged
         record = F.col(RECORD) if RECORD in t.columns else F.to_json(
             F.struct(*[c for c in t.columns if c not in (REASON, NOTE)])
         )
         trip = F.col("trip_id").cast("string") if "trip_id" in t.columns else F.lit(None)
-        reason = F.col(REASON)
-        if NOTE in t.columns:
-            reason = F.coalesce(reason, F.col(NOTE))
-        return t.filter(reason.isNotNull()).select(
+        return t.filter(F.size(reasons(t)) > 0).select(
             F.lit(self.stage).alias("stage"),
-            reason.alias("reason"),
+            F.explode(reasons(t)).alias("reason"),
             trip.cast("string").alias("trip_id"),
             record.cast("string").alias("record"),
         )
@@ -68,6 +66,17 @@ class Checked:
         )
 
 
+def notes(*found: Column) -> Column:
+    """The note array of texts that are null where nothing was found."""
+    return F.array_compact(F.array(*found))
+
+
+def reasons(tagged: DataFrame) -> Column:
+    """All reasons of a row: its refusal, if any, and its notes."""
+    refusal = F.array_compact(F.array(F.col(REASON)))
+    return F.concat(refusal, F.col(NOTE)) if NOTE in tagged.columns else refusal
+
+
 def tag(df: DataFrame, reason: Column, stage: str, note: Column | None = None) -> Checked:
     """Attach a refusal reason (first matching rule wins) to every row."""
     if REASON in df.columns:
@@ -154,7 +163,7 @@ def mask_invalid(df: DataFrame, mode: str = "coerce") -> DataFrame:
             cols[name] = _number_value(df, name, mode)
     if "dropoff_datetime" in cols and isinstance(df.schema["dropoff_datetime"].dataType, T.StringType):
         unread = valid_text(F.col("dropoff_datetime")) & cols["dropoff_datetime"].isNull()
-        cols[NOTE] = F.when(unread, F.lit("malformed_dropoff_datetime"))
+        cols[NOTE] = notes(F.when(unread, F.lit("malformed_dropoff_datetime")))
     return df.withColumns(cols)
 
 
@@ -169,7 +178,7 @@ def require_any(df: DataFrame, cols: list[str] | None = None, stage: str = "requ
     cols = [c for c in (cols or END_FIELDS) if c in df.columns]
     none_valid = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in cols])
     if NOTE in df.columns:
-        none_valid = none_valid & F.col(NOTE).isNull()
+        none_valid = none_valid & (F.size(NOTE) == 0)
     return tag(df, F.when(none_valid, F.lit("no_valid_field")), stage)
 
 
@@ -191,7 +200,9 @@ __all__ = [
     "completed",
     "fully_described",
     "mask_invalid",
+    "notes",
     "quarantine",
+    "reasons",
     "require_any",
     "require_key",
     "tag",

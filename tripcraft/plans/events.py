@@ -5,22 +5,24 @@ end lines   -> S3 -> S4 -> S5 -> V1 -> V2 -> V3 -> P6   -> end events
 both        -> J4 -> trips table
 
 Every stage is a per-record projection or filter (no shuffle) until J4,
-which is a single keyed aggregate.
+which is a single keyed aggregate. The ``trace_`` functions keep refused records
+in the plan with their reasons, so quarantine and report need one scan a side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcraft.operators.assemble import assemble_trips
-from tripcraft.operators.kpis import run_report
 from tripcraft.operators.normalize import conform, normalize_start_events, select_valid_fields
-from tripcraft.operators.validate import RECORD, Checked, mask_invalid, quarantine, require_any, require_key
+from tripcraft.operators.trace import STATUS, TRACE, Traced, carry
+from tripcraft.operators.validate import RECORD, Checked, mask_invalid, require_any, require_key
 from tripcraft.schemas import END_COLUMNS, END_EVENT, START_COLUMNS, START_EVENT, TRIP
 from tripcraft.sources.events import decode_events, encode_records, to_events
 from tripcraft.sources.lines import parse_end_lines, parse_start_lines, read_lines, with_line_seq
@@ -55,15 +57,21 @@ END_BODY = T.StructType(
 
 @dataclass(frozen=True)
 class Path:
-    """Stages of one event kind and the records that passed all of them."""
+    """One event kind: its stages, the records that passed all of them, and both sides with their outcomes."""
 
     stages: list[Checked]
     events: DataFrame  # keyed JSON events as produced (S4)
     accepted: DataFrame
+    produced: Traced
+    consumed: Traced
 
     @property
     def rejects(self) -> DataFrame:
-        return quarantine(*self.stages)
+        return self.produced.quarantine.unionByName(self.consumed.quarantine)
+
+    @property
+    def report(self) -> DataFrame:
+        return self.produced.report.unionByName(self.consumed.report)
 
 
 def _seq_col(df: DataFrame) -> str | None:
@@ -110,6 +118,24 @@ def consume_end_events(received: DataFrame, mode: str = "coerce") -> tuple[list[
     return [decoded, keyed, anyvalid], accepted
 
 
+def trace_start_events(received: DataFrame) -> Traced:
+    """``consume_start_events`` with every received record and its outcomes."""
+    decoded = decode_events(received, START_BODY, "coerce", stage="decode_start")
+    keyed = require_key(carry(decoded), stage="require_key_start")
+    normalized = normalize_start_events(carry(keyed))
+    rows = conform(select_valid_fields(carry(normalized).drop("key")), START_EVENT)
+    return Traced(rows, (decoded.stage, keyed.stage, normalized.stage))
+
+
+def trace_end_events(received: DataFrame, mode: str = "coerce") -> Traced:
+    """``consume_end_events`` with every received record and its outcomes."""
+    decoded = decode_events(received, END_BODY, mode, stage="decode_end")
+    keyed = require_key(carry(decoded), stage="require_key_end")
+    anyvalid = require_any(mask_invalid(carry(keyed), mode), stage="require_any_end")
+    rows = conform(carry(anyvalid).drop("key"), END_EVENT)
+    return Traced(rows, (decoded.stage, keyed.stage, anyvalid.stage))
+
+
 def start_path(lines: DataFrame, handoff: Handoff = _direct) -> Path:
     """Start lines to normalised start events.
 
@@ -118,20 +144,24 @@ def start_path(lines: DataFrame, handoff: Handoff = _direct) -> Path:
     the two halves in separate plans.
     """
     parsed, events = produce_start_events(lines)
-    stages, accepted = consume_start_events(handoff(encode_records(events)))
-    return Path([parsed, *stages], events, accepted)
+    received = handoff(encode_records(events))
+    stages, accepted = consume_start_events(received)
+    return Path([parsed, *stages], events, accepted, Traced(carry(parsed), (parsed.stage,)),
+                trace_start_events(received))
 
 
 def end_path(lines: DataFrame, mode: str = "coerce", handoff: Handoff = _direct) -> Path:
     """End lines to validated end events (``mode``: coerce | strict numbers)."""
     parsed, events = produce_end_events(lines)
-    stages, accepted = consume_end_events(handoff(encode_records(events)), mode)
-    return Path([parsed, *stages], events, accepted)
+    received = handoff(encode_records(events))
+    stages, accepted = consume_end_events(received, mode)
+    return Path([parsed, *stages], events, accepted, Traced(carry(parsed), (parsed.stage,)),
+                trace_end_events(received, mode))
 
 
-def trip_events(starts: DataFrame, ends: DataFrame) -> DataFrame:
-    """Both kinds in the keyed-merge input layout (seq, kind, trip fields)."""
-    names = ["seq", "kind"] + TRIP.fieldNames()
+def trip_events(starts: DataFrame, ends: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Both kinds in the keyed-merge input layout (seq, kind, trip fields and ``extra`` columns of both)."""
+    names = ["seq", "kind"] + TRIP.fieldNames() + (extra or [])
     types = {f.name: f.dataType for f in TRIP} | {"seq": next(
         (df.schema["seq"].dataType for df in (starts, ends) if "seq" in df.columns), T.LongType())}
 
@@ -173,31 +203,42 @@ def run_events(
 ) -> dict[str, str]:
     """L2 in batch form: producer line files -> trips table, quarantine, report.
 
-    The received events are handed from producer to consumer through a table
-    under ``out_base`` (the "stream"), the assembled trips, every refused
-    record and the run counters are written as Parquet. Returns the paths.
+    Lines are read once and received events decoded once: each side of each
+    kind is one plan, written once with its outcomes under ``out_base`` by
+    ``status``. The trips, every refused record and the run counters come from
+    those tables and are written as Parquet. Returns the paths.
     """
     base = out_base.rstrip("/")
 
-    def through_storage(kind: str) -> Handoff:
-        def write_read(received: DataFrame) -> DataFrame:
-            path = f"{base}/received/{kind}"
-            received.write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
+    def stored(traced: Traced, name: str) -> Traced:
+        path = f"{base}/{name}"
+        rows = traced.with_status()
+        rows.write.mode("overwrite").partitionBy(STATUS).parquet(path)
+        return Traced(spark.read.schema(rows.schema).parquet(path), traced.stages)
 
-        return write_read
+    def accepted(traced: Traced) -> DataFrame:
+        return traced.rows.filter(F.col(STATUS) == "accepted").drop(STATUS, TRACE, RECORD)
 
     starts = with_line_seq(read_lines(spark, start_lines_path), 0)
     ends = with_line_seq(read_lines(spark, end_lines_path), 1)
-    sp = start_path(starts, through_storage("start"))
-    ep = end_path(ends, numbers, through_storage("end"))
-    trips = assemble_trips(trip_events(sp.accepted, ep.accepted), mode)
+    sides: list[Traced] = []
+    consumed: list[Traced] = []
+    for kind, lines, parse, key, columns, consume in (
+        ("start", starts, parse_start_lines, "pickup_datetime", START_COLUMNS, trace_start_events),
+        ("end", ends, parse_end_lines, "trip_id", END_COLUMNS, lambda received: trace_end_events(received, numbers)),
+    ):
+        parsed = parse(lines)
+        produced = stored(Traced(carry(parsed), (parsed.stage,)), f"produced/{kind}")
+        events = to_events(accepted(produced), key, columns, "seq")
+        consumed.append(stored(consume(encode_records(events)), f"consumed/{kind}"))
+        sides += [produced, consumed[-1]]
+    trips = assemble_trips(trip_events(*[accepted(c) for c in consumed]), mode)
     paths = {
         "trips": f"{base}/trips",
         "rejects": f"{base}/rejects",
         "report": f"{base}/report",
     }
     trips.write.mode("overwrite").parquet(paths["trips"])
-    sp.rejects.unionByName(ep.rejects).write.mode("overwrite").parquet(paths["rejects"])
-    run_report(*sp.stages, *ep.stages).write.mode("overwrite").parquet(paths["report"])
+    reduce(DataFrame.unionByName, [s.quarantine for s in sides]).write.mode("overwrite").parquet(paths["rejects"])
+    reduce(DataFrame.unionByName, [s.report for s in sides]).write.mode("overwrite").parquet(paths["report"])
     return paths

@@ -236,6 +236,111 @@ UNION ALL SELECT 'require_key_end', 'failed', 'missing_trip_id', count(*) FROM e
 UNION ALL SELECT 'require_any_end', 'processed', 'accepted', count(*) FROM e WHERE d IN (7, 9)
 UNION ALL SELECT 'require_any_end', 'failed', 'no_valid_field', count(*) FROM e WHERE d = 5"""
 
+# --- received records: bodies built by concatenation, outcomes by the kind of damage ------------
+
+_RECEIVED = f"""{_EV},
+rv0 AS (
+  SELECT *, event_id % 11 AS w, event_type IN ('signup', 'view') AS st,
+         CAST(event_id // 4 AS VARCHAR) AS trip,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS picked, strftime(ts, '%Y/%m/%d %H:%M:%S') AS slashed,
+         strftime(ts + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS est,
+         CAST(round(value / 3.0, 2) AS VARCHAR) AS fare3,
+         CASE WHEN event_type <> 'error' THEN true ELSE false END AS ok
+  FROM ev),
+rv1 AS (
+  SELECT *, CAST(CAST(k % 7 AS DOUBLE) AS VARCHAR) AS pc, CAST(value / 10.0 AS VARCHAR) AS td,
+         CASE WHEN w = 5 THEN '0' WHEN ok OR k % 2 = 1 THEN CAST(value AS VARCHAR) END AS fa,
+         CAST(CAST(k % 4 AS DOUBLE) AS VARCHAR) AS ta,
+         CASE WHEN w = 7 THEN ',"surge":[1,2]' ELSE '' END AS surge
+  FROM rv0),
+rv AS (
+  SELECT *, CASE WHEN st THEN
+    '{{"trip_id":"' || CASE WHEN w = 2 THEN '' ELSE trip END || '","pickup_location_id":'
+    || CASE WHEN w = 3 THEN '1.5' ELSE '"' || CAST(user_id AS VARCHAR) || '"' END
+    || ',"dropoff_location_id":"' || CAST(k AS VARCHAR) || '","vendor_id":"'
+    || CASE WHEN w = 3 THEN 'abc' ELSE CAST(1 + user_id % 2 AS VARCHAR) END || '","pickup_datetime":"'
+    || CASE WHEN w IN (4, 5) THEN slashed ELSE picked END || '","estimated_dropoff_datetime":"'
+    || CASE WHEN w = 5 THEN 'soon' ELSE est END || '","estimated_fare_amount":'
+    || CASE WHEN w = 6 THEN fare3 WHEN w = 4 THEN '"n/a"' ELSE '"' || fare3 || '"' END || surge || '}}'
+  ELSE
+    '{{' || CASE WHEN w = 2 THEN '' ELSE '"trip_id":"' || trip || '",' END || '"dropoff_datetime":"'
+    || CASE WHEN w = 3 THEN '' WHEN w = 4 THEN slashed WHEN ok THEN picked ELSE '' END || '","rate_code":"'
+    || CASE WHEN w = 3 OR k % 6 = 5 THEN '' ELSE CAST(1 + k % 6 AS VARCHAR) END || '"'
+    || CASE WHEN w = 6 THEN ',"passenger_count":' || pc || ',"trip_distance":' || td
+         || coalesce(',"fare_amount":' || fa, '') || ',"tip_amount":' || ta
+       WHEN w = 3 THEN ',"passenger_count":" ","trip_distance":" ","fare_amount":" ","tip_amount":" "'
+       ELSE ',"passenger_count":"' || pc || '","trip_distance":"' || td || '","fare_amount":"' || coalesce(fa, '')
+         || '","tip_amount":"' || ta || '"' END
+    || ',"payment_type":"' || CASE WHEN w = 3 THEN '' ELSE event_type END || '","trip_type":"'
+    || CASE WHEN w = 3 THEN '' ELSE CAST(1 + user_id % 2 AS VARCHAR) END || '"' || surge || '}}'
+  END AS body
+  FROM rv1)"""
+
+_QUARANTINE = f"""WITH {_RECEIVED},
+o AS (
+  SELECT *, CASE
+    WHEN w IN (0, 1) THEN [CASE WHEN st THEN 'decode_start' ELSE 'decode_end' END || ':undecodable']
+    WHEN w = 2 THEN [CASE WHEN st THEN 'require_key_start' ELSE 'require_key_end' END || ':missing_trip_id']
+    WHEN st AND w = 3 THEN ['decode_start:bad_pickup_location_id', 'decode_start:bad_vendor_id']
+    WHEN st AND w = 4 THEN ['normalize_start:bad_estimated_fare_amount', 'normalize_start:malformed_pickup_datetime']
+    WHEN st AND w = 5 THEN ['normalize_start:malformed_pickup_datetime',
+                            'normalize_start:malformed_estimated_dropoff_datetime']
+    WHEN NOT st AND w = 3 THEN ['require_any_end:no_valid_field']
+    WHEN NOT st AND w = 4 THEN ['require_any_end:malformed_dropoff_datetime'] END AS found
+  FROM rv),
+u AS (SELECT *, unnest(found) AS f FROM o WHERE found IS NOT NULL)
+SELECT split_part(f, ':', 1) AS stage, split_part(f, ':', 2) AS reason,
+       CASE WHEN w IN (0, 1) THEN NULL WHEN w = 2 THEN CASE WHEN st THEN '' END ELSE trip END AS trip_id,
+       CASE WHEN w = 0 THEN '%' || CAST(event_id AS VARCHAR) WHEN w = 1 THEN substr(body, 1, 9) ELSE body END AS record
+FROM u"""
+
+
+def _consumer_report_sql() -> str:
+    def stages(which: str, names: list[tuple[str, str, str]]) -> list[str]:
+        out, gone = [], []
+        for name, reason, when in names:
+            out.append(f"SELECT '{name}' AS stage, 'failed' AS outcome, '{reason}' AS reason, count(*) AS n "
+                       f"FROM rv WHERE {which} AND w IN ({when})")
+            gone.append(when)
+            out.append(f"SELECT '{name}', 'processed', 'accepted', count(*) "
+                       f"FROM rv WHERE {which} AND w NOT IN ({', '.join(gone)})")
+        return out
+
+    parts = stages("st", [("decode_start", "undecodable", "0, 1"),
+                                   ("require_key_start", "missing_trip_id", "2"),
+                                   ("normalize_start", "bad_estimated_fare_amount", "4")])
+    parts += stages("NOT st", [("decode_end", "undecodable", "0, 1"),
+                                      ("require_key_end", "missing_trip_id", "2"),
+                                      ("require_any_end", "no_valid_field", "3")])
+    return f"WITH {_RECEIVED}\n" + "\nUNION ALL ".join(parts)
+
+
+def _events_to_trips_sql() -> str:
+    """Accepted received records in the layout of the interleaved events, then the keyed merge."""
+    iev = f"""iev AS (
+  SELECT event_id AS seq, CASE WHEN st THEN 'start' ELSE 'end' END AS kind, trip AS trip_id,
+         CASE WHEN st AND w <> 3 THEN CAST(user_id AS BIGINT) END AS pickup_location_id,
+         CASE WHEN st THEN k END AS dropoff_location_id,
+         CASE WHEN st AND w <> 3 THEN CAST(1 + user_id % 2 AS BIGINT) END AS vendor_id,
+         CASE WHEN st AND w <> 5 THEN CAST(ts AS DATE) END AS pickup_datetime,
+         CASE WHEN st AND w <> 5 THEN strftime(ts, '%H:%M:%S') END AS pickup_time,
+         CASE WHEN st AND w <> 5 THEN date_trunc('second', ts + INTERVAL 15 MINUTE) END AS estimated_dropoff_datetime,
+         CASE WHEN st AND w <> 5 THEN strftime(ts + INTERVAL 15 MINUTE, '%H:%M:%S') END AS estimated_dropoff_time,
+         CASE WHEN st THEN round(value / 3.0, 2) END AS estimated_fare_amount,
+         CASE WHEN NOT st AND ok AND w <> 4 THEN date_trunc('second', ts) END AS dropoff_datetime,
+         CASE WHEN NOT st AND k % 6 <> 5 THEN CAST(1 + k % 6 AS VARCHAR) END AS rate_code,
+         CASE WHEN NOT st AND k % 7 <> 0 THEN CAST(k % 7 AS DOUBLE) END AS passenger_count,
+         CASE WHEN NOT st AND value / 10.0 <> 0 THEN value / 10.0 END AS trip_distance,
+         CASE WHEN NOT st AND w <> 5 AND (ok OR k % 2 = 1) AND value <> 0 THEN value END AS fare_amount,
+         CASE WHEN NOT st AND k % 4 <> 0 THEN CAST(k % 4 AS DOUBLE) END AS tip_amount,
+         CASE WHEN NOT st THEN event_type END AS payment_type,
+         CASE WHEN NOT st THEN CAST(1 + user_id % 2 AS VARCHAR) END AS trip_type
+  FROM rv WHERE CASE WHEN st THEN w NOT IN (0, 1, 2, 4) ELSE w NOT IN (0, 1, 2, 3) END)"""
+    cols = ["trip_id", *_START_FIELDS]
+    cols += [f"CASE WHEN s_seq IS NULL OR {f}_seq > s_seq THEN {f}_v END AS {f}" for f in _END_FIELDS]
+    return f"WITH {_RECEIVED},\n{iev},\n{_state_cte()}\nSELECT {', '.join(cols)} FROM st"
+
+
 def _write_outputs_sql() -> str:
     trips = _trips_sql("replay")
     return f"""WITH t AS ({trips})
@@ -299,6 +404,12 @@ SELECT trip_id, {', '.join(f + '_v AS ' + f for f in _END_FIELDS)} FROM st""",
     "trips_from_lines": f"""SELECT * FROM ({_NORMALIZE_START_EVENTS}) s
 FULL JOIN ({_end_fields_sql(strict=False)}) e USING (trip_id)""",
     "trips_replay_stream": _TRIPS_REPLAY,
+    "events_to_trips": _events_to_trips_sql(),
+    "events_to_trips_stream": _events_to_trips_sql(),
+    "quarantine_rows": _QUARANTINE,
+    "quarantine_rows_stream": _QUARANTINE,
+    "consumer_report": _consumer_report_sql(),
+    "consumer_report_stream": _consumer_report_sql(),
     "daily_kpis_completed_by_pickup": f"""WITH {_PAIRED}
 SELECT pickup_datetime, {_kpis()}
 FROM j WHERE dropoff_datetime IS NOT NULL GROUP BY pickup_datetime""",

@@ -27,10 +27,9 @@ from tripcraft.operators import (
     normalize_ends,
     normalize_starts,
     rounded_kpis,
-    run_report,
 )
 from tripcraft.operators.validate import RECORD, REASON
-from tripcraft.plans.events import START_BODY, assemble_from_lines, end_path, start_path
+from tripcraft.plans.events import START_BODY, assemble_from_lines, end_path, start_path, trip_events
 from tripcraft.plans.kpi_job import kpi_job_outputs, run_kpi_job
 from tripcraft.schemas import END_COLUMNS, END_FIELDS, TRIP_END, TRIP_START
 from tripcraft.session import default_parallelism, scratch_path
@@ -39,7 +38,17 @@ from tripcraft.sources import supplied as S
 from tripcraft.sources.csv import read_trips_csv, write_trips_csv
 from tripcraft.sources.lines import read_lines, with_line_seq
 from tripcraft.sources.trips import read_trips
-from tripcraft.streaming import read_event_stream, read_trip_table, start_trip_table
+from tripcraft.streaming import (
+    RECEIVED,
+    TripStore,
+    read_event_stream,
+    read_stream_quarantine,
+    read_stream_report,
+    read_trip_table,
+    start_event_path,
+    start_trip_table,
+    trace_received,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,7 +142,7 @@ def q_parse_end_lines(spark: SparkSession, sf: str) -> DataFrame:
 def q_line_rejects(spark: SparkSession, sf: str) -> DataFrame:
     sp = start_path(_start_lines(spark, sf), _handoff(spark))
     ep = end_path(_end_lines(spark, sf), handoff=_handoff(spark))
-    rejects = sp.rejects.unionByName(ep.rejects)
+    rejects = sp.rejects.unionByName(ep.rejects)  # one scan of the lines and one of the events of each kind
     return rejects.groupBy("stage", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -264,6 +273,57 @@ def q_trips_replay_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_trip_table(spark, out)
 
 
+def _received_stream(spark: SparkSession, sf: str) -> str:
+    """Received records as files for the stream, dealt by a hash of ``seq``; the folder of the finished run.
+
+    Every micro-batch holds records of many trips in no particular order, and
+    the deltas are compacted in the middle of the run.
+    """
+    src, out = scratch_path(spark, "received"), scratch_path(spark, "event-path")
+    records = S.received_events(spark, sf)
+    records.repartition(default_parallelism(spark), F.xxhash64("seq")).write.mode("overwrite").parquet(src)
+
+    def compact_once(output: str) -> None:
+        if output == "report" and not done:
+            done.append(TripStore(spark, out).compact())
+
+    done: list[int] = []
+    stream = read_event_stream(spark, src, RECEIVED, "parquet", max_files_per_trigger=3)
+    start_event_path(stream, out, scratch_path(spark, "event-path-checkpoint"), after=compact_once).awaitTermination()
+    return out
+
+
+def q_events_to_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Received records to J4 in one batch."""
+    starts, ends = trace_received(S.received_events(spark, sf))
+    return assemble_trips(trip_events(starts.accepted, ends.accepted), "replay")
+
+
+def q_events_to_trips_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Received records to the live trip store, base and deltas merged."""
+    return TripStore(spark, _received_stream(spark, sf)).trips("replay")
+
+
+def q_quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every refusal and note of the received records, with the record."""
+    starts, ends = trace_received(S.received_events(spark, sf))
+    return starts.quarantine.unionByName(ends.quarantine)
+
+
+def q_quarantine_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return read_stream_quarantine(spark, _received_stream(spark, sf))
+
+
+def q_consumer_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed and refused records of each consumer stage."""
+    starts, ends = trace_received(S.received_events(spark, sf))
+    return starts.report.unionByName(ends.report)
+
+
+def q_consumer_report_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return read_stream_report(spark, _received_stream(spark, sf))
+
+
 # --- A0-A4 ---------------------------------------------------------------------------
 
 
@@ -282,7 +342,7 @@ def q_daily_kpis_completed_by_dropoff(spark: SparkSession, sf: str) -> DataFrame
 def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
     sp = start_path(_start_lines(spark, sf), _handoff(spark))
     ep = end_path(_end_lines(spark, sf), handoff=_handoff(spark))
-    return run_report(*sp.stages, *ep.stages)
+    return sp.report.unionByName(ep.report)
 
 
 def q_kpis_large(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,6 +427,12 @@ QUERIES: dict[str, Query] = {
     "trips_merge": q_trips_merge,
     "trips_from_lines": q_trips_from_lines,
     "trips_replay_stream": q_trips_replay_stream,
+    "events_to_trips": q_events_to_trips,
+    "events_to_trips_stream": q_events_to_trips_stream,
+    "quarantine_rows": q_quarantine_rows,
+    "quarantine_rows_stream": q_quarantine_rows_stream,
+    "consumer_report": q_consumer_report,
+    "consumer_report_stream": q_consumer_report_stream,
     "daily_kpis_completed_by_pickup": q_daily_kpis_completed_by_pickup,
     "daily_kpis_all": q_daily_kpis_all,
     "daily_kpis_completed_by_dropoff": q_daily_kpis_completed_by_dropoff,

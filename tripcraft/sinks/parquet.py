@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcraft.operators.layout import layout
-from tripcraft.operators.validate import NOTE, REASON, RECORD, Checked
+from tripcraft.operators.validate import NOTE, REASON, RECORD, Checked, reasons
 
 OUTPUT_NAMES = ("trips_copy", "completed_trips", "all_trips_daily_kpis", "completed_trips_daily_kpis")
 
@@ -57,9 +57,8 @@ def write_checked(checked: Checked, path: str, mode: str = "overwrite") -> tuple
     ``status=rejected`` folders, instead of running the stage twice.
     """
     t = checked.tagged
-    reason = F.col(REASON)
-    if NOTE in t.columns:
-        reason = F.coalesce(reason, F.col(NOTE))
+    # All reasons of the row, refusal first; null where there are none.
+    reason = F.nullif(F.array_join(reasons(t), ","), F.lit(""))
     status = F.when(F.col(REASON).isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
     cols = {"status": status, "reason": reason, "stage": F.lit(checked.stage)}
     if RECORD in t.columns:

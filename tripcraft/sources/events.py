@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripcraft.operators.validate import NOTE, REASON, RECORD, Checked
+from tripcraft.operators.validate import NOTE, REASON, RECORD, Checked, notes
 
 _NUMERIC_JSON = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
@@ -67,9 +67,10 @@ def decode_events(
     """base64 -> UTF-8 -> JSON object -> typed fields.
 
     A record whose body is not base64, not UTF-8 or not a JSON object is
-    refused as ``undecodable`` (counted, never fatal). ``coerce`` converts
-    field values to the schema's types where possible (``"16.0"`` -> 16.0); an
-    integer field that was sent but is no integer is null and noted as
+    refused as ``undecodable`` (counted, never fatal); its record is the text,
+    or the body as received where that gives none. ``coerce`` converts
+    field values to the schema's types where possible (``"16.0"`` -> 16.0);
+    every integer field that was sent but is no integer is null and noted as
     ``bad_<field>``. ``strict`` takes a value only when its JSON type already matches.
     """
     if mode not in ("coerce", "strict"):
@@ -85,7 +86,7 @@ def decode_events(
         F.inline(
             F.array(
                 F.struct(
-                    text.alias(RECORD),
+                    F.when(F.is_valid_utf8(text), text).otherwise(F.col(data_col)).alias(RECORD),
                     F.when(F.is_valid_utf8(text), F.try_parse_json(text)).alias("_v"),
                 )
             )
@@ -93,19 +94,18 @@ def decode_events(
     )
     v = F.col("_v")
     is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    note = F.lit(None).cast("string")
+    bad = []
     if mode == "coerce":
         bad = [
             F.when(_field(v, f, mode).isNull() & F.try_variant_get(v, f"$.{f.name}", "string").isNotNull(),
                    F.lit(f"bad_{f.name}"))
             for f in schema.fields if isinstance(f.dataType, T.LongType)
         ]
-        note = F.coalesce(*bad, note)
     out = parsed.select(
         *[_field(v, f, mode).alias(f.name) for f in schema.fields],
         *[c for c in keep if c not in schema.fieldNames()],
         F.when(~is_object, F.lit("undecodable")).alias(REASON),
-        note.alias(NOTE),
+        notes(F.lit(None).cast("string"), *bad).alias(NOTE),
         F.col(RECORD),
     )
     return Checked(out, stage)

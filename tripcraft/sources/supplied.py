@@ -176,6 +176,67 @@ def end_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.unionByName(spark.range(1).select(F.lit(END_HEADER).alias("value")))
 
 
+def received_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of trip ``event_id div 4`` as a consumer receives them: kind, data (base64 JSON) and seq.
+
+    ``event_id % 11`` says what is wrong with a body. Starts: 0 no base64, 1
+    cut JSON, 2 an empty trip id, 3 a word as vendor and a fraction as pickup
+    location, 4 an estimate that is no number and a malformed pickup, 5 both times
+    malformed, 6 a number sent as a number. Ends: 0 and 1 as before, 2 no trip id, 3
+    nothing but blanks, 4 a malformed drop-off, 5 a zero fare, 6 numbers sent as
+    numbers. The others are clean, 7 with a field that nobody knows.
+    """
+    ev = table(spark, sf_dir, "events")
+    is_start = F.col("event_type").isin(*START_KINDS)
+    s, e, d = _start_cols(), _end_cols(), F.col("event_id") % 11
+
+    def quoted(c: Column) -> Column:
+        return F.concat(F.lit('"'), c, F.lit('"'))
+
+    def body(**fields: Column) -> Column:
+        # A null value leaves the field out of the body.
+        return F.concat(F.lit("{"), F.concat_ws(",", *[
+            F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()]), F.lit("}"))
+
+    slashes = F.date_format("ts", "yyyy/MM/dd HH:mm:ss")
+    extra = F.when(d == 7, F.lit("[1,2]"))
+    estimate = _text(F.round(s["estimated_fare_amount"], 2))
+    start = body(
+        trip_id=quoted(F.when(d == 2, F.lit("")).otherwise(_trip(4))),
+        pickup_location_id=F.when(d == 3, F.lit("1.5")).otherwise(quoted(_text(s["pickup_location_id"]))),
+        dropoff_location_id=quoted(_text(s["dropoff_location_id"])),
+        vendor_id=quoted(F.when(d == 3, F.lit("abc")).otherwise(_text(s["vendor_id"]))),
+        pickup_datetime=quoted(F.when(d.isin(4, 5), slashes).otherwise(_dt_text(F.col("ts")))),
+        estimated_dropoff_datetime=quoted(
+            F.when(d == 5, F.lit("soon")).otherwise(_dt_text(s["estimated_dropoff_datetime"]))),
+        estimated_fare_amount=F.when(d == 6, estimate).otherwise(
+            quoted(F.when(d == 4, F.lit("n/a")).otherwise(estimate))),
+        surge=extra)
+    blank = d == 3
+
+    def sent(c: Column) -> Column:
+        return F.when(d == 6, c).otherwise(quoted(F.when(blank, F.lit(" ")).otherwise(F.coalesce(c, F.lit("")))))
+
+    def text(c: Column) -> Column:
+        return quoted(F.when(blank, F.lit("")).otherwise(F.coalesce(c, F.lit(""))))
+
+    number = {n: e[n].cast("string") for n in ("passenger_count", "trip_distance", "fare_amount", "tip_amount")}
+    number["fare_amount"] = F.when(d == 5, F.lit("0")).otherwise(number["fare_amount"])
+    end = body(
+        trip_id=F.when(d != 2, quoted(_trip(4))),
+        dropoff_datetime=text(F.when(d == 4, slashes).otherwise(_dt_text(e["dropoff_datetime"]))),
+        rate_code=text(e["rate_code"]),
+        **{n: sent(c) for n, c in number.items()},
+        payment_type=text(e["payment_type"]), trip_type=text(e["trip_type"]), surge=extra)
+    value = F.when(is_start, start).otherwise(end)
+    value = F.when(d == 1, F.substring(value, 1, 9)).otherwise(value)
+    return ev.select(
+        F.when(is_start, F.lit("start")).otherwise(F.lit("end")).alias("kind"),
+        F.when(d == 0, F.concat(F.lit("%"), F.col("event_id").cast("string")))
+        .otherwise(F.base64(F.encode(value, "UTF-8"))).alias("data"),
+        F.col("event_id").alias("seq"))
+
+
 def large_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as trip starts (one order -> one start)."""
     o = table(spark, sf_dir, "orders")
