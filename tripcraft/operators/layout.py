@@ -8,6 +8,7 @@ the next aggregate's key adds a shuffle and caps parallelism at ``n``; before a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def layout(
@@ -15,11 +16,21 @@ def layout(
     n: int | None = None,
     by: str | list[str] | None = None,
     sort_by: str | list[str] | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Hash-repartition by ``by`` (into ``n`` files, or AQE-sized when
-    ``n`` is None); R2: sort rows within each partition by ``sort_by``."""
+    ``n`` is None); R2: sort rows within each partition by ``sort_by``.
+
+    ``even`` cuts the rows by ranges of ``by`` and a hash of the row instead, at
+    borders that Spark samples: a key that holds a third of all rows (or the
+    null key) spreads over as many files as it needs, each file holds
+    neighbouring keys, and all are about equally large.
+    """
     keys = [by] if isinstance(by, str) else list(by or [])
-    if keys:
+    if even and keys:
+        ranges = [*keys, F.xxhash64(*df.columns)]
+        df = df.repartitionByRange(n, *ranges) if n else df.repartitionByRange(*ranges)
+    elif keys:
         df = df.repartition(n, *keys) if n else df.repartition(*keys)
     elif n:
         df = df.repartition(n)

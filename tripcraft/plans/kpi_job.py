@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripcraft.operators.kpis import daily_kpis_all, daily_kpis_completed_by_dropoff
 from tripcraft.operators.validate import completed
 from tripcraft.sinks.parquet import write_outputs
+from tripcraft.sinks.versions import write_together
 from tripcraft.sources.trips import read_trips
 
 
@@ -42,6 +43,9 @@ def run_kpi_job(
     grain: str = "day",
     partition_by: dict[str, str] | None = None,
     completed_files: int | None = None,
+    sort_by: str | None = None,
+    even: bool = False,
+    together: bool = False,
 ) -> dict[str, str]:
     """Run L3 and return the written paths.
 
@@ -49,13 +53,22 @@ def run_kpi_job(
     overwrite, and the trips are read while they are written.
 
     ``completed_files`` (R1) repartitions the completed trips by pickup date
-    just before their write; it never sits in front of an aggregate.
+    just before their write; it never sits in front of an aggregate. ``sort_by``
+    (R2) and ``even`` are those of ``layout``. With ``together`` the four
+    outputs change at once: they are written as a new version and published when all are
+    there (``sinks.read_published``); until then readers keep the version before.
     """
     outputs = kpi_job_outputs(read_trips(spark, trips_path), grain)
     for name in outputs:
         if _nested(trips_path, f"{out_base.rstrip('/')}/{name}"):
             raise ValueError(f"output {name!r} under {out_base!r} would overwrite its input {trips_path!r}")
+        if together and _nested(trips_path, out_base):
+            raise ValueError(f"versions under {out_base!r} must not touch their input {trips_path!r}")
     layouts = {}
-    if completed_files:
-        layouts["completed_trips"] = {"n": completed_files, "by": "pickup_datetime"}
-    return write_outputs(outputs, out_base, partition_by=partition_by, layouts=layouts)
+    if completed_files or sort_by or even:
+        layouts["completed_trips"] = {"n": completed_files, "by": "pickup_datetime", "sort_by": sort_by, "even": even}
+
+    def write(base: str) -> dict[str, str]:
+        return write_outputs(outputs, base, partition_by=partition_by, layouts=layouts)
+
+    return write_together(spark, out_base, write) if together else write(out_base)

@@ -368,7 +368,39 @@ e AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id,
              round(l_extendedprice, 2) AS fare_amount FROM lineitem)"""
 
 
+_CSV_REJECTS = f"""WITH {_EV},
+t AS (
+  SELECT d, CAST(event_id // 2 AS VARCHAR) AS trip_id, CAST(user_id AS VARCHAR) AS loc,
+         CASE WHEN d = 2 THEN 'abc' ELSE CAST(1 + user_id % 2 AS VARCHAR) END AS vendor,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS pickup, k,
+         strftime(ts + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS est,
+         CASE WHEN d = 0 THEN 'n/a' ELSE CAST(round(value / 3.0, 2) AS VARCHAR) END AS fare
+  FROM ev WHERE event_id % 2 = 0 AND d IN (0, 2, 4)),
+r AS (
+  SELECT *, unnest(CASE d WHEN 0 THEN ['bad_estimated_fare_amount'] WHEN 2 THEN ['bad_vendor_id']
+                          ELSE ['bad_pickup_location_id', 'bad_pickup_datetime'] END) AS reason FROM t)
+SELECT 'read_csv' AS stage, reason, trip_id,
+       '{{"trip_id":"' || trip_id || '","pickup_location_id":"' || CASE WHEN d = 4 THEN '1.5' ELSE loc END
+       || '","dropoff_location_id":"' || CAST(k AS VARCHAR) || '","vendor_id":"' || vendor
+       || '","pickup_datetime":"' || CASE WHEN d = 4 THEN 'some day' ELSE pickup END
+       || '","estimated_dropoff_datetime":"' || est || '","estimated_fare_amount":"' || fare || '"}}' AS record
+FROM r"""
+
+_PUBLISHED = f"""WITH t AS ({_TRIPS_REPLAY})
+SELECT 'all_trips_daily_kpis' AS dataset, strftime(pickup_datetime, '%Y-%m-%d') AS day, {_kpis()}
+FROM t GROUP BY pickup_datetime
+UNION ALL SELECT 'completed_trips_daily_kpis', strftime(CAST(dropoff_datetime AS DATE), '%Y-%m-%d'), {_kpis()}
+FROM t WHERE dropoff_datetime IS NOT NULL GROUP BY CAST(dropoff_datetime AS DATE)"""
+
+
 ORACLES: dict[str, str] = {
+    "csv_rejects": _CSV_REJECTS,
+    "event_log": f"""WITH {_EV}
+SELECT CAST(row_number() OVER (ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S'), event_id // 2) - 1 AS BIGINT) AS seq, event_id // 2 AS trip_id
+FROM ev WHERE event_id % 2 = 0""",
+    "kpi_published_values": _PUBLISHED,
+    "layout_rows": f"""SELECT count(*) AS n, true AS even, true AS ordered
+FROM ({_TRIPS_REPLAY}) WHERE dropoff_datetime IS NOT NULL""",
     "csv_scan": f"WITH {_EV},\n{_PS}\nSELECT * FROM ps",
     "csv_scan_ends": f"WITH {_EV},\n{_PE}\nSELECT * FROM pe",
     "parse_start_lines": _PARSE_START,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripcraft.operators import (
@@ -31,11 +31,13 @@ from tripcraft.operators import (
 from tripcraft.operators.validate import RECORD, REASON
 from tripcraft.plans.events import START_BODY, assemble_from_lines, end_path, start_path, trip_events
 from tripcraft.plans.kpi_job import kpi_job_outputs, run_kpi_job
-from tripcraft.schemas import END_COLUMNS, END_FIELDS, TRIP_END, TRIP_START
+from tripcraft.schemas import END_COLUMNS, END_FIELDS, START_COLUMNS, TRIP_END, TRIP_START
 from tripcraft.session import default_parallelism, scratch_path
-from tripcraft.sinks import write_outputs
+from tripcraft.sinks import read_published, write_outputs
 from tripcraft.sources import supplied as S
-from tripcraft.sources.csv import read_trips_csv, write_trips_csv
+from tripcraft.sources.csv import check_trips_csv, read_trips_csv, write_trips_csv
+from tripcraft.sources.event_log import EventLog
+from tripcraft.sources.events import to_events
 from tripcraft.sources.lines import read_lines, with_line_seq
 from tripcraft.sources.trips import read_trips
 from tripcraft.streaming import (
@@ -127,6 +129,25 @@ def q_csv_scan_ends(spark: SparkSession, sf: str) -> DataFrame:
     return read_trips_csv(spark, path, TRIP_END)
 
 
+def q_csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Quarantine rows of a CSV whose fields don't all parse."""
+    path = scratch_path(spark, "damaged-csv")
+    S.damaged_start_csv(spark, sf).write.mode("overwrite").option("header", "true").csv(path)
+    return check_trips_csv(spark, path, TRIP_START).rejects
+
+
+def q_event_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends of keyed start events (S4), numbered in the order of their times."""
+    log = EventLog(spark, scratch_path(spark, "event-log"))
+    starts = S.paired_starts(spark, sf)
+    late = F.col("pickup_datetime") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    for rows in (starts.where(~late), starts.where(late)):
+        events = to_events(rows, "pickup_datetime", START_COLUMNS)
+        log.append(events.withColumn("trip_id", F.get_json_object("value", "$.trip_id").cast("long")),
+                   ["key", "trip_id"])
+    return log.read().select("seq", "trip_id")
+
+
 def q_parse_start_lines(spark: SparkSession, sf: str) -> DataFrame:
     from tripcraft.sources.lines import parse_start_lines
 
@@ -401,9 +422,45 @@ def q_kpi_job_values(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(values("raw_grain", raw["completed_trips_daily_kpis"], "DAY")))
 
 
+def q_kpi_published_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The KPI outputs as a version published at once, after an older version of fewer trips."""
+    trips_path, base = scratch_path(spark, "trips"), scratch_path(spark, "kpi-versions")
+    trips = assemble_trips(_trip_events(spark, sf), "replay")
+    for some in (completed(trips), trips):
+        some.write.mode("overwrite").parquet(trips_path)
+        run_kpi_job(spark, trips_path, base, together=True)
+    keys = {"all_trips_daily_kpis": "pickup_datetime", "completed_trips_daily_kpis": "DAY"}
+    frames = [rounded_kpis(read_published(spark, base, name)).select(
+        F.lit(name).alias("dataset"), F.date_format(key, "yyyy-MM-dd").alias("day"),
+        "total_fare", "count_trips", "average_fare", "max_fare", "min_fare") for name, key in keys.items()]
+    return frames[0].unionByName(frames[1])
+
+
+def q_layout_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 and R2 as written by the KPI job: rows, and whether the files are even and each is sorted.
+
+    Half of the trips are given one pickup day and a sixth none, so that files by day alone would not be even.
+    """
+    trips_path, n = scratch_path(spark, "trips"), default_parallelism(spark)
+    third = F.pmod(F.xxhash64("trip_id"), F.lit(6))
+    trips = assemble_trips(_trip_events(spark, sf), "replay").withColumn(
+        "pickup_datetime", F.when(third < 3, F.lit("2024-02-01").cast("date")).when(third < 5, F.col("pickup_datetime")))
+    trips.write.mode("overwrite").parquet(trips_path)
+    paths = run_kpi_job(spark, trips_path, scratch_path(spark, "kpis"), completed_files=n, sort_by="rate_code", even=True)
+    rows = spark.read.parquet(paths["completed_trips"]).select(
+        "rate_code", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    before = F.lag(F.struct("rate_code")).over(Window.partitionBy("file").orderBy("at"))
+    files = rows.withColumn("falls", before > F.struct("rate_code")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.max("falls"), F.lit(False)).alias("falls"))
+    return files.agg(F.sum("n").alias("n"), (F.max("n") <= 2 * F.sum("n") / F.lit(n)).alias("even"),
+                     (~F.max("falls")).alias("ordered"))
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
     "csv_scan_ends": q_csv_scan_ends,
+    "csv_rejects": q_csv_rejects,
+    "event_log": q_event_log,
     "parse_start_lines": q_parse_start_lines,
     "parse_end_lines": q_parse_end_lines,
     "line_rejects": q_line_rejects,
@@ -439,6 +496,8 @@ QUERIES: dict[str, Query] = {
     "run_report": q_run_report,
     "write_outputs": q_write_outputs,
     "kpi_job_values": q_kpi_job_values,
+    "kpi_published_values": q_kpi_published_values,
+    "layout_rows": q_layout_rows,
     "kpis_large": q_kpis_large,
     "kpis_large_by_dropoff": q_kpis_large_by_dropoff,
 }

@@ -176,6 +176,22 @@ def end_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.unionByName(spark.range(1).select(F.lit(END_HEADER).alias("value")))
 
 
+def damaged_start_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paired starts as texts for a CSV; ``event_id % 10``: 0 an estimate that is no number, 2 a word as
+    vendor, 4 a pickup that is no time and a fraction as pickup location, the others clean."""
+    ev = table(spark, sf_dir, "events").filter(F.col("event_id") % 2 == 0)
+    s, d = _start_cols(), F.col("event_id") % 10
+    wrong = {"estimated_fare_amount": (0, "n/a"), "vendor_id": (2, "abc"), "pickup_datetime": (4, "some day"),
+             "pickup_location_id": (4, "1.5")}
+
+    def text(name: str) -> Column:
+        c = _dt_text(s[name]) if name.endswith("datetime") else _text(
+            F.round(s[name], 2) if name == "estimated_fare_amount" else s[name])
+        return F.when(d == wrong[name][0], F.lit(wrong[name][1])).otherwise(c) if name in wrong else c
+
+    return ev.select(_trip(2).alias("trip_id"), *[text(n).alias(n) for n in s])
+
+
 def received_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of trip ``event_id div 4`` as a consumer receives them: kind, data (base64 JSON) and seq.
 

@@ -36,7 +36,7 @@ def state_schema(seq: T.DataType | None = None) -> T.StructType:
 
 
 class TripStore:
-    """Trips under ``path``; ``buckets`` is the number of base files a version has per write task at most."""
+    """Trips under ``path``, whose next base gets ``buckets`` buckets (fit them to the size of a base)."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64, seq: T.DataType | None = None):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
@@ -61,7 +61,8 @@ class TripStore:
         if last is None:
             return version
         name = self._table(version + 1)
-        merged = self._merge(now, new.where(F.col("batch_id") <= last))
+        # Dealt as the buckets are, so that each is one file.
+        merged = self._merge(now, new.where(F.col("batch_id") <= last)).repartition(self.buckets, "trip_id")
         (merged.write.mode("overwrite").bucketBy(self.buckets, "trip_id").sortBy("trip_id")
          .option("path", f"{self.path}/base/version={version + 1}").saveAsTable(name))
         publish(self.spark, self.path, version + 1, {
@@ -104,10 +105,12 @@ class TripStore:
         return deltas.where(F.col("batch_id") > now.get("upto", -1))
 
     def _merge(self, now: dict, deltas: DataFrame) -> DataFrame:
+        if now:
+            # A batch has a row per trip: dealt like the base's buckets they meet it where it lies.
+            deltas = deltas.repartition(now["buckets"], "trip_id")
         new = deltas.groupBy("trip_id").agg(*[F.max(c).alias(c) for c in STATES])
         if not now:
             return new
-        # Per trip one row on each side; the base keeps its buckets.
         old = self._base(now).select(F.col("trip_id").alias("_id"), *[F.col(c).alias(f"b{c}") for c in STATES])
         both = old.join(new, old["_id"] == new["trip_id"], "full")
         return both.select(F.coalesce("trip_id", "_id").alias("trip_id"),
