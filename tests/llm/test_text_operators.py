@@ -314,15 +314,27 @@ def test_importance_resampling(spark, none):
     assert resampling.op2(docs, labels.limit(0)).count() == len(data)
 
 
-def _edits(pattern, text):
-    """Fewest edits of pattern to any part of text."""
-    row = [0] * (len(text) + 1)
-    for i, p in enumerate(pattern, 1):
-        new = [i]
-        for j, t in enumerate(text, 1):
-            new.append(min(row[j - 1] + (p != t), row[j] + 1, new[-1] + 1))
-        row = new
-    return min(row)
+def _within(item, text, percent=8):
+    """Whether any segment of an item has at most the allowed edits to any part of the text (plain dynamic program)."""
+    for size in {len(s) for s in _segments(item)}:
+        patterns = np.array([list(s) for s in _segments(item) if len(s) == size], np.int64)
+        data, columns = np.frombuffer(text, np.uint8).astype(np.int64), np.arange(len(text) + 1)
+        row = np.zeros((len(patterns), len(text) + 1), np.int64)
+        for i in range(size):
+            new = row + 1
+            new[:, 1:] = np.minimum(new[:, 1:], row[:, :-1] + (patterns[:, i, None] != data))
+            row = np.minimum.accumulate(new - columns, axis=1) + columns
+        if row.min() <= size * percent // 100:
+            return True
+    return False
+
+
+def _segments(item):
+    """Every segment of an item, the long ones and the short ones."""
+    text = decontaminate.folded(np.frombuffer((item or "").encode(), np.uint8)).tobytes()
+    if len(text) < 16:
+        return set()
+    return {text[a:a + n] for n in (min(len(text), 64), min(len(text), 96)) for a in range(len(text) - n + 1)}
 
 
 def test_decontamination(spark, none):
@@ -338,12 +350,11 @@ def test_decontamination(spark, none):
     data += [(50, None), (51, ""), (52, _text(rng, 200)), (53, items[0][1]), (53, items[0][1]), (None, items[1][1])]
     docs = spark.createDataFrame([(i, t, "en", "s", 0, 7, "x", "y") for i, t in data], SCHEMA)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    segments = decontaminate.Segments([i for i in items if i[0] is not None])
     want = set()
     for i, t in data:
         text = decontaminate.folded(np.frombuffer((t or "").encode(), np.uint8)).tobytes()
-        want |= {(i, segments.item[s]) for s in range(len(segments.text))
-                 if text and _edits(segments.text[s].tobytes(), text) <= segments.edits[s]}
+        want |= {(i, item) for item in {k for k, _ in items} - {None}
+                 if text and _within(dict(items)[item], text)}
     got = decontaminate.contaminated(docs, benchmark).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want and len(want) > 20
     assert sum(r.doc_id == 53 for r in got) == 2
@@ -354,6 +365,30 @@ def test_decontamination(spark, none):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).collect() == []
 
 
+def test_decontamination_of_long_texts_in_slices_and_passes(spark, monkeypatch):
+    """Few hits at once and several passes change nothing; repetitive texts stay within memory."""
+    rng = random.Random(29)
+    items = [(k, _text(rng, 30)) for k in range(6)] + [(7, "=" * 120)]
+    long = " ".join(f"{_text(rng, 400)} {items[k % 6][1][20:150]}" for k in range(12))
+    data = [(1, long), (2, "=" * 20_000), (3, "=" * 50), (4, f"{items[2][1]} {items[2][1][:-3]}"), (5, _text(rng, 3000))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 7, "x", "y") for i, t in data], SCHEMA)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = _sorted(decontaminate.contaminated(docs, benchmark).collect())
+    assert {(r.doc_id, r.item_id) for r in whole} == {(1, k) for k in range(6)} | {(2, 7), (4, 2)}
+    assert [(r.start, r.end, r.edits) for r in whole if r.doc_id == 2] == [(0, 20_000, 0)]
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 500)
+    passes = list(decontaminate._passes(benchmark))
+    assert len(passes) > 1
+    assert _sorted(decontaminate.contaminated(docs, benchmark).collect()) == whole
+    assert {r.doc_id for r in decontaminate.clean(docs, benchmark).collect()} == {3, 5}
+    segments = decontaminate.Segments(items)
+    data, offsets = decontaminate.folded(np.frombuffer(long.encode(), np.uint8)), np.array([0, len(long.encode())])
+    once = segments.regions(data, offsets)
+    monkeypatch.setattr(decontaminate, "HITS", 200)
+    assert len(list(segments._slices(*[segments.grams_of(data, offsets)[k] for k in (0, 2)], len(data)))) > 5
+    assert once.equals(segments.regions(data, offsets))
+
+
 def test_benchmark_passages_at_all_offsets(spark):
     rng = random.Random(19)
     item = _text(rng, 80)[:394]

@@ -2,31 +2,37 @@
 
 Every run of SEGMENT or SHORT bytes of a benchmark item is a segment, wherever
 it starts. A text that holds a segment with at most e edits shares at least
-len - q + 1 - q * e of its q-grams with it, all within a diagonal band of width
-e. Q-grams of whole items are indexed and shared ones counted in overlapping
-bands, then in windows that slide over the item. Windows that reach the bound
-are aligned (edit distance of the segment to any part of the band; unbroken
-runs need none), and alignments within the budget are reported.
+len - q + 1 - q * e of its q-grams with it, at as many places of the segment, all
+within a diagonal band of width e. Q-grams of whole items are indexed and the places
+of shared ones counted in overlapping bands, then in windows that slide over the item.
+Windows that reach the bound are aligned (edit distance of the segment to any part of
+the band; unbroken runs need none), and alignments within the budget are reported.
 """
 
 from __future__ import annotations
 
+import hashlib
+import pickle
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import lower_ascii, prefix_hash, solid_bytes, span_hash, text_pieces
+from tripcraft.llm.common import lower_ascii, prefix_hash, solid_bytes, span_hash, text_pieces, write_table
 
 Q = 8
 #: Bytes of the segments (or a whole shorter item), and edits in hundredths of their length.
 SEGMENT = 96
 SHORT = 64
 EDIT_PERCENT = 8
-#: Benchmark bytes that one pass holds; a larger benchmark takes several passes.
-PASS_BYTES = 16 << 20
+#: Benchmark bytes that one pass holds (some 40 times as many in a worker); a larger benchmark takes several passes.
+PASS_BYTES = 4 << 20
+#: Shared q-grams that are worked on at once; pieces with more are cut into overlapping slices.
+HITS = 1 << 20
 _FILTER_BITS = 22
+_NEAREST: dict[bytes, "Segments"] = {}
 
 
 def folded(data: np.ndarray) -> np.ndarray:
@@ -43,9 +49,20 @@ def _inner(count: np.ndarray) -> np.ndarray:
 
 
 class Segments:
-    """All segments of benchmark items, with an index of the items' q-grams."""
+    """All segments of benchmark items, with an index of the items' q-grams.
+
+    Only the items travel to the tasks; a worker builds the index of a pass once.
+    """
 
     def __init__(self, items: list[tuple[int, str]]):
+        self.items = items
+        self._build(items)
+
+    def __reduce__(self):
+        packed = pickle.dumps(self.items)
+        return _segments, (packed, hashlib.sha256(packed).digest())
+
+    def _build(self, items: list[tuple[int, str]]) -> None:
         texts = [(item, folded(np.frombuffer((text or "").encode(), np.uint8))) for item, text in items]
         texts = [(item, text) for item, text in texts if len(text) >= 2 * Q]
         self.ids = np.array([item for item, _ in texts], np.int64)
@@ -66,29 +83,10 @@ class Segments:
         self.present[(self.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         self.band = SEGMENT * EDIT_PERCENT // 100 + 1
 
-    def _each(self):
-        """Every eighth segment and the last of each length: a sample for comparisons; the search looks for all."""
-        for i, length in enumerate(self.length.tolist()):
-            for size in sorted({min(length, SEGMENT), min(length, SHORT)}):
-                for a in [*range(0, length - size, 8), length - size]:
-                    yield i, self.begin[i] + a, size
-
-    @property
-    def item(self) -> list[int]:
-        return [int(self.ids[i]) for i, _, _ in self._each()]
-
-    @property
-    def text(self) -> list[np.ndarray]:
-        return [self.flat[a:a + size] for _, a, size in self._each()]
-
-    @property
-    def edits(self) -> list[int]:
-        return [size * EDIT_PERCENT // 100 for _, _, size in self._each()]
-
-    def hits(self, data: np.ndarray, offsets: np.ndarray):
-        """(document, item, place in the item, diagonal from 0) of the shared q-grams."""
+    def grams_of(self, data: np.ndarray, offsets: np.ndarray):
+        """(place in the piece, document, indexed q-gram) of the texts' q-grams that are in the index."""
         if len(data) < Q or not len(self.grams):
-            return (np.zeros(0, np.int64),) * 4
+            return (np.zeros(0, np.int64),) * 3
         at = np.arange(len(data) - Q + 1)
         grams = span_hash(prefix_hash(data), at, at + Q)
         at = np.flatnonzero(self.present[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
@@ -97,37 +95,57 @@ class Segments:
         at, found = at[keep], found[keep]
         doc = np.searchsorted(offsets, at, "right") - 1
         keep = at + Q <= offsets[doc + 1]
-        at, found, doc = at[keep], found[keep], doc[keep]
+        return at[keep], doc[keep], found[keep]
+
+    def hits(self, at: np.ndarray, doc: np.ndarray, found: np.ndarray, docs: int):
+        """(document, item, place in the item, diagonal from 0) of the shared q-grams.
+
+        Those of a document and item that share too few altogether are left out.
+        """
         count = self.first[found + 1] - self.first[found]
         hit = np.repeat(self.first[found], count) + _inner(count)
-        place = self.place[hit]
-        return np.repeat(doc, count), self.owner[hit], place, np.repeat(at, count) - place + self.longest
-
-    def windows(self, data: np.ndarray, offsets: np.ndarray):
+        doc, item = np.repeat(doc, count), self.owner[hit]
+        pair = doc * len(self.length) + item
+        if docs * len(self.length) <= 1 << 22:
+            n = np.bincount(pair, minlength=1)[pair]
+        else:
+            _, group, n = np.unique(pair, return_inverse=True, return_counts=True)
+            n = n[group]
+        keep = n >= self.smallest()[item]
+        place = self.place[hit[keep]]
+        return doc[keep], item[keep], place, np.repeat(at, count)[keep] - place + self.longest
+
+    def smallest(self) -> np.ndarray:
+        """Fewest shared q-grams that any segment of an item needs."""
+        return np.minimum(self.least(np.minimum(self.length, SHORT)), self.least(np.minimum(self.length, SEGMENT)))
+
+    def windows(self, at: np.ndarray, doc: np.ndarray, found: np.ndarray, offsets: np.ndarray):
         """Two frames: doc, item, place, size, diagonal to align, and doc, item, start, end of unbroken runs."""
-        doc, item, place, diagonal = self.hits(data, offsets)
+        doc, item, place, diagonal = self.hits(at, doc, found, len(offsets))
         width, many = self.band, int(offsets[-1] + 2 * self.longest) // self.band + 3
         # A run of diagonals of up to ``band`` lies in one of two overlapping bands of twice that width.
         band = np.r_[diagonal // width, diagonal // width - 1]
         key = (np.r_[item, item] * len(offsets) + np.r_[doc, doc]) * many + band + 1
         own, group, n = np.unique(key, return_inverse=True, return_counts=True)
-        bound = self.least(np.minimum(self.length, SHORT))  # the smallest of an item
-        bound = np.minimum(bound, self.least(np.minimum(self.length, SEGMENT)))
+        bound, wide = self.smallest(), self.longest + 1
         good = n >= bound[own // many // len(offsets)] if len(own) else np.zeros(0, bool)
+        # Of those, the bands with enough places of the item: a repeat in the text adds hits, not places.
+        hit = np.flatnonzero(good[group])
+        places = np.unique(group[hit] * wide + place[hit % max(len(doc), 1)])
+        good &= np.bincount(places // wide, minlength=len(own)) >= bound[own // many // len(offsets)]
         new = np.cumsum(good) - 1
         hit = np.flatnonzero(good[group])
         group, own = new[group[hit]], own[good]
         hit %= max(len(doc), 1)
         rest, band = np.divmod(own, many)
         g_item, g_doc = np.divmod(rest, len(offsets))
-        wide = self.longest + 1
         order = np.lexsort((place[hit], diagonal[hit], group))
         hit, group = hit[order], group[order]
         p, d = place[hit], diagonal[hit]
         # Runs of consecutive places on one diagonal, each in every group that holds it.
         first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)][:len(hit)])
         run = np.diff(np.r_[first, len(hit)])
-        ordered = np.sort(group * wide + p)
+        ordered = np.unique(group * wide + p)
         align, exact = [], []
         for longest in (SHORT, SEGMENT):
             size = np.minimum(self.length, longest)[g_item]
@@ -195,17 +213,42 @@ class Segments:
                 done_end[ends] = first[ends] + row + 1 + best
         return done_cost, done_start, done_end
 
+    def _slices(self, at: np.ndarray, found: np.ndarray, size: int):
+        """(start, end) of runs of the piece with at most HITS shared q-grams, or as few as a step allows."""
+        step = 64 * self.band
+        count = self.first[found + 1] - self.first[found]
+        upto = np.r_[0, np.cumsum(np.bincount(at // step, weights=count, minlength=size // step + 1)).astype(np.int64)]
+        start = 0
+        while start * step < size:
+            end = max(int(np.searchsorted(upto, upto[start] + HITS, "right")) - 1, start + 1)
+            yield start * step, min(end * step, size)
+            start = end
+
     def regions(self, data: np.ndarray, offsets: np.ndarray) -> pd.DataFrame:
         """doc, item, start, end, edits: verified regions, overlapping ones of an item merged."""
-        windows, exact = self.windows(data, offsets)
-        parts = [exact.assign(edits=0)]
+        places, docs, found = self.grams_of(data, offsets)
+        margin = 64 * self.band  # more than twice what a segment covers, and whole bands
+        parts = []
+        for low, high in self._slices(places, found, len(data)):
+            mine = slice(*np.searchsorted(places, (low - margin, high + margin)))
+            windows, exact = self.windows(places[mine], docs[mine], found[mine], offsets)
+            # Runs that a slice cuts overlap and are merged; alignments belong to the slice where they start.
+            parts.append(exact.assign(edits=0))
+            parts += self._aligned(data, offsets, windows, low if low else -1, high if high < len(data) else high + 1)
+        return self._merged(parts)
+
+    def _aligned(self, data: np.ndarray, offsets: np.ndarray, windows: pd.DataFrame, low: int, high: int):
         for at in range(0, len(windows), 2048):
             some = windows.iloc[at:at + 2048]
             doc, item, place, size, diagonal = (some[c].to_numpy() for c in ("doc", "item", "place", "size", "diagonal"))
             edits, start, end = self.align(data, offsets, doc, item, place, size, diagonal)
-            good = edits <= size * EDIT_PERCENT // 100
-            parts.append(pd.DataFrame({"doc": doc, "item": item, "start": start, "end": end, "edits": edits})[good])
-        frame = pd.concat(parts, ignore_index=True)
+            good = (edits <= size * EDIT_PERCENT // 100) & (start >= low) & (start < high)
+            yield pd.DataFrame({"doc": doc, "item": item, "start": start, "end": end, "edits": edits})[good]
+
+    def _merged(self, parts: list[pd.DataFrame]) -> pd.DataFrame:
+        columns = ["doc", "item", "start", "end", "edits"]
+        frame = pd.concat([pd.DataFrame({c: np.zeros(0, np.int64) for c in columns}), *parts], ignore_index=True)
+        frame = frame.drop_duplicates()
         frame["item"] = self.ids[frame["item"].to_numpy(np.int64)]
         frame = frame.sort_values(["doc", "item", "start", "end"])
         out: list[list] = []
@@ -215,7 +258,15 @@ class Segments:
                 out[-1][4] = max(out[-1][4], row.edits)
             else:
                 out.append(list(row))
-        return pd.DataFrame(out, columns=["doc", "item", "start", "end", "edits"])
+        return pd.DataFrame(out, columns=columns)
+
+
+def _segments(packed: bytes, key: bytes) -> Segments:
+    """Segments of a pass, kept by the worker until it meets another pass."""
+    if key not in _NEAREST:
+        _NEAREST.clear()
+        _NEAREST[key] = Segments(pickle.loads(packed))
+    return _NEAREST[key]
 
 
 def _passes(benchmark: DataFrame):
@@ -226,7 +277,8 @@ def _passes(benchmark: DataFrame):
     n = -(-total // PASS_BYTES)
     for i in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
-        yield Segments([(r[0], r[1]) for r in part.distinct().orderBy("item_id", "text").collect()])  # about PASS_BYTES
+        rows = part.distinct().orderBy("item_id", "text").collect()  # about PASS_BYTES
+        yield Segments([(r[0], r[1]) for r in rows]), n
 
 
 SCHEMA = "doc_id long, item_id long, start long, end long, edits long"
@@ -257,8 +309,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return find
 
     out = None
-    for segments in _passes(benchmark):
+    for segments, n in _passes(benchmark):
         found = rows.mapInArrow(finder(segments), SCHEMA)
+        # Of several passes each is a job of its own, whose index goes when it ends.
+        found = write_table(found, "benchmark_pass") if n > 1 else found
         out = found if out is None else out.union(found)
     return rows.sparkSession.createDataFrame([], SCHEMA) if out is None else out
 
@@ -275,8 +329,9 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return keep
 
-    for segments in _passes(benchmark):
+    for segments, n in _passes(benchmark):
         docs = docs.mapInArrow(keeper(segments), docs.schema)
+        docs = write_table(docs, "benchmark_pass") if n > 1 else docs
     return docs
 
 
