@@ -16,7 +16,9 @@ def test_top_k_with_ties_nulls_and_lengths(spark, monkeypatch):
     rows += [(500, rows[7][1], 1), (501, rows[7][1], 1), (550, None, 1), (600, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1),
              (650, [math.nan] * 6, 1), (700, [math.inf] * 6, 1), (750, [0.0] * 6, 1), (800, [], 1), (None, rows[3][1], 1),
              (850, [1.0, -1.0], 1), (851, [0.5, 0.5], 1)]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    rows += [(77, rows[77][1], 1), (77, rows[78][1], 1)]  # repeated ids are candidates each time
+    vectors = spark.createDataFrame([(*r, 3, "x", 5) for r in rows],
+                                    "vec_id long, embedding array<float>, label int, id int, v string, block int")
     good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v, _ in rows
             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     want = []
@@ -27,9 +29,42 @@ def test_top_k_with_ties_nulls_and_lengths(spark, monkeypatch):
     monkeypatch.setattr(S, "BLOCK", 64)
     monkeypatch.setattr(S, "QUERIES", 4)
     assert sorted(tuple(r) for r in S.op1(vectors).collect()) == sorted(want)
+    monkeypatch.setattr(S, "TOGETHER", 3)
+    monkeypatch.setattr(S, "LEAST_BLOCK", 16)
+    assert sorted(tuple(r) for r in S.op1(vectors).collect()) == sorted(want)
     assert S.op1(vectors.limit(0)).collect() == []
 
 
+def test_queries_in_step_equal_single_ones_and_stop_early():
+    """Same results by groups as one by one; sums beyond a double; a dominant dimension ends the search early."""
+    rng = np.random.default_rng(12)
+    for scale, dims in ((3, 2), (500, 9), (1 << 30, 5)):
+        vectors = rng.integers(-scale, scale + 1, (300, dims))
+        ids = rng.integers(0, 200, 300)
+        lists = S.SortedLists(ids, vectors)
+        queries = np.vstack([rng.integers(-scale, scale + 1, (20, dims)), np.zeros((1, dims), np.int64)])
+        own = rng.integers(0, 220, 21)
+        for q, i, (found, score) in zip(queries, own, lists.search(queries, own, 5), strict=True):
+            at = np.flatnonzero(lists.ids != i)
+            exact = [int(sum(int(a) * int(b) for a, b in zip(lists.vectors[r], q, strict=True))) for r in at]
+            want = sorted(zip([-x for x in exact], lists.ids[at].tolist(), strict=True))[:5]
+            assert [(-s, i) for s, i in zip(score.tolist(), found.tolist(), strict=True)] == want
+    skewed = rng.integers(-3, 4, (5000, 8))
+    skewed[:, 0] = rng.integers(-1000, 1000, 5000)
+    lists = S.SortedLists(np.arange(5000), skewed)
+    read = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, key):
+            if isinstance(key, np.ndarray) and key.dtype.kind == "i":
+                read.append(len(key))
+            return super().__getitem__(key)
+
+    lists.vectors = lists.vectors.view(Counted)
+    lists.search(np.tile(np.r_[50, np.ones(7, np.int64)], (4, 1)), np.full(4, -1), 5)
+    assert 0 < sum(read) < 2500
+
+
 def test_search_stops_early_on_skewed_vectors():
     vectors = np.zeros((5000, 4), np.int64)
     vectors[:, 0] = np.arange(5000)

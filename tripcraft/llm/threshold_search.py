@@ -1,10 +1,11 @@
 """Operator 1, exact top-k search with the threshold algorithm.
 
 Vectors lie in blocks; in each block every dimension has its vectors sorted by
-value. A query reads all lists in step, from the end that its sign favours, and
-scores each vector that it meets. What the lists' current values add up to
-bounds every vector not met yet; the search stops when that bound is below the
-k-th best score. The best of all blocks are merged per query.
+value. The queries of a group read the lists in step, each from the end that its
+sign favours, and the vectors met in a step are scored for all of them in one matrix
+product. What the lists' current values add up to bounds every vector not met
+yet; a query stops when that bound is below its k-th best score. The best of all
+blocks are merged per query.
 """
 
 from __future__ import annotations
@@ -17,9 +18,12 @@ from pyspark.sql import functions as F
 K = 5
 QUERY_EVERY = 50
 SCALE = 256
-#: Vectors of a block and queries of a group.
+#: Vectors of a block at most, and at least where they would otherwise leave cores idle; queries of a group.
 BLOCK = 16_384
+LEAST_BLOCK = 1024
 QUERIES = 4096
+#: Queries that read in step (a step's scores are a matrix of so many rows).
+TOGETHER = 256
 
 
 class SortedLists:
@@ -31,6 +35,54 @@ class SortedLists:
         self.rising = np.argsort(self.vectors, axis=0, kind="stable")
         self.values = np.take_along_axis(self.vectors, self.rising, 0)
 
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``top`` of every query (rows), each without rows of its id in ``own``."""
+        n = len(self.ids)
+        reach = int(np.abs(self.vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * queries.shape[1]
+        if reach >= 1 << 53 or (2 * reach + 1) * n >= 1 << 62:  # no longer exact in a product of doubles
+            return [self.top(q, i, k) for q, i in zip(queries, own, strict=True)]
+        out = []
+        for a in range(0, len(queries), TOGETHER):
+            keys = self._in_step(queries[a:a + TOGETHER], own[a:a + TOGETHER], k, reach)
+            for row in keys:
+                score, back = np.divmod(row[row >= 0], n)
+                out.append((self.ids[n - 1 - back], score - reach))
+        return out
+
+    def _in_step(self, queries: np.ndarray, own: np.ndarray, k: int, reach: int) -> np.ndarray:
+        """Per query the k best as falling keys: larger scores first, then smaller rows; -1 is none."""
+        n = len(self.ids)
+        values = self.values
+        first, last = np.searchsorted(self.ids, own, "left"), np.searchsorted(self.ids, own, "right")
+        best = np.full((len(queries), k), -1, np.int64)
+        active, met = np.arange(len(queries)), np.zeros(n, bool)
+        depth, step = 0, 4 * k
+        while depth < n and len(active):
+            weight = queries[active]
+            down, up = np.flatnonzero((weight > 0).any(0)), np.flatnonzero((weight < 0).any(0))
+            # With all weights 0 every score is 0: the rows are read as they stand.
+            end = min(n, depth + step) if len(down) or len(up) else n
+            met_now = np.zeros(n, bool)
+            if len(down) or len(up):
+                met_now[self.rising[n - end:n - depth, down]] = True
+                met_now[self.rising[depth:end, up]] = True
+            else:
+                met_now[:] = True
+            new = np.flatnonzero(met_now & ~met)
+            met |= met_now
+            score = (weight.astype(np.float64) @ self.vectors[new].T.astype(np.float64)).astype(np.int64)
+            keys = (score + reach) * n + (n - 1 - new)
+            for row in np.flatnonzero(last[active] > first[active]):
+                a, b = np.searchsorted(new, (first[active[row]], last[active[row]]))
+                keys[row, a:b] = -1
+            keys = np.concatenate([best[active], keys], axis=1)
+            best[active] = -np.sort(-np.partition(keys, keys.shape[1] - k, axis=1)[:, -k:], axis=1)
+            bound = (np.where(weight > 0, weight * values[n - end], 0) + np.where(weight < 0, weight * values[end - 1], 0)).sum(1)
+            kth = best[active, -1]
+            active = active[(kth < 0) | (bound >= kth // n - reach)]
+            depth, step = end, step * 2
+        return best
+
     def top(self, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best, ties to the smaller id, without rows of the id ``own``."""
         n = len(self.ids)
@@ -77,13 +129,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_id
     Candidates are the vectors of the query's length other than those of its
     own id. Vectors that are null, empty or hold null or non-finite components
     and rows without an id take no part. Equal vectors tie; ties go to the
-    smaller id. A query row that is repeated is answered once.
+    smaller id. A query row that is repeated is answered once; a candidate row
+    that is repeated is a candidate each time. Tables without usable rows give
+    none; other columns play no part, whatever their names.
     """
     rows, asked = usable(vectors, key, vector), usable(queries, key, vector).distinct()
     counts = (rows.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("n"))
               .join(asked.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("m")), "dims"))
     # One row per length of vectors: how many blocks and groups it needs.
-    plan = F.broadcast(counts.select("dims", F.ceil(F.col("n") / BLOCK).alias("blocks"),
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.lit(2 * cores), F.ceil(F.col("n") / LEAST_BLOCK)))
+    plan = F.broadcast(counts.select("dims", blocks.alias("blocks"),
                                      F.ceil(F.col("m") / QUERIES).alias("groups")))
     block = (rows.withColumn("dims", F.size("v")).join(plan, "dims")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
@@ -95,11 +151,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_id
 
     def search(some: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(some):
+        if len(some) and len(wanted):
             lists = SortedLists(some["id"].to_numpy(), np.stack(some["v"].to_numpy()).astype(np.int64))
-            for query, v in zip(wanted["id"], wanted["v"], strict=True):
-                found, score = lists.top(np.asarray(v, np.int64), query, k)
-                out.append((np.full(len(found), query), found, score))
+            own = wanted["id"].to_numpy()
+            found = lists.search(np.stack(wanted["v"].to_numpy()).astype(np.int64), own, k)
+            out = [(np.full(len(ids), query), ids, score) for query, (ids, score) in zip(own, found, strict=True)]
         cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols, strict=True)))
 
