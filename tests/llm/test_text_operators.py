@@ -173,7 +173,29 @@ def test_random_strings_of_several_alphabets():
     assert find("plain_words_joined_by_marks_only some/path/of/written/words/2024 international-organisation") == []
 
 
-def test_jaccard_components(docs, none, rows):
+def test_words_of_one_polynomial_hash_do_not_link(spark):
+    """Thue-Morse words collide under every polynomial modulo 2 ** 64."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    words = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    data = [(i, w) for i, w in enumerate(words)] + [(2, f"x {words[0]} y z v w"), (3, f"x {words[1]} y z v w")]
+    rows = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard_join.op6(rows).collect()}
+    assert got == {i: (i, 0) for i in range(4)}
+
+
+def test_long_paths_of_links_take_few_rounds(spark, monkeypatch):
+    rng = random.Random(6)
+    names = rng.sample(range(10_000), 1000)
+    nodes = spark.createDataFrame([(n,) for n in [*names, 20_000]], "cid long")
+    links = spark.createDataFrame(list(zip(names, names[1:], strict=False)), "a long, b long")
+    write, tables = jaccard_join.write_table, []
+    monkeypatch.setattr(jaccard_join, "write_table", lambda df, name: tables.append(name) or write(df, name))
+    got = {r.cid: r.comp for r in jaccard_join.components(nodes, links).collect()}
+    assert got == {n: min(names) for n in names} | {20_000: 20_000}
+    assert tables.count("hooked") <= 15
+
+
+def test_jaccard_components(docs, none, rows, monkeypatch):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = []
     for _, t in rows:
@@ -193,6 +215,7 @@ def test_jaccard_components(docs, none, rows):
     assert len(links) > 50
     assert _sorted(tuple(r) for r in jaccard_join.op6(docs).collect()) == _sorted(want)
     assert jaccard_join.op6(none).collect() == []
+    monkeypatch.setattr(jaccard_join, "count_links", None)  # links aren't counted where nobody asks for them
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
     assert kept.count() == len({comp[k] for k in range(len(rows))})

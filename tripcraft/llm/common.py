@@ -15,6 +15,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,10 @@ _IS_SPACE[list(SPACES)] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _POW: dict[str, np.ndarray] = {}
+#: Spans of more bytes are hashed one by one.
+LONG_SPAN = 256
+#: The first n of eight bytes.
+_LANE = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -120,6 +125,29 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * q[starts])
 
 
+def span_digest(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end) that decide equality: eight bytes at a time, each mixed in.
+
+    ``span_hash`` is a polynomial, for which unequal long words of one hash can be
+    written down (Thue-Morse words); it serves as a filter only.
+    """
+    length = ends - starts
+    h = mix(length.astype(np.uint64) + np.uint64(_BASE))
+    long = np.flatnonzero(length > LONG_SPAN)
+    left = np.flatnonzero((length > 0) & (length <= LONG_SPAN))
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # eight bytes from every place
+    at, rest = starts[left], length[left]
+    while len(left):
+        lane = lanes[at] & _LANE[np.minimum(rest, 8)]
+        h[left] = mix((h[left] ^ lane) * np.uint64(0x9FB21C651E98DF25) + np.uint64(1))
+        more = rest > 8
+        left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    for i in long:
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
+    return h
+
+
 def run_hash(prefix: np.ndarray, n: int) -> np.ndarray:
     """``span_hash`` of all runs of n consecutive bytes."""
     _, q = powers(len(prefix) - 1)
@@ -154,6 +182,14 @@ BYTE_CLASS[128:] = 1
 BYTE_CLASS[list(SPACES)] = 0
 
 
+def ngram_digest(units: np.ndarray, n: int) -> np.ndarray:
+    """Like ``ngram_hash``, each unit mixed in before the next: hashes that decide equality."""
+    out = np.zeros(max(len(units) - n + 1, 0), np.uint64)
+    for j in range(n):
+        out = mix((out ^ units[j:len(out) + j]) * np.uint64(0x9FB21C651E98DF25) + np.uint64(j + 1))
+    return out
+
+
 def ngram_hash(units: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n consecutive units (across document borders too)."""
     if len(units) < n:

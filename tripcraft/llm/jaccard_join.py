@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from tripcraft.llm import repeats as R
 from tripcraft.llm.common import (
-    NO_ID, has_rows, lower_ascii, ngram_hash, pieces, prefix_hash, shuffle_partitions, span_hash, word_spans,
-    write_table,
+    NO_ID, has_rows, lower_ascii, ngram_digest, pieces, shuffle_partitions, span_digest, word_spans, write_table,
 )
 
 SHINGLE = 5
@@ -58,15 +57,15 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE):
     """(hashes, document of each) of the distinct shingles, sorted within documents."""
     data = lower_ascii(data)
     starts, ends, doc_at = word_spans(data, offsets)
-    words = span_hash(prefix_hash(data), starts, ends)
+    words = span_digest(data, starts, ends)
     n_words = np.diff(doc_at)
-    grams = ngram_hash(words, size)
+    grams = ngram_digest(words, size)
     count = np.maximum(n_words - size + 1, 0)
     doc = np.repeat(np.arange(len(count)), count)
     at = np.repeat(doc_at[:-1], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     grams = grams[at]
     short = np.flatnonzero((n_words > 0) & (n_words < size))
-    whole = [ngram_hash(words[doc_at[d]:doc_at[d + 1]], n_words[d])[0] ^ np.uint64(n_words[d]) for d in short]
+    whole = [ngram_digest(words[doc_at[d]:doc_at[d + 1]], n_words[d])[0] ^ np.uint64(n_words[d]) for d in short]
     grams = np.r_[grams, np.array(whole, np.uint64)]
     doc = np.r_[doc, short]
     order = np.lexsort((grams, doc))
@@ -263,8 +262,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(cid, comp) with the smallest cid that each node reaches; links are (a, b).
 
     Every round gives each node the smallest label among itself and its
-    neighbours and then the label of that label, so that labels also jump along
-    paths; rounds go on until none changes.
+    neighbours, lowers the node that its label names to the same, and takes the label of that
+    label, so that whole trees are hooked and labels jump along paths: a path
+    takes rounds by the logarithm of its length. Rounds go on until no label changes.
     """
     both = write_table(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "links")
     labels = nodes.select("cid", F.col("cid").alias("comp"))
@@ -273,7 +273,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         near = (both.join(touched.select(F.col("cid").alias("b"), "comp"), "b")
                 .groupBy(F.col("a").alias("cid")).agg(F.min("comp").alias("near")))
         low = touched.join(near, "cid").select("cid", "comp", F.least("comp", "near").alias("low"))
-        jump = touched.select(F.col("cid").alias("low"), F.col("comp").alias("further"))
+        hooks = low.where("low < comp").groupBy(F.col("comp").alias("cid")).agg(F.min("low").alias("hook"))
+        low = write_table(low.join(hooks, "cid", "left").select("cid", "comp", F.least("low", "hook").alias("low")), "hooked")
+        jump = low.select(F.col("cid").alias("low"), F.col("low").alias("further"))
         new = write_table(low.join(jump, "low").select(
             "cid", F.least("low", "further").alias("comp"), (F.least("low", "further") < F.col("comp")).alias("moved")),
             "labels")
@@ -382,9 +384,12 @@ def _linked(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> np.ndarray
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id",
-                       text: str = "text") -> DataFrame:
+                       text: str = "text", links: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) and n_links, one row per input row.
 
+    Without ``links`` the links aren't counted, whose work is quadratic in a
+    component's different sets, and n_links is null.
+
     Also text_hash (Spark's xxhash64 of the text, empty for null) and stays:
     whether the row has its component's smallest (id, text_hash).
 
@@ -407,10 +412,13 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     labels = link_components(classes, percent)
     own = classes.select("cid", "digest", "n", "lowest", "copies").join(labels, "cid")
     lowest = own.groupBy("comp").agg(F.min("lowest").alias("first"))
-    result = write_table(
-        own.join(lowest, "comp").join(count_links(classes, labels, percent), "cid", "left")
-        .select("digest", "n", "first", (F.col("copies") - 1 + F.coalesce("n_near", F.lit(0))).alias("n_links")),
-        "result")
+    own = own.join(lowest, "comp")
+    if links:
+        own = own.join(count_links(classes, labels, percent), "cid", "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("n_near", F.lit(0)))
+    else:
+        own = own.withColumn("n_links", F.lit(None).cast("long"))
+    result = write_table(own.select("digest", "n", "first", "n_links"), "result")
     linked = able.select("id", "rank", "text_hash", "n", "digest").join(result, ["digest", "n"]).select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("first.rank") < int(NO_ID), F.col("first.rank")).alias("component_id"), "n_links", "text_hash",
@@ -427,7 +435,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     The smallest id stays, then the smallest text hash. Of repeated rows one
     stays if they have words; rows without words link with nothing and all stay.
     """
-    found = write_table(jaccard_components(docs).where("stays").select("doc_id", "text_hash", "n_shingles"), "stays")
+    found = write_table(jaccard_components(docs, links=False).where("stays").select("doc_id", "text_hash", "n_shingles"), "stays")
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("_rank")
     kept = found.select(rank, F.col("text_hash").alias("_hash"), (F.col("n_shingles") > 0).alias("_words"))
     again = kept.where("_words").groupBy("_rank", "_hash").count().where("count > 1")
