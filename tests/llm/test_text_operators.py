@@ -321,6 +321,27 @@ def test_block_max_search_is_exact():
         assert index.nearest(term, weight)[0].tolist() == want
 
 
+def test_block_max_search_skips_blocks():
+    """Examples of twenty topics in any order: blocks of other topics aren't read, results are those of all."""
+    rng = np.random.default_rng(2)
+    vectors = []
+    for i in range(3000):
+        term = np.sort(np.r_[rng.choice(50, 4, replace=False), 50 + 30 * (i % 20) + rng.choice(30, 8, replace=False)])
+        weight = np.r_[np.full(4, 0.1), rng.random(8) + 0.5]
+        vectors.append((term.astype(np.int64), weight / np.linalg.norm(weight)))
+    index = toxicity.Index(list(range(3000)), [0] * 3000, vectors, 650)
+    dense = np.zeros((3000, 650))
+    for i, (term, weight) in enumerate(vectors):
+        dense[i, term] = weight
+    for i in range(40):
+        cosine = np.round(dense @ dense[i], 12)
+        want = [j for j in np.lexsort((np.arange(3000), -cosine)) if j != i][:25]
+        found, best = index.nearest(*vectors[i], without=i)
+        assert np.allclose(best, cosine[want], atol=1e-11)
+        assert set(found[best > best[-1] + 1e-9]) == {j for j in want if cosine[j] > best[-1] + 1e-9}
+    assert index.blocks_read < 40 * 0.5 * -(-3000 // toxicity.BLOCK)
+
+
 def test_importance_resampling(spark, none):
     rng = random.Random(8)
     data = [(i, " ".join(rng.choice(["##", "%%", "zz"]) if i % 5 == 0 else f"w{rng.randrange(50)}" for _ in range(40)))

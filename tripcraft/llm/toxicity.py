@@ -3,8 +3,10 @@
 Every word of a text is a term. Document frequencies are counted over all
 documents; a term weighs more the more its presence depends on the label (square
 root of one plus its chi-square over the learning documents), none weighs
-nothing. Postings of all terms are added up, so the search is exact. Neighbours
-vote by inverse distance; votes are calibrated on the examples themselves, each
+nothing. Examples lie in blocks of alike ones, and each term's postings keep the
+largest weight of every block that holds it. What those maxima add up to bounds the
+cosines of a block; blocks whose bound is below the k-th best cosine aren't read, so
+the search is exact. Neighbours vote by inverse distance; votes are calibrated on the examples themselves, each
 left out of its own search.
 """
 
@@ -20,12 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcraft.llm.common import (
-    BYTE_CLASS, fold, lower_ascii, prefix_hash, span_hash, text_pieces, word_spans, write_table,
+    BYTE_CLASS, fold, lower_ascii, span_digest, text_pieces, word_spans, write_table,
 )
 
 #: Labelled documents that are learned from (at most, by hash order).
 EXAMPLES = 8000
 NEIGHBOURS = 25
+#: Examples of a block of postings, blocks that are read first, and terms that examples are clustered by.
+BLOCK = 128
+FIRST_BLOCKS = 2
+CLUSTER_TERMS = 1024
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -33,7 +39,7 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """(hash, document) of every word: runs of letters and digits, A-Z as a-z."""
     data = lower_ascii(data)
     starts, ends, at = word_spans(data, offsets, BYTE_CLASS[data] == 1)
-    return span_hash(prefix_hash(data), starts, ends).view(np.int64), np.repeat(np.arange(len(at) - 1), np.diff(at))
+    return span_digest(data, starts, ends).view(np.int64), np.repeat(np.arange(len(at) - 1), np.diff(at))
 
 
 @dataclass
@@ -74,8 +80,16 @@ class Vocabulary:
         return np.searchsorted(own, np.arange(n + 1)), term, weight / np.sqrt(square)[own], size
 
 
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... for every range of ``count`` numbers."""
+    end = np.cumsum(count)
+    out = np.repeat(first - end + count, count)
+    out += np.arange(len(out))
+    return out
+
+
 class Index:
-    """The examples' vectors, and the postings (example, weight) of each term."""
+    """The examples' vectors, and postings (example, weight) of each term with the largest weight of each block."""
 
     def __init__(self, ids, toxic, vectors, n_terms: int):
         order = sorted(range(len(ids)), key=lambda i: ids[i])
@@ -84,26 +98,82 @@ class Index:
         self.begin = np.r_[0, np.cumsum(size)].astype(np.int64)
         self.term = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
         self.weight = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
-        by_term = np.argsort(self.term, kind="stable")
-        self.first = np.r_[0, np.cumsum(np.bincount(self.term, minlength=n_terms))].astype(np.int64)
-        self.example = np.repeat(np.arange(len(order), dtype=np.int32), size)[by_term]
-        self.posted = self.weight[by_term]
+        #: Place of every example in the order of the blocks.
+        self.place = np.empty(len(order), np.int64)
+        self.place[self._alike(n_terms)] = np.arange(len(order))
+        place = np.repeat(self.place, size)
+        by_term = np.lexsort((place, self.term))
+        term, self.example, self.posted = self.term[by_term], place[by_term], self.weight[by_term]
+        block = self.example // BLOCK
+        start = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][:len(term)])
+        # An entry per term and block that holds it: the block, its largest weight and where its postings begin.
+        self.block = block[start]
+        self.most = np.maximum.reduceat(self.posted, start) if len(start) else np.zeros(0)
+        self.start = np.r_[start, len(term)]
+        self.count = np.diff(self.start)
+        self.first = np.searchsorted(term[start], np.arange(n_terms + 1))
+        self.blocks_read = 0
         self.known: dict[bytes, tuple] = {}
 
+    def _alike(self, n_terms: int) -> np.ndarray:
+        """The examples in an order that puts alike ones into one block: clusters by their commonest terms."""
+        n = len(self.ids)
+        groups = n // BLOCK
+        if groups < 2:
+            return np.arange(n)
+        common = np.argsort(-np.bincount(self.term, minlength=n_terms), kind="stable")[:CLUSTER_TERMS]
+        column = np.full(n_terms, -1)
+        column[common] = np.arange(len(common))
+        rows, held = np.repeat(np.arange(n), np.diff(self.begin)), column[self.term] >= 0
+        dense = np.zeros((n, len(common)), np.float32)
+        dense[rows[held], column[self.term[held]]] = self.weight[held]
+
+        def unit(x):
+            return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+        dense = unit(dense)
+        centre = dense[np.linspace(0, n - 1, groups).astype(int)]
+        for _ in range(5):
+            group = (dense @ centre.T).argmax(1)
+            total = np.zeros_like(centre)
+            np.add.at(total, group, dense)
+            centre = unit(total)
+        rank = np.argsort(np.argsort(centre @ centre.mean(0), kind="stable"), kind="stable")
+        return np.lexsort((rank[group], self.toxic))
+
     def __getstate__(self):
         """Workers get the postings only."""
         return self.__dict__ | {"begin": None, "term": None, "weight": None, "known": {}}
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS, without: int = -1):
         """(positions, cosines) of the k nearest examples with a common term; ties to the smaller position."""
+        n = len(self.ids)
         size = self.first[term + 1] - self.first[term]
-        end = np.cumsum(size)
-        total = int(end[-1]) if len(end) else 0
-        at = np.repeat(self.first[term] - end + size, size) + np.arange(total)
-        cosine = np.round(np.bincount(self.example[at], weights=self.posted[at] * np.repeat(weight, size),
-                                      minlength=len(self.ids)), 12)
-        if without >= 0:
-            cosine[without] = 0
+        entry, weight = _ranges(self.first[term], size), np.repeat(weight, size)
+        block = self.block[entry]
+        bound = np.bincount(block, weights=self.most[entry] * weight, minlength=-(-n // BLOCK))
+        order = np.argsort(-bound, kind="stable")
+        cosine, least, read = np.zeros(n), 0.0, 0
+        for end in (FIRST_BLOCKS, len(order)):
+            # First the most promising blocks, then all whose bound reaches the k-th best of those.
+            upto = min(end, int(np.searchsorted(-bound[order], -max(least - 1e-9, 1e-300), "right")))
+            if upto > read:
+                wanted = np.zeros(len(bound), bool)
+                wanted[order[read:upto]] = True
+                mine = np.flatnonzero(wanted[block])
+                count = self.count[entry[mine]]
+                posting = _ranges(self.start[entry[mine]], count)
+                part = np.repeat(weight[mine], count)
+                part *= self.posted[posting]
+                cosine += np.bincount(self.example[posting], weights=part, minlength=n)
+                self.blocks_read += upto - read
+                read = upto
+            if without >= 0:
+                cosine[self.place[without]] = 0
+            if end < len(order):
+                some = cosine[cosine > 0]
+                least = float(np.partition(some, len(some) - k)[len(some) - k]) if len(some) >= k else 0.0
+        cosine = np.round(cosine[self.place], 12)
         at = np.flatnonzero(cosine > 0)
         if len(at) > k:
             at = at[cosine[at] >= np.partition(cosine[at], len(at) - k)[len(at) - k]]
