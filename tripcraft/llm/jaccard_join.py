@@ -32,8 +32,8 @@ SHINGLE = 5
 PERCENT = 75
 #: Sets in one side of a block product.
 BLOCK = 256
-#: Rounds in which members are compared to one centre for each prefix shingle.
-CENTRE_ROUNDS = 1
+#: Rounds in which members are compared to one centre for each prefix shingle; they end early where no list spans components.
+CENTRE_ROUNDS = 3
 #: Columns of 64 bits that sketch a set: bit i is the parity of the elements that hash to i.
 SKETCH = [f"s{i}" for i in range(16)]
 COUNTS = "bucket long, chunk long, prints binary, counts binary"
