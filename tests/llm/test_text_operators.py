@@ -170,9 +170,82 @@ def test_random_strings_of_several_alphabets():
                 at = 2 + len(before)
                 hits += any(a <= at and b >= at + 24 for a, k, b in find(f"a {before}{key} b") if k == 3)
             assert hits >= 95, (alphabet, before)
+    for alphabet in (lower + "0123456789", lower + lower.upper(), "0123456789ABCDEF"):  # no words, though short
+        keys = ["".join(rng.choice(alphabet) for _ in range(n)) for n in (16, 17, 18, 19) for _ in range(50)]
+        assert sum((2, 3, 2 + len(k)) in find(f"a {k} b") for k in keys) >= 190, alphabet
+    assert find("internationalisms Verantwortlichkeit thheeseaononbleor INTERNATIONALISM") == []
     assert find("plain_words_joined_by_marks_only some/path/of/written/words/2024 international-organisation") == []
 
 
+def test_random_spans_against_brute_force():
+    """Every candidate and part of it, its tokens counted from the rank file by plain merging, held spans by a scan of all."""
+    import base64
+
+    import regex
+
+    with open(BYTE_RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
+    split = regex.compile(RANK_PATTERN)
+
+    def n_tokens(word):
+        n = 0
+        for piece in split.findall(word):
+            parts = [bytes([b]) for b in piece.encode()]
+            while pairs := [(ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+                k = min(pairs)[1]
+                parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            n += len(parts)
+        return n
+
+    def digest_or_name(word):
+        return bool(re.fullmatch(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9+/=_-]+", word)
+                    or len(word) in (32, 40, 56, 64, 96, 128) and re.fullmatch("[0-9a-f]+|[0-9A-F]+", word)
+                    or len(word) < 20 and word.isalpha() and (word[1:].islower() or word.isupper()))
+
+    def reported(start, word, cuts):
+        if len(word) < 16 or digest_or_name(word):
+            return
+        if len(word) / n_tokens(word) < 2.2:
+            yield start, start + len(word)
+            return
+        for k, cut in enumerate(cuts):
+            parts = list(re.finditer(cut, word))
+            if [p[0] for p in parts] != [word]:
+                for p in parts:
+                    yield from reported(start + p.start(), p[0], cuts[k + 1:])
+                return
+
+    rng = random.Random(33)
+    pools = ["abcdefghij", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "aZ9+/=_-", "AKIA0123456789ABC"]
+    find, seen = secrets.scanner(BYTE_RANKS, RANK_PATTERN), 0
+    for _ in range(60):
+        words = [*SECRETS, "international", "path/to/the/words", "ünïcode", "a" * 40]
+        words += ["".join(rng.choice(rng.choice(pools)) if rng.random() < .3 else rng.choice(pools[k % 5])
+                          for _ in range(rng.randrange(8, 70))) for k in range(30)]
+        rng.shuffle(words)
+        text = rng.choice(["", "token="]) + rng.choice([" ", "/", "=", "\n"]).join(words)
+        found = find(text)
+        base = [(a, b) for a, k, b in found if k < 3]
+        assert sorted(secrets.base_spans(text)) == [s for s in found if s[1] < 3]
+        want = [s for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text) for s in reported(m.start(), m[0], (
+            "[^=]+", "[^=/]+", "[A-Za-z0-9]+")) if not any(a <= s[0] and s[1] <= b for a, b in base)]
+        assert [(a, b) for a, k, b in found if k == 3] == want
+        seen += len(want)
+    assert seen > 300
+
+
+def test_many_base_spans_in_one_text():
+    """Work grows with the spans, not with their square."""
+    import time
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice("0123456789abcdef") for _ in range(33)) for _ in range(40_000)]
+    find = secrets.scanner(BYTE_RANKS, RANK_PATTERN)
+    begun = time.process_time()
+    assert sum(k == 2 for _, k, _ in find(" ".join(words))) == 40_000
+    assert time.process_time() - begun < 20  # by comparing all with all: minutes
+
+
 def test_words_of_one_polynomial_hash_do_not_link(spark):
     """Thue-Morse words collide under every polynomial modulo 2 ** 64."""
     bits = [bin(i).count("1") % 2 for i in range(2048)]
@@ -237,6 +310,64 @@ def test_language(spark, none):
     assert {r.lang_pred for r in language.identify(docs, {}).collect()} == {"und"}
 
 
+def test_language_against_brute_force(spark, none, monkeypatch):
+    """Sampled ids, profiles, distances and ties by plain counting; a rare language beside a frequent one."""
+    rng = random.Random(15)
+    words = {"aa": ["bana", "nado", "Bado", "été"], "bb": ["schtz", "krrsch", "tzkr"], "cc": ["été", "ölo", "Ŭri", "nado"]}
+    data = [(i, " ".join(rng.choice(words[g]) for _ in range(rng.randrange(1, 30))) + rng.choice(["", ".", " 12", "-x"]), g)
+            for i, g in enumerate(["aa"] * 120 + ["bb"] * 40 + ["cc"] * 4)]
+    data += [(7, "krrsch " * 3, "aa"), (7, None, "aa"), (None, "tzkr", "aa"), (300, None, "bb"), (301, "", "cc"),
+             (302, "12 3!", "aa"), (303, "a", None), (304, "nado " * 4000, "bb"), (304, "nado " * 4000, "bb"), (305, "été", "cc")]
+    docs = spark.createDataFrame([(i, t, g, "s", 0, 7, "x", "y") for i, t, g in data], SCHEMA).repartition(4)
+    order = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(doc_id) h").collect()}
+    limit, size = 25, 40
+
+    def grams(text):
+        line = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text or "")
+        line = " " + " ".join(line.split()) + " " if line.split() else ""
+        n = defaultdict(int)
+        for k in range(len(line)):
+            for w in (1, 2, 3):
+                if k + w <= len(line) and line[k:k + w] != " ":
+                    n[line[k:k + w]] += 1
+        return n
+
+    def top(n):  # equally frequent ones by code: longer first characters weigh more
+        def code(g):
+            out = 0
+            for c in g:
+                out = out << 21 | ord(c)
+            return out
+        return sorted(n, key=lambda g: (-n[g], code(g)))[:size]
+
+    profiles = {}
+    for lang in words:
+        able = [(i, t) for i, t, g in data if g == lang and i is not None and t is not None
+                and zlib.crc32(str(i).encode()) % 4 != 2]
+        ids = sorted({i for i, _ in able}, key=order.get)[:limit]
+        total = defaultdict(int)
+        for i, t in able:
+            if i in ids:
+                for g, n in grams(t).items():
+                    total[g] += n
+        profiles[lang] = top(total)
+    want = []
+    for i, t, _ in data:
+        own = top(grams(t))
+        away = sorted((sum(abs(k - p.index(g)) if g in p else size for k, g in enumerate(own)), lang)
+                      for lang, p in profiles.items())
+        score = away[1][0] / (away[0][0] + away[1][0]) if away[1][0] else 0.5
+        want.append((i, away[0][1], round(score, 9)) if own else (i, "und", 0.0))
+    for chars in (language.COUNT_CHARS, 50):
+        monkeypatch.setattr(language, "COUNT_CHARS", chars)
+        got = language.identify(docs, language.learn(docs, size, limit), size).collect()
+        assert _sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in got) == _sorted(want)
+    sent = {k: list(v) for k, v in language.learn(docs, size, limit).items()}
+    monkeypatch.setattr(language, "BROADCAST_LANGS", 1)
+    assert sorted(sent) == sorted(words) and {k: list(v) for k, v in language.learn(docs, size, limit).items()} == sent
+    assert language.learn(none) == {}
+
+
 def test_toxicity(spark, none):
     rng = random.Random(6)
     plain = [f"w{i}" for i in range(60)]

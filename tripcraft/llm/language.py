@@ -13,14 +13,18 @@ import functools
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import fold
+from tripcraft.llm.common import fold, write_table
 
-#: N-grams of a profile, and documents from which profiles are learned (at most, by hash order).
+#: N-grams of a profile, and document ids of each language that it is learned from (at most, by hash order).
 PROFILE = 300
-TRAINING_DOCS = 6000
+TRAINING_DOCS = 1500
+#: Characters whose n-grams are counted at once while learning.
+COUNT_CHARS = 1 << 21
+#: Languages whose sampling borders are sent to every task; with more they are joined by shuffle.
+BROADCAST_LANGS = 10_000
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 
@@ -53,22 +57,43 @@ def ranked(codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     return codes[np.lexsort((codes, -counts))[:size]]
 
 
+def _count(frames):
+    """Occurrences of n-grams by language, a bounded number of characters (or one text) at a time."""
+    for frame in frames:
+        for lang, texts in frame.groupby("lang")["text"]:
+            held, size = [], 0
+            for last, text in zip(range(len(texts) - 1, -1, -1), texts, strict=True):
+                held.append(ngrams(text))
+                size += len(text)
+                if size >= COUNT_CHARS or not last:
+                    codes, counts = np.unique(np.concatenate(held), return_counts=True)
+                    yield pd.DataFrame({"lang": lang, "code": codes, "count": counts})
+                    held, size = [], 0
+
+
+def training_rows(docs: DataFrame, limit: int = TRAINING_DOCS) -> DataFrame:
+    """lang and text of the rows of the learning folds whose id is among the first ``limit`` of its language.
+
+    Ids are taken once each, in the order of their hash, so a rare language is
+    learned from all it has at any size of the table and a repeated id takes one
+    place. Rows without id, language or text teach nothing.
+    """
+    known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+                       & (fold("doc_id", FOLDS) != HELD_OUT)).select(
+        "lang", "text", F.xxhash64(F.col("doc_id").cast("long")).alias("_order"))
+    first = Window.partitionBy("lang").orderBy("_order")
+    border = write_table(
+        known.groupBy("lang", "_order").agg(F.lit(1)).withColumn("_place", F.row_number().over(first))
+        .where(F.col("_place") <= limit).groupBy("lang").agg(F.max("_order").alias("_last")), "borders")
+    few = border.limit(BROADCAST_LANGS + 1).count() <= BROADCAST_LANGS
+    return (known.join(F.broadcast(border) if few else border, "lang")
+            .where(F.col("_order") <= F.col("_last")).select("lang", "text"))
+
+
 def learn(docs: DataFrame, size: int = PROFILE, limit: int = TRAINING_DOCS) -> dict[str, np.ndarray]:
-    """Profiles by language from ``limit`` documents of the learning folds (ordered by a hash of the id)."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
-    some = (known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).distinct())
-    rows = known.select("doc_id", "lang", "text").join(F.broadcast(some), "doc_id", "left_semi")
-
-    def count(frames):
-        for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
-                codes, counts = np.unique(np.concatenate([ngrams(t) for t in texts]), return_counts=True)
-                yield pd.DataFrame({"lang": lang, "code": codes, "count": counts})
-
-    grams = (rows.select("lang", "text").mapInPandas(count, "lang string, code long, count long")
+    """Profiles by language from ``training_rows``; equally frequent n-grams stand by code."""
+    grams = (training_rows(docs, limit).mapInPandas(_count, "lang string, code long, count long")
              .groupBy("lang", "code").agg(F.sum("count").alias("count")))
-    from pyspark.sql import Window
-
     first = Window.partitionBy("lang").orderBy(F.desc("count"), "code")
     top = grams.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= size)
     out: dict[str, list] = {}
@@ -126,5 +151,6 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFI
 
 
 def op9(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every row; empty tables have none, texts are read whole."""
     return identify(docs, learn(docs)).select(
         "doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")

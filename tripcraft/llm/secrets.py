@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
 
-LEAST = 20
+LEAST = 16
+#: Shorter runs of letters written as words are (one case, or a capital first) are taken for words.
+LEAST_LETTERS = 20
+WRITTEN = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 #: Parts between these are looked at in turn, when the string around them isn't reported.
 PARTS = [re.compile(p) for p in (r"[^=]+", r"[^=/]+", r"[A-Za-z0-9]+")]
@@ -39,8 +44,8 @@ IDENTIFIER = re.compile(
 
 
 def is_known(text: str) -> bool:
-    """Digests of usual lengths, UUIDs and numbers."""
-    if IDENTIFIER.fullmatch(text):
+    """Digests of usual lengths, UUIDs, numbers and words of less than LEAST_LETTERS letters."""
+    if IDENTIFIER.fullmatch(text) or len(text) < LEAST_LETTERS and WRITTEN.fullmatch(text):
         return True
     return len(text) in DIGESTS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text) is not None
 
@@ -59,12 +64,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def random_spans(text: str, n_tokens, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates, or parts of them, of few characters per token that no base span holds already."""
     out = []
+    base = sorted(base)
+    starts = [a for a, _, _ in base]
+    reach = list(accumulate((b for _, _, b in base), max))  # furthest end of the spans that start so far
+
+    def held(start: int, end: int) -> bool:
+        i = bisect_right(starts, start)
+        return i > 0 and reach[i - 1] >= end
 
     def look(start: int, word: str, level: int) -> None:
         if len(word) < LEAST or is_known(word):
             return
         if len(word) < LEAST_RATIO * n_tokens(word):
-            if not any(a <= start and start + len(word) <= b for a, _, b in base):
+            if not held(start, start + len(word)):
                 out.append((start, 3, start + len(word)))
             return
         for i in range(level, len(PARTS)):
