@@ -12,6 +12,8 @@ import pytest
 from tripcraft.llm import bpe, decontaminate, fm_index, jaccard_join, language, resampling, secrets, suffix_array, toxicity
 from tripcraft.llm.queries import BYTE_RANKS, RANK_PATTERN, WORD_BPE
 
+from brute import brute_resampling
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, chunk int, id string, _key string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -489,6 +491,28 @@ def test_importance_resampling(spark, none):
     assert resampling.op2(docs, labels.limit(0)).count() == len(data)
 
 
+def test_importance_resampling_against_brute_force(spark):
+    """Weights, noise and the k largest by plain counting, with ties, repeats, nulls and a long text."""
+    rng = random.Random(18)
+    data = [(i, " ".join(rng.choice(["##", "%%", "zz", "..."]) if i % 5 == 0 else f"w{rng.randrange(30)}," for _ in range(25)))
+            for i in range(120)]
+    data += [(300, None), (301, ""), (None, "w1 w2 w3"), (0, data[0][1]), (1, data[1][1]), (302, "w1, w2, " * 40_000)]
+    marks = [(i, int(i % 5 != 0)) for i in range(0, 120, 2)] + [(2, 0), (None, 1), (4, None), (900, 1)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 7, "x", "y") for i, t in data], SCHEMA).repartition(3)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    weights, size = brute_resampling(data, marks)
+    sampler = resampling.Sampler(docs, labels)
+    want = sorted(weights, key=lambda r: -r[2])
+    for k, got in ((size, sampler.report()), (30, resampling.Sampler(docs, labels, k=30).report())):
+        least = want[k - 1][2]
+        expected = [r for r in want if r[2] >= least]
+        got = got.collect()
+        assert _sorted((r.doc_id, round(r.log_weight, 6), round(r.gumbel_key, 6)) for r in got) == _sorted(
+            (i, round(w, 6), round(g, 6)) for i, w, g in expected)
+        assert len(got) >= k
+    assert sampler.k == size and 0 < size < len(data)
+
+
 def _within(item, text, percent=8):
     """Whether any segment of an item has at most the allowed edits to any part of the text (plain dynamic program)."""
     for size in {len(s) for s in _segments(item)}:
