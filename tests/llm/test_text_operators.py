@@ -454,6 +454,39 @@ def test_block_max_search_is_exact():
         assert index.nearest(term, weight)[0].tolist() == want
 
 
+def test_block_max_search_of_several_vectors(monkeypatch):
+    """Vectors without a term, with unheld terms, repeated ones and a long one, in groups of any size: as one by one."""
+    rng = np.random.default_rng(5)
+    often = 1 / np.arange(1, 401)
+    often /= often.sum()
+
+    def some(n):
+        term = np.sort(rng.choice(400, n, replace=False, p=often)).astype(np.int64)
+        return term, (rng.random(n) + 0.1) / np.sqrt(max(n, 1))
+
+    vectors = [some(int(rng.integers(1, 30))) for _ in range(700)]
+    index = toxicity.Index(list(range(700)), [i % 3 == 0 for i in range(700)], vectors, 400)
+    assert 0 < (index.column >= 0).sum() < 400
+    dense = np.zeros((700, 400))
+    for i, (term, weight) in enumerate(vectors):
+        dense[i, term] = weight
+    queries = [some(0), *vectors[:30], vectors[3], some(300), some(0), *(some(7) for _ in range(20))]
+    begin = np.r_[0, np.cumsum([len(t) for t, _ in queries])]
+    term, weight = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
+    for size, postings in ((1, 1 << 20), (32, 1 << 20), (7, 1500), (100, 1)):
+        monkeypatch.setattr(toxicity, "QUERIES", size)
+        monkeypatch.setattr(toxicity, "QUERY_POSTINGS", postings)
+        found = index.nearest_of(begin, term.astype(np.int64), weight)
+        for (t, w), (at, cosine) in zip(queries, found, strict=True):
+            exact = np.round(dense[:, t] @ w, 12)
+            want = [i for i in np.lexsort((np.arange(700), -exact))[:25] if exact[i] > 0]
+            assert np.allclose(cosine, exact[want], atol=1e-11)
+            assert set(at[cosine > (cosine[-1] if len(at) else 0) + 1e-9]) == {
+                i for i in want if exact[i] > exact[want[-1]] + 1e-9}
+        assert index.votes(begin, term.astype(np.int64), weight) == [index.vote(t, w) for t, w in queries]
+    assert toxicity.Index([], [], [], 0).nearest_of(np.zeros(3, np.int64), np.zeros(0, np.int64), np.zeros(0))[1][0].tolist() == []
+
+
 def test_block_max_search_skips_blocks():
     """Examples of twenty topics in any order: blocks of other topics aren't read, results are those of all."""
     rng = np.random.default_rng(2)

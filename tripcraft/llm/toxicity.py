@@ -6,7 +6,9 @@ root of one plus its chi-square over the learning documents), none weighs
 nothing. Examples lie in blocks of alike ones, and each term's postings keep the
 largest weight of every block that holds it. What those maxima add up to bounds the
 cosines of a block; blocks whose bound is below the k-th best cosine aren't read, so
-the search is exact. Neighbours vote by inverse distance; votes are calibrated on the examples themselves, each
+the search is exact. Some texts are searched at a time: a block's common terms lie in
+a matrix, whose product with the texts that need the block adds them up, the others in
+posting lists. Neighbours vote by inverse distance; votes are calibrated on the examples themselves, each
 left out of its own search.
 """
 
@@ -17,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,10 @@ NEIGHBOURS = 25
 BLOCK = 128
 FIRST_BLOCKS = 2
 CLUSTER_TERMS = 1024
+#: Terms that one in so many examples holds, so many of them at most, have a weight for every example instead of postings.
+COMMON_SHARE, COMMON_TERMS = 16, 1024
+#: Vectors that are searched at a time, and postings of theirs (a vector with more is searched alone).
+QUERIES, QUERY_POSTINGS = 48, 1 << 22
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -96,22 +103,31 @@ class Index:
         self.ids, self.toxic = np.array(ids, np.int64)[order], np.array(toxic, float)[order]
         size = [len(vectors[i][0]) for i in order]
         self.begin = np.r_[0, np.cumsum(size)].astype(np.int64)
-        self.term = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
+        self.term = np.concatenate([np.zeros(0, np.int32), *(vectors[i][0] for i in order)]).astype(np.int32, copy=False)
         self.weight = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
         #: Place of every example in the order of the blocks.
         self.place = np.empty(len(order), np.int64)
-        self.place[self._alike(n_terms)] = np.arange(len(order))
+        self.origin = self._alike(n_terms)
+        self.place[self.origin] = np.arange(len(order))
         place = np.repeat(self.place, size)
         by_term = np.lexsort((place, self.term))
-        term, self.example, self.posted = self.term[by_term], place[by_term], self.weight[by_term]
+        term, self.example, self.posted = self.term[by_term], place[by_term].astype(np.int32), self.weight[by_term]
+        del place, by_term
         block = self.example // BLOCK
         start = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][:len(term)])
         # An entry per term and block that holds it: the block, its largest weight and where its postings begin.
         self.block = block[start]
         self.most = np.maximum.reduceat(self.posted, start) if len(start) else np.zeros(0)
         self.start = np.r_[start, len(term)]
-        self.count = np.diff(self.start)
+        self.count = np.diff(self.start).astype(np.int32)
         self.first = np.searchsorted(term[start], np.arange(n_terms + 1))
+        held = np.bincount(self.term, minlength=n_terms)
+        common = np.argsort(-held, kind="stable")[:COMMON_TERMS]
+        common = common[held[common] * COMMON_SHARE >= max(len(order), 1)]
+        #: Column of each common term in ``dense``, -1 for others.
+        self.column = np.full(n_terms, -1)
+        self.column[common] = np.arange(len(common))
+        self.dense = self.peak = None
         self.blocks_read = 0
         self.known: dict[bytes, tuple] = {}
 
@@ -143,86 +159,154 @@ class Index:
 
     def __getstate__(self):
         """Workers get the postings only."""
-        return self.__dict__ | {"begin": None, "term": None, "weight": None, "known": {}}
+        return self.__dict__ | {"begin": None, "term": None, "weight": None, "known": {}, "dense": None}
+
+    def _densify(self, n_blocks: int) -> None:
+        """Weights of the common terms in every example, and their largest of every block."""
+        terms = np.flatnonzero(self.column >= 0)
+        self.dense = np.zeros((len(terms), n_blocks * BLOCK))
+        for t in terms:
+            mine = slice(self.start[self.first[t]], self.start[self.first[t + 1]])
+            self.dense[self.column[t], self.example[mine]] = self.posted[mine]
+        self.peak = self.dense.reshape(len(terms), n_blocks, BLOCK).max(2)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS, without: int = -1):
-        """(positions, cosines) of the k nearest examples with a common term; ties to the smaller position."""
-        n = len(self.ids)
+        """As ``nearest_of``, for one vector."""
+        return self.nearest_of(np.array([0, len(term)]), term, weight, k, [without] if without >= 0 else None)[0]
+
+    def nearest_of(self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS,
+                   without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(positions, cosines) of each vector's k nearest examples with a common term; ties to the smaller position.
+
+        Vectors are searched some at a time, so that a block is read once for all of them.
+        """
+        if not len(self.ids):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * (len(begin) - 1)
+        held = np.r_[0, np.cumsum(self.start[self.first[term + 1]] - self.start[self.first[term]])][begin]
+        out, x = [], 0
+        while x < len(begin) - 1:
+            fit = int(np.searchsorted(held, held[x] + QUERY_POSTINGS, "right")) - 1
+            y = min(x + QUERIES, len(begin) - 1, max(x + 1, fit))
+            some = slice(begin[x], begin[y])
+            out += self._search(begin[x:y + 1] - begin[x], term[some], weight[some], k,
+                                without[x:y] if without is not None else None)
+            x = y
+        return out
+
+    def _search(self, begin, term, weight, k, without):
+        n_blocks, n = -(-len(self.ids) // BLOCK), len(begin) - 1
+        if self.dense is None:
+            self._densify(n_blocks)
+        query = np.repeat(np.arange(n), np.diff(begin))
+        column = self.column[term]
+        common = column >= 0
+        x = np.zeros((n, len(self.dense)))
+        x[query[common], column[common]] = weight[common]
+        query, term, weight = query[~common], term[~common], weight[~common]
         size = self.first[term + 1] - self.first[term]
         entry, weight = _ranges(self.first[term], size), np.repeat(weight, size)
-        block = self.block[entry]
-        bound = np.bincount(block, weights=self.most[entry] * weight, minlength=-(-n // BLOCK))
-        order = np.argsort(-bound, kind="stable")
-        cosine, least, read = np.zeros(n), 0.0, 0
-        for end in (FIRST_BLOCKS, len(order)):
-            # First the most promising blocks, then all whose bound reaches the k-th best of those.
-            upto = min(end, int(np.searchsorted(-bound[order], -max(least - 1e-9, 1e-300), "right")))
-            if upto > read:
-                wanted = np.zeros(len(bound), bool)
-                wanted[order[read:upto]] = True
-                mine = np.flatnonzero(wanted[block])
-                count = self.count[entry[mine]]
-                posting = _ranges(self.start[entry[mine]], count)
-                part = np.repeat(weight[mine], count)
-                part *= self.posted[posting]
-                cosine += np.bincount(self.example[posting], weights=part, minlength=n)
-                self.blocks_read += upto - read
-                read = upto
-            if without >= 0:
-                cosine[self.place[without]] = 0
-            if end < len(order):
-                some = cosine[cosine > 0]
-                least = float(np.partition(some, len(some) - k)[len(some) - k]) if len(some) >= k else 0.0
-        cosine = np.round(cosine[self.place], 12)
-        at = np.flatnonzero(cosine > 0)
-        if len(at) > k:
-            at = at[cosine[at] >= np.partition(cosine[at], len(at) - k)[len(at) - k]]
-        at = at[np.lexsort((at, -cosine[at]))[:k]]
-        return at, cosine[at]
-
-    def vote(self, term: np.ndarray, weight: np.ndarray, without: int = -1):
-        """(share of toxic votes or None, ids of the nearest examples); votes weigh inverse distances."""
-        key = hashlib.blake2b(term.tobytes() + weight.tobytes(), digest_size=16).digest()
-        if without < 0 and key in self.known:
-            return self.known[key]
-        at, cosine = self.nearest(term, weight, without=without)
-        out = None, []
-        if len(at):
-            votes = 1 / (0.05 + 1 - np.minimum(cosine, 1))
-            out = float(votes @ self.toxic[at] / votes.sum()), self.ids[at[:3]].tolist()
-        if without < 0:
-            if len(self.known) >= 100_000:
-                self.known.clear()
-            self.known[key] = out
+        cell = np.repeat(query * n_blocks, size) + self.block[entry]
+        bound = x @ self.peak + np.bincount(
+            cell, weights=self.most[entry] * weight, minlength=n * n_blocks).reshape(n, n_blocks)
+        cosine = np.zeros((n, n_blocks * BLOCK))
+
+        def read(wanted):
+            for b in np.flatnonzero(wanted.any(0)):
+                mine, block = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                cosine[mine, block] = x[mine] @ self.dense[:, block]
+            mine = np.flatnonzero(wanted.ravel()[cell])
+            count = self.count[entry[mine]]
+            posting = _ranges(self.start[entry[mine]], count)
+            part = np.repeat(weight[mine], count)
+            part *= self.posted[posting]
+            at = np.repeat(cell[mine] // n_blocks * cosine.shape[1], count)
+            at += self.example[posting]
+            cosine.ravel()[:] += np.bincount(at, weights=part, minlength=cosine.size)
+            if without is not None:
+                cosine[np.arange(n), self.place[without]] = 0
+            self.blocks_read += int(wanted.sum())
+
+        # First the most promising blocks, then all whose bound reaches the k-th best of those.
+        few = min(FIRST_BLOCKS, n_blocks)
+        best = np.argpartition(-bound, few - 1, axis=1)[:, :few]
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, best, True, 1)
+        first &= bound > 0
+        read(first)
+        least = np.zeros(n)
+        if few * BLOCK >= k:
+            scores = cosine.reshape(n, n_blocks, BLOCK)[np.arange(n)[:, None], best].reshape(n, -1)
+            least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+        read((bound > 0) & (bound >= least[:, None] - 1e-9) & ~first)
+        out = []
+        for row, floor in zip(cosine, least, strict=True):
+            at = np.flatnonzero(row > max(floor - 1e-9, 0))
+            if len(at) > k:
+                # Those that may round to the k-th best.
+                at = at[row[at] > np.partition(row[at], len(at) - k)[len(at) - k] - 2e-12]
+            score, at = np.round(row[at], 12), self.origin[at]
+            order = np.lexsort((at, -score))[:k]
+            order = order[score[order] > 0]
+            out.append((at[order], score[order]))
         return out
 
+    def vote(self, term: np.ndarray, weight: np.ndarray):
+        """As ``votes``, for one vector."""
+        return self.votes(np.array([0, len(term)]), term, weight)[0]
+
+    def votes(self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray,
+              without: list[int] | None = None) -> list[tuple]:
+        """(share of toxic votes or None, ids of the nearest examples) of every vector; votes weigh inverse distances."""
+        if without is not None:
+            return [self._vote(*found) for found in self.nearest_of(begin, term, weight, without=without)]
+        if len(self.known) >= 100_000:
+            self.known.clear()
+        keys = [hashlib.blake2b(term[x:y].tobytes() + weight[x:y].tobytes(), digest_size=16).digest()
+                for x, y in zip(begin[:-1], begin[1:], strict=True)]
+        new = np.array(sorted({key: i for i, key in enumerate(keys) if key not in self.known}.values()), np.int64)
+        size = np.diff(begin)[new]
+        at = _ranges(begin[new], size)
+        for i, found in zip(new, self.nearest_of(np.r_[0, np.cumsum(size)], term[at], weight[at]), strict=True):
+            self.known[keys[i]] = self._vote(*found)
+        return [self.known[key] for key in keys]
+
+    def _vote(self, at: np.ndarray, cosine: np.ndarray):
+        if not len(at):
+            return None, []
+        votes = 1 / (0.05 + 1 - np.minimum(cosine, 1))
+        return float(votes @ self.toxic[at] / votes.sum()), self.ids[at[:3]].tolist()
+
 
 @dataclass
 class Model:
     #: A broadcast of (vocabulary, index), which are sent once and not with each function.
     shared: Broadcast
-    vocabulary: Vocabulary
-    index: Index
     #: Rising calibration of votes, and the scores without a neighbour or without a term.
     votes: np.ndarray
     scores: np.ndarray
     without_neighbour: float
     without_term: float
 
-    def __getstate__(self):
-        return self.__dict__ | {"vocabulary": None, "index": None}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self.vocabulary, self.index = self.shared.value
-
-    def score(self, term, weight, words) -> tuple[float, list[int]]:
-        if not words:
-            return self.without_term, []
-        vote, evidence = self.index.vote(term, weight)
-        if vote is None:
-            return self.without_neighbour, evidence
-        return float(np.interp(vote, self.votes, self.scores)), evidence
+    @property
+    def vocabulary(self) -> Vocabulary:
+        return self.shared.value[0]
+
+    @property
+    def index(self) -> Index:
+        return self.shared.value[1]
+
+    def score(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[float, list[int]]]:
+        """(score, evidence) of every text."""
+        begin, term, weight, size = self.vocabulary.vectors(data, offsets)
+        out = []
+        for (vote, evidence), words in zip(self.index.votes(begin, term, weight), size, strict=True):
+            if not words:
+                out.append((self.without_term, []))
+            elif vote is None:
+                out.append((self.without_neighbour, evidence))
+            else:
+                out.append((float(np.interp(vote, self.votes, self.scores)), evidence))
+        return out
 
 
 def _rate(toxic: np.ndarray, prior: float) -> float:
@@ -303,6 +387,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     def vectorize(batches):
         for piece, data, offsets in text_pieces(batches):
             begin, term, weight, size = vocabulary.vectors(data, offsets)
+            term = term.astype(np.int32)
             spans = list(zip(begin[:-1], begin[1:], strict=True))
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"), piece.column("toxic").cast(pa.int64()), pa.array(size),
@@ -311,31 +396,36 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
                 ["doc_id", "toxic", "size", "term", "weight"])
 
     found = (rows.mapInArrow(vectorize, "doc_id long, toxic long, size long, term binary, weight binary")
-             .collect())  # at most ``examples`` vectors
-    full = [r for r in found if r["size"]]
-    vectors = [(np.frombuffer(r["term"], np.int64), np.frombuffer(r["weight"])) for r in full]
-    index = Index([r["doc_id"] for r in full], [r["toxic"] for r in full], vectors, len(known))
+             .toArrow())  # at most ``examples`` vectors
+    labels_of, sizes = found["toxic"].to_numpy(), found["size"].to_numpy()
+    full = found.filter(pc.greater(found["size"], 0))
+    # Views of the Arrow buffers; the index makes the only copy.
+    vectors = [(np.frombuffer(t.as_buffer(), np.int32), np.frombuffer(w.as_buffer()))
+               for t, w in zip(full["term"], full["weight"], strict=True)]
+    index = Index(full["doc_id"].to_pylist(), full["toxic"].to_pylist(), vectors, len(known))
+    del found, full, vectors
     prior = n_toxic / n if n else 0.0
     place = {int(d): i for i, d in enumerate(index.ids)}
 
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, index))
+    del index  # the driver keeps the broadcast only
 
     def leave_out(batches):
         vocabulary, index = shared.value
         for piece, data, offsets in text_pieces(batches):
             begin, term, weight, size = vocabulary.vectors(data, offsets)
-            votes = [(y, index.vote(term[a:b], weight[a:b], place[d])[0]) for d, y, a, b, words in zip(
-                piece.column("doc_id").to_pylist(), piece.column("toxic").to_pylist(), begin[:-1], begin[1:], size,
-                strict=True) if words]
+            some = np.flatnonzero(size)  # the others hold no term
+            own = [place[d] for d in piece.column("doc_id").take(pa.array(some)).to_pylist()]
+            found = index.votes(np.r_[begin[some], begin[-1]], term, weight, own)
+            votes = list(zip(piece.column("toxic").take(pa.array(some)).to_pylist(), [f[0] for f in found], strict=True))
             yield pa.RecordBatch.from_arrays([pa.array([v[0] for v in votes], pa.int64()),
                                               pa.array([v[1] for v in votes], pa.float64())], ["toxic", "vote"])
 
     votes = rows.mapInArrow(leave_out, "toxic long, vote double").toPandas().sort_values(["vote", "toxic"])
     voted = votes["vote"].notna()
     points, rates = rising(votes["vote"][voted].to_numpy(float), votes["toxic"][voted].to_numpy(float), prior)
-    without_term = np.array([r["toxic"] for r in found if not r["size"]], float)
-    return Model(shared, vocabulary, index, points, rates, _rate(votes["toxic"][~voted].to_numpy(float), prior),
-                 _rate(without_term, prior))
+    return Model(shared, points, rates, _rate(votes["toxic"][~voted].to_numpy(float), prior),
+                 _rate(labels_of[sizes == 0].astype(float), prior))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -348,9 +438,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def rate(batches):
         for piece, data, offsets in text_pieces(batches):
-            begin, term, weight, size = model.vocabulary.vectors(data, offsets)
-            found = [model.score(term[x:y], weight[x:y], words)
-                     for x, y, words in zip(begin[:-1], begin[1:], size, strict=True)]
+            found = model.score(data, offsets)
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"), pa.array([f[0] for f in found], pa.float64()),
                 pa.array([int(f[0] >= 0.5) for f in found], pa.int32()),
