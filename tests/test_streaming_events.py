@@ -1,5 +1,7 @@
 """Event path from received records: one pass, several outputs, restart, compaction."""
 
+import json
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -147,3 +149,36 @@ def test_store_with_one_trip_holding_a_third(spark):
         if b == 1:
             store.compact()
     assert same(store.trips(), assemble_trips(full, "replay"))
+
+
+def _sent(spark, rows):
+    """Received records of (kind, trip, time, seq)."""
+    field = {"start": "pickup_datetime", "end": "dropoff_datetime"}
+    return spark.createDataFrame([
+        (kind, json.dumps({"trip_id": trip, "fare_amount": float(seq), **({field[kind]: time} if time else {})}), seq)
+        for kind, trip, time, seq in rows], RECEIVED).withColumn("data", F.base64(F.encode("data", "UTF-8")))
+
+
+@pytest.mark.parametrize("expire_after", [None, "2 DAYS"])
+def test_late_events_go_to_the_quarantine(spark, expire_after):
+    """Batches whose newest times are 10, 20 (and again 20) May: an event counts as late only against earlier batches."""
+    batches = [
+        [("start", "a", "2024-05-10 09:00:00", 1), ("end", "old", "2024-05-01 00:00:00", 2)],  # nothing seen before
+        [("start", "b", "2024-05-20 09:00:00", 3), ("end", "a", "2024-05-07 23:59:59", 4), ("end", "a", "2024-05-08 00:00:00", 5)],
+        [("start", "c", "2024-05-17 09:00:00", 6), ("start", "d", "2024-05-16 09:00:00", 7), ("end", "a", None, 8),
+         ("end", "b", "2024-05-17 23:00:00", 9), ("end", "b", "2024-05-18 00:00:00", 10)],
+    ]
+    out = scratch_path(spark, "expiry")
+    for n, rows in enumerate(batches):
+        for _ in range(1 + (n == 1)):  # a repeated batch refuses the same events
+            process_batch(_sent(spark, rows), n, out, expire_after=expire_after)
+    late = {4, 7, 9} if expire_after else set()
+    refused = read_stream_quarantine(spark, out).where("reason like 'late%'").collect()
+    assert sorted(json.loads(r.record)["fare_amount"] for r in refused) == sorted(map(float, late))
+    assert {(r.stage, r.reason, r.trip_id) for r in refused} == (
+        {("expiry_end", "late_end", "a"), ("expiry_start", "late_start", "d"), ("expiry_end", "late_end", "b")} if late else set())
+    on_time = _sent(spark, [r for rows in batches for r in rows if r[3] not in late])
+    assert same(TripStore(spark, out).trips(), assemble_trips(
+        trip_events(*[x.accepted for x in trace_received(on_time)]), "replay"))
+    failed = read_stream_report(spark, out).where("outcome = 'failed' and reason like 'late%'").groupBy().sum("n").first()[0]
+    assert (failed or 0) == len(late)

@@ -47,6 +47,12 @@ class Traced:
     rows: DataFrame
     stages: tuple[str, ...]
 
+    def refuse(self, stage: str, when: Column, reason: str) -> Traced:
+        """One more stage, which refuses the records that ``when`` holds for (null: it doesn't) and none refused before."""
+        late = F.array(F.struct(F.lit(stage).alias("stage"), F.lit(reason).alias("reason"), F.lit(True).alias("refused")))
+        new = F.when((F.size(_refusals()) == 0) & when, late).otherwise(F.array().cast(_OUTCOMES))
+        return Traced(self.rows.withColumn(TRACE, F.concat(TRACE, new).cast(_OUTCOMES)), (*self.stages, stage))
+
     @property
     def accepted(self) -> DataFrame:
         return self.rows.filter(F.size(_refusals()) == 0).drop(TRACE, RECORD)

@@ -35,6 +35,16 @@ def state_schema(seq: T.DataType | None = None) -> T.StructType:
         *[T.StructField(f"_e_{f}", T.StructType([first, T.StructField("v", kind[f])])) for f in END_FIELDS]])
 
 
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The ``batch_id=<n>`` folders of ``path``, no rows if there is none yet."""
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in (exc.getCondition() or ""):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 class TripStore:
     """Trips under ``path``, whose next base gets ``buckets`` buckets (fit them to the size of a base)."""
 
@@ -95,13 +105,7 @@ class TripStore:
 
     def _deltas(self, now: dict) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        try:
-            deltas = self.spark.read.schema(schema).option("basePath", f"{self.path}/deltas").parquet(
-                f"{self.path}/deltas/batch_id=*")
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in (exc.getCondition() or ""):
-                raise
-            return self.spark.createDataFrame([], schema)
+        deltas = read_parquet_or_empty(self.spark, f"{self.path}/deltas", schema)
         return deltas.where(F.col("batch_id") > now.get("upto", -1))
 
     def _merge(self, now: dict, deltas: DataFrame) -> DataFrame:
