@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tripcraft.operators import assemble_trips, quarantine, run_report
 from tripcraft.plans import queries as Q
-from tripcraft.plans.events import consume_end_events, consume_start_events, trip_events
+from tripcraft.plans.events import END_BODY, START_BODY, consume_end_events, consume_start_events, trip_events
 from tripcraft.session import scratch_path
 from tripcraft.sinks.versions import current
 from tripcraft.sources import supplied as S
+from tripcraft.sources.events import decode_events
 from tripcraft.streaming import (
     RECEIVED,
     TripStore,
@@ -182,3 +183,39 @@ def test_late_events_go_to_the_quarantine(spark, expire_after):
         trip_events(*[x.accepted for x in trace_received(on_time)]), "replay"))
     failed = read_stream_report(spark, out).where("outcome = 'failed' and reason like 'late%'").groupBy().sum("n").first()[0]
     assert (failed or 0) == len(late)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quarantine_evaluates_every_rule_once(batch):
+    """No filter on the outcomes is pushed below the stages with their rules inlined."""
+    for traced, rule in zip(batch, ("malformed_pickup_datetime", "malformed_dropoff_datetime"), strict=True):
+        assert plan_of(traced.quarantine).count(f"THEN {rule}") == 1
+
+
+def test_body_is_walked_once_for_each_type(spark):
+    """Odd values of a body read in one walk: fractions, numbers as text, nested values, nulls and no objects."""
+    bodies = ['{"trip_id":7,"vendor_id":"3","pickup_location_id":2.0,"dropoff_location_id":2.5,"pickup_datetime":{"a":[1]}}',
+              '{"trip_id":null,"vendor_id":true,"pickup_location_id":1e30,"dropoff_location_id":null,"x":1}',
+              "{}", "[]", "null", "3", '{"trip_id":1,"trip_id":2}', '{"trip_id"']
+    raw = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "seq long, data string").withColumn(
+        "data", F.base64(F.encode("data", "UTF-8")))
+    tagged = decode_events(raw, START_BODY, "coerce").tagged
+    assert plan_of(tagged).count("try_variant_get(") == 3  # the fields, and the integers as numbers and texts
+    assert plan_of(decode_events(raw, END_BODY, "coerce").tagged).count("try_variant_get(") == 1
+    got = {r.seq: (r.trip_id, r.vendor_id, r.pickup_location_id, r.dropoff_location_id, r.pickup_datetime, r._reason, r._note)
+           for r in tagged.collect()}
+    none = (None,) * 5
+    assert got == {
+        0: ("7", 3, 2, None, '{"a":[1]}', None, ["bad_dropoff_location_id"]),
+        1: (None, 1, None, None, None, None, ["bad_pickup_location_id"]),
+        2: (*none, None, []), **{i: (*none, "undecodable", []) for i in range(3, 8)}}
+
+
+def test_received_rows_are_dealt_before_bodies_are_built(spark):
+    """One input file, many partitions with rows, and the same records."""
+    dealt = Q._received(spark, SF)
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 1
+    assert same(dealt, S.received_events(spark, SF))

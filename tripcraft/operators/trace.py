@@ -61,9 +61,11 @@ class Traced:
     def quarantine(self) -> DataFrame:
         """V4: a row per refusal and note (stage, reason, trip_id, record)."""
         trip = F.col("trip_id").cast("string") if "trip_id" in self.rows.columns else F.lit(None).cast("string")
-        return (self.rows.filter(F.size(TRACE) > 0)
-                .select(trip.alias("trip_id"), F.col(RECORD).alias("record"), F.explode(TRACE).alias("o"))
-                .select("o.stage", "o.reason", "trip_id", "record"))
+        # A row without outcomes expands to none. Expanding the column itself, or a filter on its size, would be
+        # pushed below the stages with their expressions inlined: all rules would be evaluated twice a record.
+        outcomes = F.transform(TRACE, lambda o: F.struct(o["stage"].alias("stage"), o["reason"].alias("reason")))
+        return (self.rows.select(trip.alias("trip_id"), F.col(RECORD).alias("record"), F.inline(outcomes))
+                .select("stage", "reason", "trip_id", "record"))
 
     @property
     def report(self) -> DataFrame:

@@ -294,15 +294,18 @@ def q_trips_replay_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_trip_table(spark, out)
 
 
+def _received(spark: SparkSession, sf: str) -> DataFrame:
+    return S.received_events(spark, sf, default_parallelism(spark))
+
+
 def _received_stream(spark: SparkSession, sf: str) -> str:
-    """Received records as files for the stream, dealt by a hash of ``seq``; the folder of the finished run.
+    """Received records as files for the stream, dealt by a hash of the event; the folder of the finished run.
 
     Every micro-batch holds records of many trips in no particular order, and
     the deltas are compacted in the middle of the run.
     """
     src, out = scratch_path(spark, "received"), scratch_path(spark, "event-path")
-    records = S.received_events(spark, sf)
-    records.repartition(default_parallelism(spark), F.xxhash64("seq")).write.mode("overwrite").parquet(src)
+    _received(spark, sf).write.mode("overwrite").parquet(src)  # one file per core
 
     def compact_once(output: str) -> None:
         if output == "report" and not done:
@@ -316,7 +319,7 @@ def _received_stream(spark: SparkSession, sf: str) -> str:
 
 def q_events_to_trips(spark: SparkSession, sf: str) -> DataFrame:
     """Received records to J4 in one batch."""
-    starts, ends = trace_received(S.received_events(spark, sf))
+    starts, ends = trace_received(_received(spark, sf))
     return assemble_trips(trip_events(starts.accepted, ends.accepted), "replay")
 
 
@@ -327,7 +330,7 @@ def q_events_to_trips_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every refusal and note of the received records, with the record."""
-    starts, ends = trace_received(S.received_events(spark, sf))
+    starts, ends = trace_received(_received(spark, sf))
     return starts.quarantine.unionByName(ends.quarantine)
 
 
@@ -337,7 +340,7 @@ def q_quarantine_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_consumer_report(spark: SparkSession, sf: str) -> DataFrame:
     """Processed and refused records of each consumer stage."""
-    starts, ends = trace_received(S.received_events(spark, sf))
+    starts, ends = trace_received(_received(spark, sf))
     return starts.report.unionByName(ends.report)
 
 

@@ -38,15 +38,14 @@ def _json_type(v: Column, name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
 
 
-def _field(v: Column, f: T.StructField, mode: str) -> Column:
+def _read(v: Column, schema: T.StructType) -> Column:
+    """The fields of a JSON object converted where possible; null for anything else."""
+    return F.try_variant_get(v, "$", schema.simpleString())
+
+
+def _strict_field(v: Column, f: T.StructField) -> Column:
     target = f.dataType.simpleString()
-    if mode == "coerce" and isinstance(f.dataType, T.LongType):
-        # A fraction is no integer: null with a note, never truncated.
-        n = F.try_variant_get(v, f"$.{f.name}", target)
-        return F.when(n.cast("double") == F.try_variant_get(v, f"$.{f.name}", "double"), n)
-    if mode == "coerce":
-        return F.try_variant_get(v, f"$.{f.name}", target)
-    # strict: the JSON value must already be of the field's kind.
+    # The JSON value must already be of the field's kind.
     jt = _json_type(v, f.name)
     if isinstance(f.dataType, T.StringType):
         ok = jt == F.lit("STRING")
@@ -75,34 +74,43 @@ def decode_events(
     """
     if mode not in ("coerce", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
-    text = F.try_to_binary(F.col(data_col), F.lit("base64")).cast("string")
     keep = [c for c in raw.columns if c != data_col]
+    integers = [f.name for f in schema.fields if isinstance(f.dataType, T.LongType)] if mode == "coerce" else []
+    text = raw.select(
+        *keep, F.col(data_col), F.try_to_binary(F.col(data_col), F.lit("base64")).cast("string").alias("_text"))
     # Parse once. Expanding a one-element array puts a Generate between the
     # parse and the refusal filters of the later stages; without it Catalyst
     # pushes those filters below this projection and inlines the JSON parse
     # into them, parsing every record two or more times.
-    parsed = raw.select(
+    valid = F.is_valid_utf8("_text")
+    parsed = text.select(
         *keep,
         F.inline(
             F.array(
                 F.struct(
-                    F.when(F.is_valid_utf8(text), text).otherwise(F.col(data_col)).alias(RECORD),
-                    F.when(F.is_valid_utf8(text), F.try_parse_json(text)).alias("_v"),
+                    F.when(valid, F.col("_text")).otherwise(F.col(data_col)).alias(RECORD),
+                    F.when(valid, F.try_parse_json("_text")).alias("_v"),
                 )
             )
         ),
     )
     v = F.col("_v")
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    bad = []
-    if mode == "coerce":
-        bad = [
-            F.when(_field(v, f, mode).isNull() & F.try_variant_get(v, f"$.{f.name}", "string").isNotNull(),
-                   F.lit(f"bad_{f.name}"))
-            for f in schema.fields if isinstance(f.dataType, T.LongType)
-        ]
+    if mode == "strict":
+        is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+        fields = {f.name: _strict_field(v, f) for f in schema.fields}
+    else:
+        # One walk over the object for each target type, and null if it is no object.
+        parsed = parsed.select(*keep, RECORD, _read(v, schema).alias("_b"), *[
+            _read(v, T.StructType([T.StructField(n, t) for n in integers])).alias(name)
+            for name, t in (("_d", T.DoubleType()), ("_s", T.StringType())) if integers])
+        is_object = F.col("_b").isNotNull()
+        fields = {f.name: F.col("_b")[f.name] for f in schema.fields}
+        for n in integers:
+            # A fraction is no integer: null with a note, never truncated.
+            fields[n] = F.when(fields[n].cast("double") == F.col("_d")[n], fields[n])
+    bad = [F.when(fields[n].isNull() & F.col("_s")[n].isNotNull(), F.lit(f"bad_{n}")) for n in integers]
     out = parsed.select(
-        *[_field(v, f, mode).alias(f.name) for f in schema.fields],
+        *[c.alias(n) for n, c in fields.items()],
         *[c for c in keep if c not in schema.fieldNames()],
         F.when(~is_object, F.lit("undecodable")).alias(REASON),
         notes(F.lit(None).cast("string"), *bad).alias(NOTE),

@@ -28,19 +28,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _k_text() -> Column:
+    return F.get_json_object(F.col("props"), "$.k")
+
+
 def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("int")
+    return _k_text().cast("int")
 
 
 def _trip(div: int) -> Column:
     return F.expr(f"event_id div {div}").cast("string")
 
 
-def _start_cols() -> dict[str, Column]:
+def _start_cols(k: Column | None = None) -> dict[str, Column]:
     ts = F.col("ts")
     return {
         "pickup_location_id": F.col("user_id").cast("bigint"),
-        "dropoff_location_id": _k(),
+        "dropoff_location_id": _k() if k is None else k,
         "vendor_id": (F.lit(1) + F.col("user_id") % 2).cast("bigint"),
         "pickup_datetime": ts,
         "estimated_dropoff_datetime": ts + F.expr("INTERVAL 15 MINUTES"),
@@ -48,9 +52,9 @@ def _start_cols() -> dict[str, Column]:
     }
 
 
-def _end_cols() -> dict[str, Column]:
+def _end_cols(k: Column | None = None) -> dict[str, Column]:
     ok = F.col("event_type") != F.lit("error")
-    k = _k()
+    k = _k() if k is None else k
     return {
         "dropoff_datetime": F.when(ok, F.col("ts")),
         "rate_code": F.when(k % 6 != 5, (F.lit(1) + k % 6).cast("string")),
@@ -192,7 +196,7 @@ def damaged_start_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(_trip(2).alias("trip_id"), *[text(n).alias(n) for n in s])
 
 
-def received_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def received_events(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
     """Events of trip ``event_id div 4`` as a consumer receives them: kind, data (base64 JSON) and seq.
 
     ``event_id % 11`` says what is wrong with a body. Starts: 0 no base64, 1
@@ -201,10 +205,16 @@ def received_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     malformed, 6 a number sent as a number. Ends: 0 and 1 as before, 2 no trip id, 3
     nothing but blanks, 4 a malformed drop-off, 5 a zero fare, 6 numbers sent as
     numbers. The others are clean, 7 with a field that nobody knows.
+
+    ``parts`` deals the rows into so many partitions first, while they are narrow: the
+    table may be a file of few row groups, and bodies are built and decoded where its rows lie.
     """
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events").withColumn("k", _k_text()).drop("props")
+    if parts:
+        ev = ev.repartition(parts, F.xxhash64("event_id", "ts", "user_id"))
     is_start = F.col("event_type").isin(*START_KINDS)
-    s, e, d = _start_cols(), _end_cols(), F.col("event_id") % 11
+    k = F.col("k").cast("int")
+    s, e, d = _start_cols(k), _end_cols(k), F.col("event_id") % 11
 
     def quoted(c: Column) -> Column:
         return F.concat(F.lit('"'), c, F.lit('"'))
