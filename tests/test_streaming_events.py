@@ -219,3 +219,14 @@ def test_received_rows_are_dealt_before_bodies_are_built(spark):
     dealt = Q._received(spark, SF)
     assert dealt.select(F.spark_partition_id()).distinct().count() > 1
     assert same(dealt, S.received_events(spark, SF))
+
+
+def test_micro_batch_of_one_file_is_decoded_by_several_tasks(spark, received, batch):
+    one, out = scratch_path(spark, "one-file"), scratch_path(spark, "one-file-batch")
+    spark.read.parquet(received).coalesce(1).write.parquet(one)
+    files = []
+    process_batch(spark.read.schema(RECEIVED).parquet(one), 0, out, after=lambda output: output == "staged" and files.extend(
+        r[0] for r in spark.read.parquet(f"{out}/staged").where("kind = 'start'").select(F.input_file_name()).distinct().collect()))
+    assert len({f.rsplit("/", 1)[1] for f in files}) > 1
+    assert same(read_stream_quarantine(spark, out), batch[0].quarantine.unionByName(batch[1].quarantine))
+    assert same(read_stream_report(spark, out), batch[0].report.unionByName(batch[1].report))

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripcraft.operators.trace import STATUS, TRACE, Traced
 from tripcraft.operators.validate import RECORD
 from tripcraft.plans.events import trace_end_events, trace_start_events, trip_events
+from tripcraft.session import default_parallelism
 from tripcraft.streaming.store import TripStore, read_parquet_or_empty
 
 #: Received records: ``kind`` (start or end), base64 body and arrival order.
@@ -72,7 +73,9 @@ def process_batch(batch: DataFrame, batch_id: int, path: str, numbers: str = "co
     the option or always without it.
     """
     spark, base = batch.sparkSession, path.rstrip("/")
-    traced = trace_received(batch, numbers)
+    # A micro-batch may come from a few files or partitions; its records are decoded on all cores.
+    dealt = batch.repartition(default_parallelism(spark), F.xxhash64(*batch.columns))
+    traced = trace_received(dealt, numbers)
     if expire_after:
         closed = F.lit(_closed_before(spark, base, batch_id, expire_after)).cast("timestamp_ntz")
         traced = [t.refuse(f"expiry_{kind}", _event_time(kind)[1] < closed, f"late_{kind}")
