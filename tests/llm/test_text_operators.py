@@ -270,6 +270,29 @@ def test_long_paths_of_links_take_few_rounds(spark, monkeypatch):
     assert tables.count("hooked") <= 15
 
 
+def test_jaccard_sets_are_not_shuffled_in_every_round(docs, monkeypatch):
+    """The pairs go to the sets, which lie in buckets; entries of lists within one component are left behind."""
+    from pyspark.sql import functions as F
+
+    plans, held, verified, write = [], [], jaccard_join.verified, jaccard_join.write_table
+
+    def check(pairs, classes, percent):
+        sets = classes.select("cid", "shingles").hint("merge").join(pairs.select(F.col("a").alias("cid")), "cid")
+        plans.append(sets._jdf.queryExecution().executedPlan().toString())
+        return verified(pairs, classes, percent)
+
+    def keep(df, name):
+        out = write(df, name)
+        held.extend([out.count()] if name in ("entries", "held") else [])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "verified", check)
+    monkeypatch.setattr(jaccard_join, "write_table", keep)
+    jaccard_join.op6(docs).collect()
+    assert plans and all(p.count("Exchange") == 1 for p in plans)
+    assert held == sorted(held, reverse=True)
+
+
 def test_jaccard_components(docs, none, rows, monkeypatch):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = []

@@ -44,6 +44,17 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_buckets(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Like ``write_table``, bucketed by ``key``: joins on it leave the table where it lies.
+
+    ``df`` should be read from a written table, so that repeated tasks see the same rows.
+    """
+    spark = df.sparkSession
+    n, table = shuffle_partitions(spark), table_name(name)
+    df.repartition(n, key).write.bucketBy(n, key).option("path", scratch_path(spark, table)).saveAsTable(table)
+    return spark.table(table)
+
+
 def table_name(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:12]}"
 

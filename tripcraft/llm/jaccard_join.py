@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tripcraft.llm import repeats as R
 from tripcraft.llm.common import (
-    NO_ID, has_rows, lower_ascii, ngram_digest, pieces, shuffle_partitions, span_digest, word_spans, write_table,
+    NO_ID, has_rows, lower_ascii, ngram_digest, pieces, shuffle_partitions, span_digest, word_spans, write_buckets,
+    write_table,
 )
 
 SHINGLE = 5
@@ -297,8 +298,8 @@ def contracted(labels: DataFrame, links: DataFrame) -> DataFrame:
     return labels.join(merged, "comp").select("cid", F.col("into").alias("comp"))
 
 
-def link_components(classes: DataFrame, percent: int) -> DataFrame:
-    """(cid, comp) for all classes."""
+def link_components(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cid, comp) for all classes; ``sets`` holds them in buckets."""
     spark = classes.sparkSession
     entries = prefix_entries(classes, percent)
     several = entries.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1").select("shingle")
@@ -306,13 +307,14 @@ def link_components(classes: DataFrame, percent: int) -> DataFrame:
     labels = classes.select("cid", F.col("cid").alias("comp"))
     seen = spark.createDataFrame([], "a long, b long")
     for turn in range(CENTRE_ROUNDS + 1):
-        held = entries.join(labels, "cid")
-        if turn:  # only shingles whose list still spans components
+        held = entries.join(labels, "cid") if turn else entries.withColumn("comp", F.col("cid"))
+        if turn:  # only shingles whose list still spans components; the others never will again
             mixed = write_table(held.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                                 .where("lo < hi").select("shingle"), "mixed")
             if not has_rows(mixed):
                 break
             held = write_table(held.join(mixed, "shingle"), "held")
+            entries = held.drop("comp")
         if turn < CENTRE_ROUNDS:
             rank = F.xxhash64("cid", "shingle", F.lit(turn))
             other = write_table(held.groupBy("shingle").agg(
@@ -327,7 +329,7 @@ def link_components(classes: DataFrame, percent: int) -> DataFrame:
             .select(F.least("a.cid", "b.cid").alias("a"), F.greatest("a.cid", "b.cid").alias("b")).distinct()
             .join(seen, ["a", "b"], "left_anti"), "pairs")
         if has_rows(pairs):
-            found = write_table(verified(pairs, classes, percent), "found")
+            found = write_table(verified(pairs, sets, percent), "found")
             seen = seen.union(pairs)
             labels = write_table(contracted(labels, found), "components")
     return labels
@@ -409,12 +411,14 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
                                         F.count("*").alias("copies"), F.first("n_lone").alias("n_lone"),
                                         F.first("shingles").alias("shingles"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    labels = link_components(classes, percent)
+    # Joined on cid in every round.
+    buckets = write_buckets(classes.select("cid", "n", "copies", "shingles"), "cid", "held_sets")
+    labels = link_components(classes, buckets, percent)
     own = classes.select("cid", "digest", "n", "lowest", "copies").join(labels, "cid")
     lowest = own.groupBy("comp").agg(F.min("lowest").alias("first"))
     own = own.join(lowest, "comp")
     if links:
-        own = own.join(count_links(classes, labels, percent), "cid", "left").withColumn(
+        own = own.join(count_links(buckets, labels, percent), "cid", "left").withColumn(
             "n_links", F.col("copies") - 1 + F.coalesce("n_near", F.lit(0)))
     else:
         own = own.withColumn("n_links", F.lit(None).cast("long"))
