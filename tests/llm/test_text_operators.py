@@ -3,10 +3,13 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tripcraft.llm import bpe, decontaminate, fm_index, jaccard_join, language, resampling, secrets, suffix_array, toxicity
@@ -393,6 +396,22 @@ def test_language_against_brute_force(spark, none, monkeypatch):
     assert language.learn(none) == {}
 
 
+def test_language_learns_in_little_memory(spark, monkeypatch):
+    """A task counts a few hundred thousand characters at a time; borders of few languages are no files of the executors."""
+    texts = ["".join(chr(97 + (i * 7 + k * k) % 26) if k % 6 else " " for k in range(50_000)) for i in range(80)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["aa"] * 40 + ["bb"] * 40, "text": texts})
+    next(language._count([batch]))  # the table of letters stays
+    tracemalloc.start()
+    total = sum(pc.sum(b.column("count")).as_py() for b in language._count([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == sum(len(language.ngrams(t)) for t in texts)
+    assert peak < 40e6, peak
+    docs = spark.createDataFrame([(i, t, "aa", "s", 0, 7, "x", "y") for i, t in enumerate(texts[:8])], SCHEMA)
+    monkeypatch.setattr(language, "write_table", None)
+    assert sorted(language.learn(docs)) == ["aa"]
+
+
 def test_toxicity(spark, none):
     rng = random.Random(6)
     plain = [f"w{i}" for i in range(60)]

@@ -9,9 +9,9 @@ size for n-grams that it lacks. The nearest language wins.
 from __future__ import annotations
 
 import functools
+from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from tripcraft.llm.common import fold, write_table
 PROFILE = 300
 TRAINING_DOCS = 1500
 #: Characters whose n-grams are counted at once while learning.
-COUNT_CHARS = 1 << 21
+COUNT_CHARS = 1 << 18
 #: Languages whose sampling borders are sent to every task; with more they are joined by shuffle.
 BROADCAST_LANGS = 10_000
 UNKNOWN = "und"
@@ -57,17 +57,23 @@ def ranked(codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     return codes[np.lexsort((codes, -counts))[:size]]
 
 
-def _count(frames):
+def _count(batches):
     """Occurrences of n-grams by language, a bounded number of characters (or one text) at a time."""
-    for frame in frames:
-        for lang, texts in frame.groupby("lang")["text"]:
+    for batch in batches:
+        rows, texts = defaultdict(list), batch.column("text")
+        for at, lang in enumerate(batch.column("lang").to_pylist()):
+            rows[lang].append(at)
+        for lang, places in rows.items():
             held, size = [], 0
-            for last, text in zip(range(len(texts) - 1, -1, -1), texts, strict=True):
+            for at in places:
+                text = texts[at].as_py()
                 held.append(ngrams(text))
                 size += len(text)
-                if size >= COUNT_CHARS or not last:
+                if size >= COUNT_CHARS or at == places[-1]:
                     codes, counts = np.unique(np.concatenate(held), return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "code": codes, "count": counts})
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang] * len(codes), pa.string()), pa.array(codes, pa.int64()),
+                        pa.array(counts, pa.int64())], ["lang", "code", "count"])
                     held, size = [], 0
 
 
@@ -82,22 +88,28 @@ def training_rows(docs: DataFrame, limit: int = TRAINING_DOCS) -> DataFrame:
                        & (fold("doc_id", FOLDS) != HELD_OUT)).select(
         "lang", "text", F.xxhash64(F.col("doc_id").cast("long")).alias("_order"))
     first = Window.partitionBy("lang").orderBy("_order")
-    border = write_table(
-        known.groupBy("lang", "_order").agg(F.lit(1)).withColumn("_place", F.row_number().over(first))
-        .where(F.col("_place") <= limit).groupBy("lang").agg(F.max("_order").alias("_last")), "borders")
-    few = border.limit(BROADCAST_LANGS + 1).count() <= BROADCAST_LANGS
+    border = (known.groupBy("lang", "_order").agg(F.lit(1)).withColumn("_place", F.row_number().over(first))
+              .where(F.col("_place") <= limit).groupBy("lang").agg(F.max("_order").alias("_last")))
+    rows = border.limit(BROADCAST_LANGS + 1).collect()
+    few = len(rows) <= BROADCAST_LANGS
+    if few:
+        border = docs.sparkSession.createDataFrame(pa.table({  # from Arrow: executors start no Python for it
+            "lang": pa.array([r["lang"] for r in rows], pa.string()),
+            "_last": pa.array([r["_last"] for r in rows], pa.int64())}))
+    else:
+        border = write_table(border, "borders")
     return (known.join(F.broadcast(border) if few else border, "lang")
             .where(F.col("_order") <= F.col("_last")).select("lang", "text"))
 
 
 def learn(docs: DataFrame, size: int = PROFILE, limit: int = TRAINING_DOCS) -> dict[str, np.ndarray]:
     """Profiles by language from ``training_rows``; equally frequent n-grams stand by code."""
-    grams = (training_rows(docs, limit).mapInPandas(_count, "lang string, code long, count long")
+    grams = (training_rows(docs, limit).mapInArrow(_count, "lang string, code long, count long")
              .groupBy("lang", "code").agg(F.sum("count").alias("count")))
     first = Window.partitionBy("lang").orderBy(F.desc("count"), "code")
     top = grams.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= size)
     out: dict[str, list] = {}
-    for row in top.orderBy("lang", "rank").collect():  # languages x size rows
+    for row in sorted(top.select("lang", "rank", "code").collect()):  # languages x size rows
         out.setdefault(row["lang"], []).append(row["code"])
     return {lang: np.array(codes, np.int64) for lang, codes in out.items()}
 
@@ -141,7 +153,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFI
     def rank(batches):
         ranker = Ranker(profiles, size)
         for batch in batches:
-            found = [ranker.predict(t) for t in batch.column("text").to_pylist()]
+            found = [ranker.predict(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64())], ["doc_id", "lang_pred", "score"])
