@@ -105,6 +105,57 @@ def test_hot_windows_go_out_one_by_one(docs, rows, monkeypatch):
     assert _sorted(tuple(r) for r in suffix_array.op7(docs).collect()) == want
 
 
+def test_messages_go_to_groups_of_shards(docs, monkeypatch):
+    """Rows between the passes grow with the groups, not with the shards; results don't depend on the shards."""
+    from tripcraft.llm import repeats
+
+    want = [_sorted(tuple(r) for r in q(docs).collect()) for q in (suffix_array.op7, fm_index.op3)]
+    write, counts, held = repeats.write_table, repeats.shard_count, []
+
+    def keep(df, name):
+        out = write(df, name)
+        held.append(max(r[1] for r in out.groupBy("chunk").count().collect()))
+        return out
+
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 16)
+    monkeypatch.setattr(repeats, "write_table", keep)
+    monkeypatch.setattr(repeats, "shard_count", lambda chunks: held.append(-counts(chunks)) or -held[-1])
+    assert [_sorted(tuple(r) for r in q(docs).collect()) for q in (suffix_array.op7, fm_index.op3)] == want
+    assert min(held) < -4000 and len(held) == 6
+    assert max(held) <= 300  # of some 8,000 shards
+
+
+def test_groups_hold_consecutive_shards():
+    from tripcraft.llm.repeats import Deal
+
+    for shards in (1, 8, 255, 256, 257, 1647, 8192, 8193, 20_011):
+        deal, shard = Deal(shards), np.arange(shards)
+        assert deal.groups == max(min(shards, 256), -(-shards // 32))
+        seen = [(g, b - a, np.frombuffer(cells, np.int32).tolist()) for g, a, b, cells in deal.messages(shard)]
+        assert [g for g, _, _ in seen] == list(range(deal.groups))
+        assert all(cells == [1] * n for _, n, cells in seen) and max(n for _, n, _ in seen) <= 33
+        assert deal.first(np.array([0, deal.groups])).tolist() == [0, shards]
+
+
+def test_a_shared_gram_alone_is_not_sent(spark):
+    """30 shared bytes are no window of 50 and hold neither half of one; 50 are found wherever the minimizer lies."""
+    from tripcraft.llm import repeats
+
+    rng, window = random.Random(8), repeats.Window(False, 50, 16)
+
+    def texts(shared):
+        noise = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60))
+        return [(i, noise() + shared + noise()) for i in range(40)]
+
+    def sent(data):
+        chunks = repeats.store(spark.createDataFrame(data, "doc_id long, text string"))
+        return repeats.shard_rows(chunks, repeats.repeated_anchors(chunks, window, 8), window, 8).count()
+
+    assert sent(texts("this phrase has thirty letters")) == 0
+    for _ in range(3):
+        assert sent(texts("".join(rng.choice("0123456789") for _ in range(50)))) > 0
+
+
 def test_bpe(docs, none, rows):
     from tokenizers import Tokenizer
 

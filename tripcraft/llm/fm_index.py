@@ -52,8 +52,8 @@ def matching_statistics(index: FMIndex, symbols: np.ndarray, ends: np.ndarray, l
     return length
 
 
-def repeated_windows(shard: R.Shard, length: int) -> list[np.ndarray]:
-    """Decision for each window of each text: EVERYWHERE if it occurs twice, else NO_ID."""
+def repeated_windows(shard: R.Shard, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decision for each window of each text: EVERYWHERE if it occurs twice, else NO_ID; windows of each text."""
     code: dict[bytes, int] = {}
     symbols, sizes = [], []
     for text in shard.texts:
@@ -72,8 +72,7 @@ def repeated_windows(shard: R.Shard, length: int) -> list[np.ndarray]:
     for at in range(0, len(once), 1 << 18):
         some = once[at:at + (1 << 18)]
         twice[some] = matching_statistics(index, symbols, ends[some], length) >= length
-    decisions = np.where(twice, R.EVERYWHERE, NO_ID)
-    return np.split(decisions, np.cumsum(windows)[:-1]) if len(sizes) else []
+    return np.where(twice, R.EVERYWHERE, NO_ID), windows
 
 
 SCHEMA = "doc_id long, n_words long, n_removed long, spans array<long>, kept binary"
@@ -91,7 +90,7 @@ def substring_dedup(docs: DataFrame, words: int = WORDS, key: str = "doc_id", te
     columns are ignored; an empty table gives no rows.
     """
     window = R.Window(True, words, min(GRAM, words))
-    chunks = R.store(docs, key, text)
+    chunks = R.store(docs, key, text, R.WIDE_CHUNK_BYTES)
     shards = R.shard_count(chunks)
     repeated = R.repeated_anchors(chunks, window, shards)
     sent = R.shard_rows(chunks, repeated, window, shards)

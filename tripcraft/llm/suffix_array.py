@@ -57,8 +57,8 @@ def prefix_borders(symbols: np.ndarray, n_symbols: int, order: np.ndarray, least
     return border[:-1]
 
 
-def lowest_starts(shard: R.Shard, length: int) -> list[np.ndarray]:
-    """For each window of each text the lowest id rank of the documents in which it starts."""
+def lowest_starts(shard: R.Shard, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each text the lowest id rank of the documents in which it starts; windows of each text."""
     sizes = np.array([len(t) for t in shard.texts], np.int64)
     data = np.frombuffer(b"\0".join([*shard.texts, b""]), np.uint8)
     code = np.cumsum(np.bincount(data, minlength=256) > 0).astype(np.int16)  # bytes in use, from 1
@@ -76,7 +76,7 @@ def lowest_starts(shard: R.Shard, length: int) -> list[np.ndarray]:
     least = np.minimum.reduceat(lowest[order], np.flatnonzero(border))
     row = np.empty(len(symbols), np.int64)
     row[order] = group
-    return np.split(least[row[at]], np.cumsum(windows)[:-1])
+    return least[row[at]], windows
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary"
@@ -95,7 +95,7 @@ def suffix_array_dedup(docs: DataFrame, length: int = BYTES, key: str = "doc_id"
     other columns are ignored; an empty table gives no rows.
     """
     window = R.Window(False, length, min(GRAM, length))
-    chunks = R.store(docs, key, text)
+    chunks = R.store(docs, key, text, R.WIDE_CHUNK_BYTES)
     shards = R.shard_count(chunks)
     repeated = R.repeated_anchors(chunks, window, shards)
     sent = R.shard_rows(chunks, repeated, window, shards)
