@@ -105,24 +105,28 @@ def test_hot_windows_go_out_one_by_one(docs, rows, monkeypatch):
     assert _sorted(tuple(r) for r in suffix_array.op7(docs).collect()) == want
 
 
-def test_messages_go_to_groups_of_shards(docs, monkeypatch):
+def test_messages_go_to_groups_of_shards(spark, monkeypatch):
     """Rows between the passes grow with the groups, not with the shards; results don't depend on the shards."""
     from tripcraft.llm import repeats
 
-    want = [_sorted(tuple(r) for r in q(docs).collect()) for q in (suffix_array.op7, fm_index.op3)]
-    write, counts, held = repeats.write_table, repeats.shard_count, []
+    rng = random.Random(12)
+    long = _text(rng, 9000)
+    docs = spark.createDataFrame([(i, f"{_text(rng, 40)} {long} {_text(rng, i)}") for i in range(2)], "doc_id long, text string")
+    queries = (suffix_array.op7, fm_index.op3)
+    want = [_sorted(tuple(r) for r in q(docs).collect()) for q in queries]
+    write, count, most, shards = repeats.write_table, repeats.shard_count, [], []
 
     def keep(df, name):
         out = write(df, name)
-        held.append(max(r[1] for r in out.groupBy("chunk").count().collect()))
+        most.append(max(r[1] for r in out.groupBy("chunk").count().collect()))
         return out
 
-    monkeypatch.setattr(repeats, "SHARD_BYTES", 16)
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 32)
     monkeypatch.setattr(repeats, "write_table", keep)
-    monkeypatch.setattr(repeats, "shard_count", lambda chunks: held.append(-counts(chunks)) or -held[-1])
-    assert [_sorted(tuple(r) for r in q(docs).collect()) for q in (suffix_array.op7, fm_index.op3)] == want
-    assert min(held) < -4000 and len(held) == 6
-    assert max(held) <= 300  # of some 8,000 shards
+    monkeypatch.setattr(repeats, "shard_count", lambda chunks: shards.append(count(chunks)) or shards[-1])
+    assert [_sorted(tuple(r) for r in q(docs).collect()) for q in queries] == want
+    assert min(shards) > 3000 and len(most) == 4
+    assert max(most) <= 256
 
 
 def test_groups_hold_consecutive_shards():
